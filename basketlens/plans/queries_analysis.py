@@ -1 +1,296 @@
-"""Registered queries: descriptive analysis and statistical tests."""
+"""Registered queries: descriptive analysis and statistical tests (ops 25-33).
+
+Test statistics are value-checked against SQL; p-values (tail probabilities, which DuckDB
+cannot compute) are in separate rows-only queries and checked in pytest.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import eda as E
+from ..operators import stattests as S
+from ..sources import adapter as A
+from .catalog import register
+from .sqlkit import oracle
+
+# ---------------------------------------------------------------- op 25: column profile
+
+PROFILE_NUMERIC = ["quantity", "unit_price", "discount_pct", "revenue", "return_flag"]
+PROFILE_OTHER = ["payment_method", "category", "transaction_date"]
+
+_num_union = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM shop_tx" for c in PROFILE_NUMERIC)
+_oth_union = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM shop_tx" for c in PROFILE_OTHER)
+
+PROFILE_SQL = f"""num AS ({_num_union}),
+mom AS (SELECT column_name, count(*) AS total, count(value) AS n, avg(value) AS mean,
+               stddev_samp(value) AS std, median(value) AS median,
+               count(DISTINCT value) AS unique_count FROM num GROUP BY column_name),
+cen AS (SELECT num.column_name, avg(power(value - mean, 2)) AS m2, avg(power(value - mean, 3)) AS m3,
+               avg(power(value - mean, 4)) AS m4
+        FROM num JOIN mom ON num.column_name = mom.column_name WHERE value IS NOT NULL
+        GROUP BY num.column_name),
+oth AS ({_oth_union}),
+prof AS (
+  SELECT m.column_name, mean, median, std,
+         CASE WHEN n < 3 THEN NULL WHEN m2 = 0 THEN 0
+              ELSE sqrt(CAST(n AS DOUBLE) * (n - 1)) / (n - 2) * m3 / power(m2, 1.5) END AS skewness,
+         CASE WHEN n < 4 THEN NULL WHEN m2 = 0 THEN 0
+              ELSE (CAST(n AS DOUBLE) - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (m4 / (m2 * m2) - 3) + 6) END
+           AS kurtosis,
+         CAST(total - n AS DOUBLE) * 100 / total AS missing_pct, unique_count
+  FROM mom m JOIN cen c ON m.column_name = c.column_name
+  UNION ALL
+  SELECT column_name, NULL, NULL, NULL, NULL, NULL,
+         CAST(count(*) - count(value) AS DOUBLE) * 100 / count(*), count(DISTINCT value)
+  FROM oth GROUP BY column_name)"""
+
+
+@register("column_profile", oracle(
+    "SELECT column_name, CAST(mean AS DOUBLE) AS mean, CAST(median AS DOUBLE) AS median, "
+    "CAST(std AS DOUBLE) AS std, CAST(skewness AS DOUBLE) AS skewness, "
+    "CAST(kurtosis AS DOUBLE) AS kurtosis, missing_pct, unique_count FROM prof",
+    ["mean", "median", "std", "skewness", "kurtosis", "missing_pct"], ctes=PROFILE_SQL))
+def q_column_profile(spark, sf):
+    tx = A.transactions(spark, sf)
+    return E.column_profile(tx, PROFILE_NUMERIC + PROFILE_OTHER).withColumnRenamed(
+        "column", "column_name")
+
+
+# ---------------------------------------------------------------- op 26: churn summary
+
+@register("churn_summary", oracle("""
+SELECT CASE WHEN grouping(acquisition_channel) = 0 THEN 'acquisition_channel'
+            WHEN grouping(gender) = 0 THEN 'gender'
+            WHEN grouping(is_premium) = 0 THEN 'is_premium'
+            WHEN grouping(label_level) = 0 THEN 'churn_label' ELSE 'all' END AS dimension,
+       CASE WHEN grouping(acquisition_channel) = 0 THEN acquisition_channel
+            WHEN grouping(gender) = 0 THEN gender
+            WHEN grouping(is_premium) = 0 THEN is_premium
+            WHEN grouping(label_level) = 0 THEN label_level ELSE 'all' END AS level,
+       count(*) AS customers, CAST(sum(churn_label) AS BIGINT) AS churned,
+       avg(churn_label) AS churn_rate, avg(age) AS mean_age
+FROM (SELECT acquisition_channel, gender, CAST(is_premium AS VARCHAR) AS is_premium,
+             CAST(churn_label AS VARCHAR) AS label_level, churn_label, age FROM shop_customers) s
+GROUP BY GROUPING SETS ((), (acquisition_channel), (gender), (is_premium), (label_level))""",
+                                  ["churn_rate", "mean_age"]))
+def q_churn_summary(spark, sf):
+    return E.churn_summary(A.customers(spark, sf))
+
+
+# ---------------------------------------------------------------- op 27: monthly revenue
+
+@register("monthly_revenue", oracle("""
+SELECT strftime(transaction_date, '%Y-%m') AS year_month, sum(g) AS total_revenue,
+       count(*) AS transaction_count, count(DISTINCT customer_id) AS unique_customers,
+       sum(g) / count(*) AS avg_order_value,
+       sum(g * (1 - CAST(return_flag AS DOUBLE))) AS return_adjusted_revenue
+FROM (SELECT *, quantity * unit_price * (1 - discount_pct) AS g FROM shop_tx) t
+GROUP BY 1 ORDER BY 1""", ["total_revenue", "avg_order_value", "return_adjusted_revenue"]))
+def q_monthly_revenue(spark, sf):
+    return E.monthly_revenue(A.transactions(spark, sf, with_category=False))
+
+
+# ---------------------------------------------------------------- op 28: cohort retention
+
+@register("cohort_retention", oracle("""
+SELECT cohort_month, CAST(period_idx AS INTEGER) AS period_idx, active / size AS retention_rate
+FROM act JOIN sizes USING (cohort_month) WHERE period_idx <> 0
+UNION ALL SELECT DISTINCT cohort_month, 0, CAST(1 AS DOUBLE) FROM act""", ["retention_rate"],
+                                     ctes="""coh AS (
+  SELECT customer_id, strftime(signup_date, '%Y-%m') AS cohort_month, year(signup_date) AS cy,
+         month(signup_date) AS cm FROM shop_customers WHERE signup_date IS NOT NULL),
+sizes AS (SELECT cohort_month, count(DISTINCT customer_id) AS size FROM coh GROUP BY 1),
+act AS (
+  SELECT cohort_month, (year(t.transaction_date) - cy) * 12 + (month(t.transaction_date) - cm) AS period_idx,
+         count(DISTINCT t.customer_id) AS active
+  FROM shop_tx t JOIN coh ON t.customer_id = coh.customer_id GROUP BY 1, 2)"""))
+def q_cohort_retention(spark, sf):
+    return E.cohort_retention(A.customers(spark, sf),
+                              A.transactions(spark, sf, with_category=False))
+
+
+# ---------------------------------------------------------------- op 29: IQR outliers
+
+@register("iqr_outliers_revenue", oracle("""
+SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound,
+       (SELECT count(*) FROM shop_tx WHERE revenue < q1 - 1.5 * (q3 - q1) OR revenue > q3 + 1.5 * (q3 - q1))
+         AS outlier_count,
+       (SELECT count(*) FROM shop_tx WHERE revenue < q1 - 1.5 * (q3 - q1) OR revenue > q3 + 1.5 * (q3 - q1))
+         / (SELECT CAST(count(revenue) AS DOUBLE) FROM shop_tx) AS outlier_pct
+FROM (SELECT quantile_cont(revenue, 0.25) AS q1, quantile_cont(revenue, 0.75) AS q3 FROM shop_tx) q""",
+                                         ["q1", "q3", "iqr", "lower_bound", "upper_bound", "outlier_pct"]))
+def q_iqr_revenue(spark, sf):
+    return E.iqr_outliers(A.transactions(spark, sf, with_category=False), "revenue")
+
+
+@register("iqr_outliers_age", oracle("""
+SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound,
+       (SELECT count(*) FROM shop_customers WHERE age < q1 - 1.5 * (q3 - q1) OR age > q3 + 1.5 * (q3 - q1))
+         AS outlier_count,
+       (SELECT count(*) FROM shop_customers WHERE age < q1 - 1.5 * (q3 - q1) OR age > q3 + 1.5 * (q3 - q1))
+         / (SELECT CAST(count(age) AS DOUBLE) FROM shop_customers) AS outlier_pct
+FROM (SELECT quantile_cont(age, 0.25) AS q1, quantile_cont(age, 0.75) AS q3 FROM shop_customers) q""",
+                                     ["q1", "q3", "iqr", "lower_bound", "upper_bound", "outlier_pct"]))
+def q_iqr_age(spark, sf):
+    return E.iqr_outliers(A.customers(spark, sf), "age")
+
+
+# ---------------------------------------------------------------- op 30: Mann-Whitney U
+
+AOV_SQL = """aov AS (SELECT customer_id, avg(quantity * unit_price * (1 - discount_pct)) AS aov
+                     FROM shop_tx GROUP BY 1),
+mw AS (SELECT a.aov, c.is_premium FROM aov a JOIN shop_customers c ON a.customer_id = c.customer_id),
+mw_r AS (SELECT aov, is_premium,
+                rank() OVER (ORDER BY aov) + CAST(count(*) OVER (PARTITION BY aov) - 1 AS DOUBLE) / 2 AS ar
+         FROM mw),
+mw_t AS (SELECT sum(power(CAST(c AS DOUBLE), 3) - c) AS tie_term FROM (SELECT count(*) AS c FROM mw GROUP BY aov) x)"""
+
+
+@register("mann_whitney_statistics", oracle("""
+SELECT sum(ar) FILTER (WHERE is_premium) - CAST(count(*) FILTER (WHERE is_premium) AS DOUBLE)
+         * (count(*) FILTER (WHERE is_premium) + 1) / 2 AS statistic,
+       count(*) FILTER (WHERE is_premium) AS n1, count(*) FILTER (WHERE NOT is_premium) AS n2,
+       (SELECT tie_term FROM mw_t) AS tie_term,
+       coalesce(avg(aov) FILTER (WHERE is_premium), 0) AS mean_1,
+       coalesce(avg(aov) FILTER (WHERE NOT is_premium), 0) AS mean_2
+FROM mw_r""", ["statistic", "tie_term", "mean_1", "mean_2"], ctes=AOV_SQL))
+def q_mwu_stats(spark, sf):
+    tx = A.transactions(spark, sf, with_category=False)
+    aov = tx.groupBy("customer_id").agg(F.avg(F.col("quantity") * F.col("unit_price")
+                                              * (1 - F.col("discount_pct"))).alias("aov"))
+    merged = aov.join(A.customers(spark, sf).select("customer_id", "is_premium"), "customer_id")
+    return S.mann_whitney_statistics(merged, "aov", "is_premium")
+
+
+@register("premium_aov_test", note="p-value by normal tail; rows-only, statistic checked above")
+def q_mwu_test(spark, sf):
+    return S.premium_aov_test(A.transactions(spark, sf, with_category=False), A.customers(spark, sf))
+
+
+# ---------------------------------------------------------------- op 31: chi-square
+
+def _grid_chi_sql(cells: str, by: str = "") -> str:
+    """Full-grid chi-square over a cells CTE (by.., a, b, o), Yates when dof = 1."""
+    g = f"{by}, " if by else ""
+    on = " AND ".join(f"r.{x} = c.{x}" for x in by.split(", ")) if by else "TRUE"
+    join_cells = " AND ".join([f"cl.{x} = r.{x}" for x in by.split(", ")] if by else [])
+    join_cells = (join_cells + " AND " if join_cells else "") + "cl.a = r.a AND cl.b = c.b"
+    byr = ", ".join(f"r.{x}" for x in by.split(", ")) + ", " if by else ""
+    return f"""rr AS (SELECT {g}a, sum(o) AS r FROM {cells} GROUP BY ALL),
+cc AS (SELECT {g}b, sum(o) AS c FROM {cells} GROUP BY ALL),
+grid AS (SELECT {byr}r.a, c.b, coalesce(cl.o, 0) AS o, r.r, c.c
+         FROM rr r JOIN cc c ON {on} LEFT JOIN {cells} cl ON {join_cells}),
+gsum AS (SELECT {g}sum(o) AS n, count(DISTINCT a) AS nr, count(DISTINCT b) AS nc FROM grid GROUP BY ALL),
+gstat AS (
+  SELECT {('g.' + by.replace(', ', ', g.') + ', ') if by else ''}
+         sum(CASE WHEN (s.nr - 1) * (s.nc - 1) = 1
+                  THEN power(abs(o - r * c / s.n) - least(0.5, abs(o - r * c / s.n)), 2) / (r * c / s.n)
+                  ELSE power(o - r * c / s.n, 2) / (r * c / s.n) END) AS raw_stat,
+         any_value(s.n) AS n, any_value(s.nr) AS nr, any_value(s.nc) AS nc
+  FROM grid g JOIN gsum s ON {(' AND '.join(f'g.{x} = s.{x}' for x in by.split(', '))) if by else 'TRUE'}
+  GROUP BY ALL)"""
+
+
+@register("chi_square_channel_churn_statistics", oracle("""
+SELECT CASE WHEN (nr - 1) * (nc - 1) = 0 THEN 0 ELSE raw_stat END AS statistic,
+       CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof, CAST(n AS BIGINT) AS n,
+       CASE WHEN n > 0 AND least(nr, nc) > 1
+            THEN sqrt((CASE WHEN (nr - 1) * (nc - 1) = 0 THEN 0 ELSE raw_stat END) / (n * (least(nr, nc) - 1)))
+            ELSE 0 END AS cramers_v
+FROM gstat""", ["statistic", "cramers_v"], ctes="""cells AS (
+  SELECT acquisition_channel AS a, CAST(churn_label AS VARCHAR) AS b, count(*) AS o FROM shop_customers
+  WHERE acquisition_channel IS NOT NULL AND churn_label IS NOT NULL GROUP BY 1, 2),
+""" + _grid_chi_sql("cells")))
+def q_chi_stats(spark, sf):
+    return S.chi_square_statistics(A.customers(spark, sf), "acquisition_channel", "churn_label")
+
+
+@register("channel_churn_test", note="p-value by chi-square tail; rows-only")
+def q_chi_test(spark, sf):
+    return S.channel_churn_test(A.customers(spark, sf))
+
+
+# ---------------------------------------------------------------- op 32: Kruskal-Wallis
+
+@register("kruskal_wallis_statistics", oracle("""
+SELECT (12.0 / (CAST(n AS DOUBLE) * (n + 1)) * q - 3.0 * (n + 1)) / (1 - ties / (power(CAST(n AS DOUBLE), 3) - n))
+         AS statistic, CAST(n AS BIGINT) AS n, CAST(k AS BIGINT) AS groups,
+       (SELECT m FROM med ORDER BY md DESC, m LIMIT 1) AS peak_month,
+       (SELECT m FROM med ORDER BY md ASC, m LIMIT 1) AS trough_month
+FROM (SELECT sum(rs * rs / nj) AS q, sum(nj) AS n, count(*) AS k FROM g) x, t""",
+                                               ["statistic"], ctes="""daily AS (
+  SELECT CAST(transaction_date AS DATE) AS d, sum(quantity * unit_price * (1 - discount_pct)) AS revenue
+  FROM shop_tx GROUP BY 1),
+rk AS (SELECT month(d) AS m, revenue,
+              rank() OVER (ORDER BY revenue) + CAST(count(*) OVER (PARTITION BY revenue) - 1 AS DOUBLE) / 2 AS ar
+       FROM daily),
+g AS (SELECT m, sum(ar) AS rs, count(*) AS nj FROM rk GROUP BY m),
+t AS (SELECT sum(power(CAST(c AS DOUBLE), 3) - c) AS ties FROM (SELECT count(*) AS c FROM daily GROUP BY revenue) y),
+med AS (SELECT CAST(month(d) AS BIGINT) AS m, median(revenue) AS md FROM daily GROUP BY 1)"""))
+def q_kw_stats(spark, sf):
+    t = S.revenue_seasonality_test(A.transactions(spark, sf, with_category=False))
+    return t.select("statistic", "n", "groups", "peak_month", "trough_month")
+
+
+@register("revenue_seasonality_test", note="p-value by chi-square tail; rows-only")
+def q_kw_test(spark, sf):
+    return S.revenue_seasonality_test(A.transactions(spark, sf, with_category=False))
+
+
+# ---------------------------------------------------------------- op 33: feature drift
+
+DRIFT_SPLIT = "1998-01-01"
+DRIFT_NUMERIC = ["quantity", "unit_price", "discount_pct", "revenue"]
+DRIFT_CATEGORICAL = ["payment_method", "category", "return_flag"]
+
+
+def drift_frames(spark, sf):
+    tx = A.transactions(spark, sf)
+    split = F.lit(DRIFT_SPLIT).cast("timestamp_ntz")
+    return tx.where(F.col("transaction_date") < split), tx.where(F.col("transaction_date") >= split)
+
+
+_side = f"CASE WHEN transaction_date < TIMESTAMP '{DRIFT_SPLIT}' THEN 0 ELSE 1 END"
+_nl = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, {_side} AS side FROM shop_tx"
+                         for c in DRIFT_NUMERIC)
+_cl = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, {_side} AS side FROM shop_tx"
+                         for c in DRIFT_CATEGORICAL)
+DRIFT_SQL = f"""nl AS ({_nl}),
+kc AS (SELECT feature, value, count(*) FILTER (WHERE side = 0) AS c0, count(*) FILTER (WHERE side = 1) AS c1
+       FROM nl WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1, 2),
+kcum AS (SELECT feature, sum(c0) OVER (PARTITION BY feature ORDER BY value) AS cc0,
+                sum(c1) OVER (PARTITION BY feature ORDER BY value) AS cc1,
+                sum(c0) OVER (PARTITION BY feature) AS n0, sum(c1) OVER (PARTITION BY feature) AS n1
+         FROM kc),
+ks AS (SELECT feature, 'numeric' AS feature_type, 'Kolmogorov-Smirnov' AS test_name,
+              CASE WHEN max(n0) > 0 AND max(n1) > 0 THEN max(abs(cc0 / n0 - cc1 / n1)) ELSE 0 END AS statistic,
+              CAST(max(n0) AS BIGINT) AS n_ref, CAST(max(n1) AS BIGINT) AS n_cur, CAST(NULL AS BIGINT) AS dof
+       FROM kcum GROUP BY feature),
+cl AS ({_cl}),
+cells AS (SELECT feature, CAST(side AS VARCHAR) AS a, value AS b, count(*) AS o FROM cl
+          WHERE value IS NOT NULL GROUP BY 1, 2, 3),
+{_grid_chi_sql("cells", "feature")},
+chi AS (SELECT feature, 'categorical' AS feature_type, 'Chi-Square' AS test_name,
+               CASE WHEN nc > 1 AND nr = 2 THEN raw_stat ELSE 0 END AS statistic,
+               (SELECT count(*) FROM cl x WHERE x.feature = gstat.feature AND x.side = 0 AND x.value IS NOT NULL) AS n_ref,
+               (SELECT count(*) FROM cl x WHERE x.feature = gstat.feature AND x.side = 1 AND x.value IS NOT NULL) AS n_cur,
+               CAST(CASE WHEN nc > 1 AND nr = 2 THEN (nr - 1) * (nc - 1) ELSE 0 END AS BIGINT) AS dof
+        FROM gstat)"""
+
+
+@register("feature_drift_statistics", oracle(
+    "SELECT feature, feature_type, test_name, CAST(statistic AS DOUBLE) AS statistic, n_ref, n_cur, dof FROM ks "
+    "UNION ALL SELECT feature, feature_type, test_name, CAST(statistic AS DOUBLE), n_ref, n_cur, dof FROM chi",
+    ["statistic"], ctes=DRIFT_SQL))
+def q_drift_stats(spark, sf):
+    ref, cur = drift_frames(spark, sf)
+    return S.drift_statistics(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+
+
+@register("feature_drift", note="p-values by Kolmogorov / chi-square tails; rows-only")
+def q_drift(spark, sf):
+    ref, cur = drift_frames(spark, sf)
+    return S.feature_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
