@@ -52,7 +52,7 @@ def comparable_frame(df: DataFrame) -> DataFrame:
 
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
-    from . import queries_features, queries_analysis, queries_models  # noqa: F401
+    from . import queries_features, queries_analysis, queries_models, queries_ml  # noqa: F401
     return REGISTRY
 
 
