@@ -108,8 +108,9 @@ def flatten_ensemble(tree_model) -> list[dict]:
     nodes = nodes.select("treeID", "nodeData.*").collect()
     weights = {0: 1.0}
     try:
-        meta = spark.read.parquet(f"{path}/treesMetadata").select("treeID", "weights").collect()
-        weights = {r["treeID"]: float(r["weights"]) for r in meta}
+        meta = spark.read.parquet(f"{path}/treesMetadata")
+        tid, wcol = ("treeID", "weights") if "treeID" in meta.columns else ("_1", "_3")
+        weights = {r[0]: float(r[1]) for r in meta.select(tid, wcol).collect()}
     except Exception:  # noqa: BLE001 - single trees have no ensemble metadata
         pass
     trees: dict[int, list] = {}

@@ -185,6 +185,10 @@ def preprocessing_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -
 def class_weights(df: DataFrame, model_type: str, label: str = LABEL) -> DataFrame:
     """Add ``weight``: boosted ('xgboost') positives n_neg / n_pos; 'balanced' elsewhere
     (n / (2 n_class)). Counts are two scalars from one aggregate."""
+    return _weighted(df, model_type, label)[0]
+
+
+def _weighted(df: DataFrame, model_type: str, label: str = LABEL):
     row = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
     pos, n = int(row["p"]), int(row["n"])
     neg = n - pos
@@ -193,11 +197,20 @@ def class_weights(df: DataFrame, model_type: str, label: str = LABEL) -> DataFra
     else:
         w_pos = n / (2.0 * pos) if pos else 1.0
         w_neg = n / (2.0 * neg) if neg else 1.0
-    return df.withColumn("weight", F.when(F.col(label) == 1, F.lit(w_pos)).otherwise(F.lit(w_neg)))
+    total = w_pos * pos + w_neg * neg
+    out = df.withColumn("weight", F.when(F.col(label) == 1, F.lit(w_pos)).otherwise(F.lit(w_neg)))
+    return out, total
+
+
+def inverse_c_to_reg(c: float, total_weight: float) -> float:
+    """L2 strength C (loss summed, 0.5 ||w||^2 penalty) as Spark's regParam (loss averaged)."""
+    return 1.0 / (c * max(total_weight, 1.0))
 
 
-def classifier(model_type: str, label: str = LABEL, seed: int = 42, **overrides):
-    """Spark ML classifier for a model family (100 trees, depth 5, step 0.1 for boosting)."""
+def classifier(model_type: str, label: str = LABEL, seed: int = 42, total_weight: float = 1.0,
+               **overrides):
+    """Spark ML classifier for a model family (100 trees, depth 5, step 0.1 for boosting;
+    logistic regression with L2 strength C = 1 on the already scaled features)."""
     common = dict(featuresCol="features", labelCol=label, weightCol="weight")
     if model_type in ("xgboost", "lightgbm"):
         params = dict(maxIter=100, maxDepth=5, stepSize=0.1, seed=seed)
@@ -208,7 +221,9 @@ def classifier(model_type: str, label: str = LABEL, seed: int = 42, **overrides)
         params.update(overrides)
         return RandomForestClassifier(**common, **params)
     if model_type == "logistic_regression":
-        params = dict(maxIter=1000)
+        c = overrides.pop("C", 1.0)
+        params = dict(maxIter=1000, regParam=inverse_c_to_reg(c, total_weight), elasticNetParam=0.0,
+                      standardization=False)
         params.update(overrides)
         return LogisticRegression(**common, **params)
     raise ValueError(f"Unknown model type: {model_type}")
@@ -228,20 +243,29 @@ def train_churn_model(df: DataFrame, numeric: Sequence[str], categorical: Sequen
     if model_type not in MODEL_TYPES:
         raise ValueError(f"Unknown model type: {model_type}")
     split = stratified_split(df, label, 0.2, seed, id_col)
-    tr = class_weights(split.where(F.col("split") == "train"), model_type, label)
+    tr, tr_w = _weighted(split.where(F.col("split") == "train"), model_type, label)
     va = split.where(F.col("split") == "test")
-    stages = preprocessing_stages(numeric, categorical)
-    clf = classifier(model_type, label, seed, **overrides)
-    val_model = Pipeline(stages=stages + [clf]).fit(tr)
+    clf = classifier(model_type, label, seed, tr_w, **dict(overrides))
+    val_model = Pipeline(stages=preprocessing_stages(numeric, categorical) + [clf]).fit(tr)
     scored = churn_probability(val_model.transform(va)).select(
         F.col(label).alias("label"), "score")
     val_metrics = classification_metrics(scored)
+    full_df, full_w = _weighted(df, model_type, label)
     full = Pipeline(stages=preprocessing_stages(numeric, categorical)
-                    + [classifier(model_type, label, seed, **overrides)]).fit(
-        class_weights(df, model_type, label))
+                    + [classifier(model_type, label, seed, full_w, **dict(overrides))]).fit(full_df)
     return full, val_metrics
 
 
+def fit_churn_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
+                    model_type: str = "xgboost", label: str = LABEL, seed: int = 42, **overrides):
+    """One weighted fit of preprocessing + classifier on ``df`` (no inner validation)."""
+    if model_type not in MODEL_TYPES:
+        raise ValueError(f"Unknown model type: {model_type}")
+    data, w = _weighted(df, model_type, label)
+    return Pipeline(stages=preprocessing_stages(numeric, categorical)
+                    + [classifier(model_type, label, seed, w, **dict(overrides))]).fit(data)
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (CID,)) -> DataFrame:
     """Probability of class 1 as ``score`` next to the kept columns."""
     return churn_probability(model.transform(df)).select(*keep, "score")
@@ -259,7 +283,7 @@ SEARCH_GRIDS = {
                  "stepSize": [0.01, 0.05, 0.1, 0.2], "subsamplingRate": [0.6, 0.8, 1.0]},
     "random_forest": {"numTrees": [50, 100, 150, 200], "maxDepth": [3, 5, 7, 10],
                       "minInstancesPerNode": [1, 2, 5]},
-    "logistic_regression": {"regParam": [100.0, 10.0, 1.0, 0.1], "elasticNetParam": [0.0]},
+    "logistic_regression": {"C": [0.01, 0.1, 1.0, 10.0]},
 }
 
 
@@ -274,21 +298,25 @@ def tune_churn_model(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
     """
     if model_type not in MODEL_TYPES:
         raise ValueError(f"Unknown model type: {model_type}")
-    clf = classifier(model_type, label, seed)
-    space = grid or SEARCH_GRIDS[model_type]
+    data, total = _weighted(stratified_folds(df, folds, label, seed, id_col), model_type, label)
+    train_weight = total * (folds - 1) / folds
+    clf = classifier(model_type, label, seed, train_weight)
+    space = dict(grid or SEARCH_GRIDS[model_type])
     builder = ParamGridBuilder()
     for name, values in space.items():
-        builder = builder.addGrid(clf.getParam(name), values)
+        if name == "C":  # sklearn-style inverse L2 strength -> Spark regParam
+            builder = builder.addGrid(clf.regParam, [inverse_c_to_reg(c, train_weight) for c in values])
+        else:
+            builder = builder.addGrid(clf.getParam(name), values)
     maps = builder.build()
     rng = random.Random(seed)
     if n_trials < len(maps):
         maps = rng.sample(maps, n_trials)
-    data = class_weights(stratified_folds(df, folds, label, seed, id_col), model_type, label)
     pipe = Pipeline(stages=preprocessing_stages(numeric, categorical) + [clf])
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
                         evaluator=BinaryClassificationEvaluator(labelCol=label,
                                                                 metricName="areaUnderROC"),
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
     cvm = cv.fit(data)
     scores = list(cvm.avgMetrics)
     best = max(range(len(scores)), key=lambda i: (scores[i], -i))
@@ -317,7 +345,7 @@ def recursive_feature_elimination(df: DataFrame, numeric: Sequence[str], min_fea
 
     Returns {selected_features, optimal_n_features, n_features, cv_scores_mean, cv_scores_std}.
     """
-    data = class_weights(stratified_folds(df, folds, label, seed, id_col), model_type, label)
+    data, total = _weighted(stratified_folds(df, folds, label, seed, id_col), model_type, label)
     data = data.cache()
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     current = list(numeric)
@@ -327,7 +355,8 @@ def recursive_feature_elimination(df: DataFrame, numeric: Sequence[str], min_fea
         for k in range(folds):
             tr, te = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
             m = Pipeline(stages=preprocessing_stages(current, [])
-                         + [classifier(model_type, label, seed, **overrides)]).fit(tr)
+                         + [classifier(model_type, label, seed, total * (folds - 1) / folds,
+                                       **dict(overrides))]).fit(tr)
             fold_scores.append(evaluator.evaluate(m.transform(te)))
         mean = sum(fold_scores) / folds
         std = (sum((s - mean) ** 2 for s in fold_scores) / folds) ** 0.5
@@ -335,7 +364,7 @@ def recursive_feature_elimination(df: DataFrame, numeric: Sequence[str], min_fea
         if len(current) <= max(min_features, 1):
             break
         full = Pipeline(stages=preprocessing_stages(current, [])
-                        + [classifier(model_type, label, seed, **overrides)]).fit(data)
+                        + [classifier(model_type, label, seed, total, **dict(overrides))]).fit(data)
         imp = _importances(full, len(current))
         weakest = min(range(len(current)), key=lambda i: (imp[i], i))
         current.pop(weakest)

@@ -72,13 +72,14 @@ def q_model_lr(spark, sf):
     return metrics
 
 
-@register("churn_model_comparison", note="four Spark ML fits scored on all rows; rows-only")
+@register("churn_model_comparison", note="four Spark ML fits scored on a held-out split; rows-only")
 def q_model_comparison(spark, sf):
-    data = model_frame(spark, sf)
+    split = materialize(ML.stratified_split(model_frame(spark, sf)), "model-split")
+    train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     scored = None
     for mt in ML.MODEL_TYPES:
-        model, _ = ML.train_churn_model(data, NUMERIC, CATEGORICAL, mt)
-        s = ML.score(model, data, keep=("customer_id", "churn_label")).select(
+        model = ML.fit_churn_model(train, NUMERIC, CATEGORICAL, mt)
+        s = ML.score(model, test, keep=("customer_id", "churn_label")).select(
             F.lit(mt).alias("model_name"), F.col("churn_label").alias("label"), "score")
         scored = s if scored is None else scored.unionByName(s)
     return M.compare_models(scored)
