@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import (as_datetime, elapsed_days, net_revenue, rfm_segment,
                                  safe_ratio, ts_literal)
-from ..session import scalar
+from ..session import materialize, scalar
 from .ranks import running_totals
 
 CID = "customer_id"
@@ -37,18 +37,20 @@ PEAK_MONTHS = (10, 11, 12)
 # helpers
 
 
-def modes(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+def modes(df: DataFrame, key: str, columns: Mapping[str, str], weight: str | None = None) -> DataFrame:
     """Most frequent non-null value per ``key`` for each column, ties -> smallest value.
 
     Two partial aggregations: counts per (key, column, value), then the best value per key.
-    Values come back as strings.
+    With ``weight`` each row counts that many times (pre-aggregated input). Values come
+    back as strings.
     """
+    w = F.col(weight) if weight else F.lit(1)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(out).alias("attr"), F.col(src).cast("string").alias("val"))
         for out, src in columns.items()]))
-    long = df.select(key, pairs.alias("p")).select(key, "p.attr", "p.val").where(
+    long = df.select(key, w.alias("_w"), pairs.alias("p")).select(key, "_w", "p.attr", "p.val").where(
         F.col("val").isNotNull())
-    counts = long.groupBy(key, "attr", "val").agg(F.count(F.lit(1)).alias("n"))
+    counts = long.groupBy(key, "attr", "val").agg(F.sum("_w").alias("n"))
     best = [F.min(F.when(F.col("attr") == out,
                          F.struct((-F.col("n")).alias("neg_n"), F.col("val").alias("val"))))
             .getField("val").alias(out) for out in columns]
@@ -83,13 +85,36 @@ def churn_labels(customers: DataFrame, purchases: DataFrame, max_frequency: int
 # ops 8-10: RFM
 
 
-def rfm_base(tx: DataFrame, snapshot, revenue: str | None = None,
-             date_col: str = "transaction_date") -> DataFrame:
-    """recency_days, frequency, monetary_total, monetary_avg per customer."""
-    agg = tx.groupBy(CID).agg(
-        F.max(date_col).alias("_last"),
-        F.count(F.lit(1)).alias("frequency"),
-        F.sum(_revenue_col(tx, revenue)).alias("monetary_total"))
+def _line_summary(tx: DataFrame, revenue: str | None, date_col: str) -> DataFrame:
+    """Transactions in summary form without aggregating (one row per line, _n = 1)."""
+    cols = [F.col(CID), F.col(date_col).alias("_t"), F.lit(1).cast("long").alias("_n"),
+            _revenue_col(tx, revenue).alias("_rev")]
+    if "discount_pct" in tx.columns:
+        cols.append(F.col("discount_pct").alias("_disc"))
+    if "return_flag" in tx.columns:
+        cols.append(F.col("return_flag").cast("long").alias("_ret"))
+    cols += [F.col(c) for c in ("payment_method", "category") if c in tx.columns]
+    return tx.select(*cols)
+
+
+def transaction_summary(tx: DataFrame, revenue: str | None = None,
+                        date_col: str = "transaction_date") -> DataFrame:
+    """One pre-aggregated pass over the fact table at (customer, timestamp, payment,
+    category) grain: line count, net revenue, discount sum and return count.
+
+    Every per-customer transaction feature is decomposable over this grain, so the master
+    table scans and joins the fact once and all branches read the (smaller) summary.
+    """
+    lines = _line_summary(tx, revenue, date_col)
+    keys = [c for c in (CID, "_t", "payment_method", "category") if c in lines.columns]
+    aggs = [F.sum("_n").alias("_n"), F.sum("_rev").alias("_rev")]
+    aggs += [F.sum(c).alias(c) for c in ("_disc", "_ret") if c in lines.columns]
+    return lines.groupBy(*keys).agg(*aggs)
+
+
+def _rfm_from_summary(s: DataFrame, snapshot) -> DataFrame:
+    agg = s.groupBy(CID).agg(F.max("_t").alias("_last"), F.sum("_n").alias("frequency"),
+                             F.sum("_rev").alias("monetary_total"))
     return agg.select(
         CID,
         elapsed_days(ts_literal(snapshot), F.col("_last")).alias("recency_days"),
@@ -97,6 +122,12 @@ def rfm_base(tx: DataFrame, snapshot, revenue: str | None = None,
         safe_ratio("monetary_total", "frequency").alias("monetary_avg"))
 
 
+def rfm_base(tx: DataFrame, snapshot, revenue: str | None = None,
+             date_col: str = "transaction_date") -> DataFrame:
+    """recency_days, frequency, monetary_total, monetary_avg per customer."""
+    return _rfm_from_summary(_line_summary(tx, revenue, date_col), snapshot)
+
+
 def quintile_bucket(rank, n) -> "F.Column":
     """Bucket 1..5 of a 1-based rank among n by equal-width cuts of the rank range.
 
@@ -141,40 +172,53 @@ def rfm_features(tx: DataFrame, snapshot, revenue: str | None = None) -> DataFra
 # ops 11-15: behavioural features
 
 
-def behavioral_features(evt: DataFrame, snapshot, date_col: str = "event_date",
-                        duration_col: str = "session_duration_sec") -> DataFrame:
-    """Per customer with events: total_sessions, avg_session_duration, total_page_views,
-    cart_add_count, cart_to_purchase_ratio, wishlist_count, preferred_device,
-    preferred_category, days_since_last_event, event_recency_trend.
+def event_summary(evt: DataFrame, date_col: str = "event_date",
+                  duration_col: str = "session_duration_sec") -> DataFrame:
+    """One pre-aggregated pass over events at (customer, day, type, device, page category)
+    grain: event count, duration sum and non-null duration count."""
+    return evt.groupBy(CID, F.col(date_col).alias("_d"), "event_type", "device_type",
+                       "page_category").agg(F.count(F.lit(1)).alias("_n"),
+                                            F.sum(duration_col).alias("_dur"),
+                                            F.count(duration_col).alias("_dur_n"))
 
-    The trend is the least-squares slope of weekly event counts over the 12 weeks before
-    the snapshot (window (snapshot-84d, snapshot]); null when the customer has no event in
-    that window.
-    """
+
+def _event_lines(evt: DataFrame, date_col: str, duration_col: str) -> DataFrame:
+    return evt.select(CID, F.col(date_col).alias("_d"), "event_type", "device_type",
+                      "page_category", F.lit(1).cast("long").alias("_n"),
+                      F.col(duration_col).alias("_dur"),
+                      F.col(duration_col).isNotNull().cast("long").alias("_dur_n"))
+
+
+def _behavioral_from_summary(s: DataFrame, snapshot) -> DataFrame:
     snap = as_datetime(snapshot)
     start = snap - _dt.timedelta(weeks=TREND_WEEKS)
-    d = F.col(date_col)
+    d = F.col("_d")
     in_window = (d > ts_literal(start)) & (d <= ts_literal(snap))
     week = F.least(F.greatest(F.floor(elapsed_days(d, ts_literal(start)) / 7), F.lit(0)),
                    F.lit(TREND_WEEKS - 1))
     et = F.col("event_type")
-    main = evt.groupBy(CID).agg(
+    n = F.col("_n")
+
+    def count_type(t):
+        return F.coalesce(F.sum(F.when(et == t, n)), F.lit(0)).cast("long")
+
+    main = s.groupBy(CID).agg(
         F.count_distinct(d).alias("total_sessions"),
-        F.avg(duration_col).alias("avg_session_duration"),
-        F.count_if(et == "page_view").alias("total_page_views"),
-        F.count_if(et == "add_to_cart").alias("cart_add_count"),
-        F.count_if(et == "purchase").alias("_purchases"),
-        F.count_if(et == "wishlist_add").alias("wishlist_count"),
+        (F.sum("_dur") / F.sum("_dur_n")).alias("avg_session_duration"),
+        count_type("page_view").alias("total_page_views"),
+        count_type("add_to_cart").alias("cart_add_count"),
+        count_type("purchase").alias("_purchases"),
+        count_type("wishlist_add").alias("wishlist_count"),
         F.max(d).alias("_last_event"),
-        F.sum(F.when(in_window, week - TREND_CENTER)).alias("_trend_sum"))
+        F.sum(F.when(in_window, (week - TREND_CENTER) * n)).alias("_trend_sum"))
     main = main.select(
         CID, "total_sessions", "avg_session_duration", "total_page_views", "cart_add_count",
         safe_ratio("_purchases", "cart_add_count").alias("cart_to_purchase_ratio"),
         "wishlist_count",
         elapsed_days(ts_literal(snap), F.col("_last_event")).alias("days_since_last_event"),
         (F.col("_trend_sum") / TREND_SXX).alias("event_recency_trend"))
-    pref = modes(evt, CID, {"preferred_device": "device_type",
-                            "preferred_category": "page_category"})
+    pref = modes(s, CID, {"preferred_device": "device_type",
+                          "preferred_category": "page_category"}, weight="_n")
     out = main.join(pref, CID, "left")
     return out.select(
         CID, "total_sessions", "avg_session_duration", "total_page_views", "cart_add_count",
@@ -184,66 +228,87 @@ def behavioral_features(evt: DataFrame, snapshot, date_col: str = "event_date",
         "days_since_last_event", "event_recency_trend")
 
 
+def behavioral_features(evt: DataFrame, snapshot, date_col: str = "event_date",
+                        duration_col: str = "session_duration_sec") -> DataFrame:
+    """Per customer with events: total_sessions, avg_session_duration, total_page_views,
+    cart_add_count, cart_to_purchase_ratio, wishlist_count, preferred_device,
+    preferred_category, days_since_last_event, event_recency_trend.
+
+    The trend is the least-squares slope of weekly event counts over the 12 weeks before
+    the snapshot (window (snapshot-84d, snapshot]); null when the customer has no event in
+    that window.
+    """
+    return _behavioral_from_summary(_event_lines(evt, date_col, duration_col), snapshot)
+
+
 # ---------------------------------------------------------------------------------------
 # ops 16-19: transaction features
 
 
-def purchase_gap_stats(tx: DataFrame, date_col: str = "transaction_date") -> DataFrame:
-    """Mean and population std of whole days between consecutive purchases; null for
-    customers with fewer than two purchases.
-
-    Purchases are first counted per (customer, timestamp): equal timestamps are gaps of 0,
-    so only distinct timestamps need ordering. The ordered window then holds one row per
-    distinct purchase time of a customer (for day-stamped facts, bounded by the calendar,
-    not by the number of rows of a hot customer).
-    """
-    per_ts = tx.groupBy(CID, F.col(date_col).alias("_t")).agg(F.count(F.lit(1)).alias("_c"))
+def _gaps_from_summary(s: DataFrame) -> DataFrame:
+    per_ts = s.groupBy(CID, "_t").agg(F.sum("_n").alias("_c"))
     w = Window.partitionBy(CID).orderBy("_t")
     wc = Window.partitionBy(CID)
     g = (per_ts
          .withColumn("_gap", elapsed_days(F.col("_t"), F.lag("_t").over(w)))
-         .withColumn("_n", F.sum("_c").over(wc))
+         .withColumn("_nn", F.sum("_c").over(wc))
          .withColumn("_sum_gap", F.coalesce(F.sum("_gap").over(wc), F.lit(0))))
-    mean = F.col("_sum_gap") / (F.col("_n") - 1)
-    g = g.withColumn("_mean", F.when(F.col("_n") >= 2, mean))
+    mean = F.col("_sum_gap") / (F.col("_nn") - 1)
+    g = g.withColumn("_mean", F.when(F.col("_nn") >= 2, mean))
     # squared deviations: each distinct-time transition, plus (c - 1) zero gaps per time
     dev = (F.coalesce((F.col("_gap") - F.col("_mean")) ** 2, F.lit(0.0))
            + (F.col("_c") - 1) * F.col("_mean") ** 2)
     out = g.groupBy(CID).agg(F.first("_mean").alias("purchase_gap_mean"),
-                             F.sum(dev).alias("_ss"), F.first("_n").alias("_n"))
+                             F.sum(dev).alias("_ss"), F.first("_nn").alias("_nn"))
     return out.select(CID, "purchase_gap_mean",
-                      F.when(F.col("_n") >= 2, F.sqrt(F.col("_ss") / (F.col("_n") - 1)))
+                      F.when(F.col("_nn") >= 2, F.sqrt(F.col("_ss") / (F.col("_nn") - 1)))
                       .alias("purchase_gap_std"))
 
 
-def transaction_features(tx: DataFrame, snapshot, revenue: str | None = None,
-                         date_col: str = "transaction_date") -> DataFrame:
-    """Per customer with transactions: category_diversity, preferred_payment,
-    avg_discount_received, return_rate, revenue_last_30d/90d/180d (net revenue on or after
-    snapshot - N days, no upper bound, 0 if none), purchase_gap_mean, purchase_gap_std,
-    peak_season_purchase_ratio."""
+def purchase_gap_stats(tx: DataFrame, date_col: str = "transaction_date") -> DataFrame:
+    """Mean and population std of whole days between consecutive purchases; null for
+    customers with fewer than two purchases.
+
+    Purchases are first counted per (customer, timestamp): equal timestamps are gaps of 0,
+    so only distinct timestamps need ordering. The ordered window then holds one row per
+    distinct purchase time of a customer (for day-stamped facts, bounded by the calendar,
+    not by the number of rows of a hot customer).
+    """
+    return _gaps_from_summary(tx.select(CID, F.col(date_col).alias("_t"),
+                                        F.lit(1).cast("long").alias("_n")))
+
+
+def _transaction_from_summary(s: DataFrame, snapshot) -> DataFrame:
     snap = as_datetime(snapshot)
-    rev = _revenue_col(tx, revenue)
-    d = F.col(date_col)
-    trailing = [F.coalesce(F.sum(F.when(d >= ts_literal(snap - _dt.timedelta(days=n)), rev)),
-                           F.lit(0.0)).alias(f"revenue_last_{n}d") for n in TRAILING_DAYS]
-    main = tx.groupBy(CID).agg(
+    d, n = F.col("_t"), F.col("_n")
+    trailing = [F.coalesce(F.sum(F.when(d >= ts_literal(snap - _dt.timedelta(days=k)), F.col("_rev"))),
+                           F.lit(0.0)).alias(f"revenue_last_{k}d") for k in TRAILING_DAYS]
+    main = s.groupBy(CID).agg(
         F.count_distinct("category").alias("category_diversity"),
-        F.avg("discount_pct").alias("avg_discount_received"),
-        F.avg(F.col("return_flag").cast("double")).alias("return_rate"),
+        (F.sum("_disc") / F.sum("_n")).alias("avg_discount_received"),
+        (F.sum("_ret") / F.sum("_n")).alias("return_rate"),
         *trailing,
-        F.avg(F.month(d).isin(*PEAK_MONTHS).cast("double")).alias("peak_season_purchase_ratio"))
-    pay = modes(tx, CID, {"preferred_payment": "payment_method"})
-    gaps = purchase_gap_stats(tx, date_col)
-    out = main.join(pay, CID, "left").join(gaps, CID, "left")
+        (F.sum(F.when(F.month(d).isin(*PEAK_MONTHS), n).otherwise(0)) / F.sum(n))
+        .alias("peak_season_purchase_ratio"))
+    pay = modes(s, CID, {"preferred_payment": "payment_method"}, weight="_n")
+    out = main.join(pay, CID, "left").join(_gaps_from_summary(s), CID, "left")
     return out.select(
         CID, "category_diversity",
         F.coalesce("preferred_payment", F.lit("unknown")).alias("preferred_payment"),
         "avg_discount_received", "return_rate",
-        *[f"revenue_last_{n}d" for n in TRAILING_DAYS],
+        *[f"revenue_last_{k}d" for k in TRAILING_DAYS],
         "purchase_gap_mean", "purchase_gap_std", "peak_season_purchase_ratio")
 
 
+def transaction_features(tx: DataFrame, snapshot, revenue: str | None = None,
+                         date_col: str = "transaction_date") -> DataFrame:
+    """Per customer with transactions: category_diversity, preferred_payment,
+    avg_discount_received, return_rate, revenue_last_30d/90d/180d (net revenue on or after
+    snapshot - N days, no upper bound, 0 if none), purchase_gap_mean, purchase_gap_std,
+    peak_season_purchase_ratio."""
+    return _transaction_from_summary(_line_summary(tx, revenue, date_col), snapshot)
+
+
 # ---------------------------------------------------------------------------------------
 # op 20: master table
 
@@ -289,11 +354,18 @@ def master_feature_table(customers: DataFrame, rfm: DataFrame, behavioral: DataF
 
 def build_master(customers: DataFrame, tx: DataFrame, evt: DataFrame, tx_snapshot,
                  event_snapshot=None, flag_missing: bool = False) -> DataFrame:
-    """Ops 8-20 end to end: one pass per fact table, joined on customer_id."""
+    """Ops 8-20 end to end with one pass per fact table.
+
+    The transaction and event summaries are written once to the checkpoint folder; RFM,
+    scores, transaction and behavioural features all read them, so the fact join and scans
+    are not repeated per feature branch.
+    """
     event_snapshot = event_snapshot or tx_snapshot
-    return master_feature_table(customers, rfm_features(tx, tx_snapshot),
-                                behavioral_features(evt, event_snapshot),
-                                transaction_features(tx, tx_snapshot), flag_missing)
+    ts_ = materialize(transaction_summary(tx), "tx-summary")
+    es_ = materialize(event_summary(evt), "event-summary")
+    rfm = rfm_scores(_rfm_from_summary(ts_, tx_snapshot))
+    return master_feature_table(customers, rfm, _behavioral_from_summary(es_, event_snapshot),
+                                _transaction_from_summary(ts_, tx_snapshot), flag_missing)
 
 
 # ---------------------------------------------------------------------------------------
