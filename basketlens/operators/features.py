@@ -152,13 +152,27 @@ def rfm_scores(rfm: DataFrame) -> DataFrame:
     )).alias("x")).select(CID, "x.m", "x.v")
     ranked = running_totals(long, ["v", CID], by=["m"], label="rfm")
     ranked = ranked.withColumn("_b", quintile_bucket("_rank", "_n"))
+
+    def pick(m, c):
+        return F.max(F.when(F.col("m") == m, F.col(c)))
+
     scores = ranked.groupBy(CID).agg(
-        (6 - F.max(F.when(F.col("m") == "r", F.col("_b")))).alias("rfm_recency_score"),
-        F.max(F.when(F.col("m") == "f", F.col("_b"))).alias("rfm_frequency_score"),
-        F.max(F.when(F.col("m") == "m", F.col("_b"))).alias("rfm_monetary_score"))
+        (6 - pick("r", "_b")).alias("rfm_recency_score"),
+        pick("f", "_b").alias("rfm_frequency_score"),
+        pick("m", "_b").alias("rfm_monetary_score"),
+        pick("r", "v").alias("_r"), pick("f", "v").alias("_f"), pick("m", "v").alias("_mt"))
+    if set(rfm.columns) <= {CID, "recency_days", "frequency", "monetary_total", "monetary_avg"}:
+        # the measures travel through the (written) ranked table: no second pass over the
+        # input that produced ``rfm``
+        out = scores.select(
+            CID, F.col("_r").cast("long").alias("recency_days"),
+            F.col("_f").cast("long").alias("frequency"), F.col("_mt").alias("monetary_total"),
+            safe_ratio("_mt", "_f").alias("monetary_avg"),
+            "rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score")
+    else:
+        out = rfm.join(scores.drop("_r", "_f", "_mt"), CID, "left")
     total = F.col("rfm_recency_score") + F.col("rfm_frequency_score") + F.col("rfm_monetary_score")
-    return (rfm.join(scores, CID, "left")
-            .withColumn("rfm_total_score", total)
+    return (out.withColumn("rfm_total_score", total)
             .withColumn("rfm_segment", F.when(total.isNull(), F.lit(None).cast("string"))
                         .otherwise(rfm_segment(total))))
 
@@ -238,7 +252,7 @@ def behavioral_features(evt: DataFrame, snapshot, date_col: str = "event_date",
     the snapshot (window (snapshot-84d, snapshot]); null when the customer has no event in
     that window.
     """
-    return _behavioral_from_summary(_event_lines(evt, date_col, duration_col), snapshot)
+    return _behavioral_from_summary(event_summary(evt, date_col, duration_col), snapshot)
 
 
 # ---------------------------------------------------------------------------------------
@@ -306,7 +320,10 @@ def transaction_features(tx: DataFrame, snapshot, revenue: str | None = None,
     avg_discount_received, return_rate, revenue_last_30d/90d/180d (net revenue on or after
     snapshot - N days, no upper bound, 0 if none), purchase_gap_mean, purchase_gap_std,
     peak_season_purchase_ratio."""
-    return _transaction_from_summary(_line_summary(tx, revenue, date_col), snapshot)
+    # three branches (aggregates, payment mode, gaps) read one written summary, so the fact
+    # table is scanned and joined once
+    summary = materialize(transaction_summary(tx, revenue, date_col), "tx-summary")
+    return _transaction_from_summary(summary, snapshot)
 
 
 # ---------------------------------------------------------------------------------------
