@@ -75,27 +75,34 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                     label: str = "quantiles") -> DataFrame:
     """Exact quantiles with linear interpolation (h = (n-1)q), nulls and NaN ignored.
 
-    Returns one row per group with columns ``q_<i>`` for each prob (in order) and ``n``.
-    Only the rows at the needed ranks leave the ranked table.
+    Values are first counted (partial aggregation collapses repeats, including a value that
+    holds a large share of the rows), then only the distinct values are ranked by running
+    count. The value at 0-based position p is the one whose count block covers p. Returns
+    one row per group with ``q_<i>`` for each prob (in order) and ``n``.
     """
     by = list(by)
-    clean = df.select(*by, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = running_totals(clean, ["_v"], by, label=label)
-    r0 = F.col("_rank") - 1
+    counted = (df.select(*by, F.col(value).cast("double").alias("_v"))
+               .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+               .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ranked = running_totals(counted, ["_v"], by, sums=["_c"], label=label)
+    n = F.col("_tot__c")
+    hi_pos = F.col("_cum__c")             # positions [hi_pos - _c, hi_pos) hold this value
+    lo_pos = hi_pos - F.col("_c")
     conds, aggs = [], []
     for i, q in enumerate(probs):
-        h = (F.col("_n") - 1).cast("double") * F.lit(float(q))
-        lo, hi = F.floor(h), F.ceil(h)
-        conds.append((r0 == lo) | (r0 == hi))
+        h = (n - 1).cast("double") * F.lit(float(q))
         ranked = ranked.withColumn(f"_h{i}", h)
-        aggs.append(F.max(F.when(r0 == F.floor(F.col(f"_h{i}")), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(r0 == F.ceil(F.col(f"_h{i}")), F.col("_v"))).alias(f"_hi{i}"))
-        aggs.append(F.max(F.col(f"_h{i}") - F.floor(F.col(f"_h{i}"))).alias(f"_f{i}"))
+        lo, hi = F.floor(F.col(f"_h{i}")), F.ceil(F.col(f"_h{i}"))
+        has_lo = (lo >= lo_pos) & (lo < hi_pos)
+        has_hi = (hi >= lo_pos) & (hi < hi_pos)
+        conds.append(has_lo | has_hi)
+        aggs.append(F.max(F.when(has_lo, F.col("_v"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(has_hi, F.col("_v"))).alias(f"_hi{i}"))
+        aggs.append(F.max(F.col(f"_h{i}") - lo).alias(f"_f{i}"))
     cond = conds[0]
     for c in conds[1:]:
         cond = cond | c
-    picked = ranked.where(cond).groupBy(*by).agg(F.max("_n").alias("n"), *aggs)
+    picked = ranked.where(cond).groupBy(*by).agg(F.max(n).alias("n"), *aggs)
     out = [F.col(b) for b in by]
     for i, _ in enumerate(probs):
         lo, hi, f = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_f{i}")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import gross_revenue
 from ..functions.stats import chi2_sf_udf, kolmogorov_sf_udf, norm_sf_udf
+from ..session import materialize
 from .ranks import exact_quantiles, running_totals, tie_average_ranks
 
 CID = "customer_id"
@@ -218,29 +219,39 @@ def revenue_seasonality_test(tx: DataFrame, date_col: str = "transaction_date")
 # op 33: feature drift
 
 
-def _side_long(ref: DataFrame, cur: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
-    def one(df, side):
-        return df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast(as_type).alias("value"))
-            for c in columns])).alias("x")).select("x.feature", "x.value", F.lit(side).alias("side"))
-    out = one(ref, 0).unionByName(one(cur, 1)).where(F.col("value").isNotNull())
-    if as_type == "double":
-        out = out.where(~F.isnan("value"))
-    return out
-
-
-def drift_statistics(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
-                     categorical: Sequence[str]) -> DataFrame:
+def drift_counts(df: DataFrame, side: str, numeric: Sequence[str],
+                 categorical: Sequence[str]) -> DataFrame:
+    """One pass: (feature, kind, num, cat, c0, c1) = per-value counts on the reference
+    (side 0) and current (side 1) rows, nulls / NaN dropped. Written once (it is small:
+    distinct values per feature), then read by both tests."""
+    items = [F.struct(F.lit(c).alias("feature"), F.lit("numeric").alias("kind"),
+                      F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("cat"))
+             for c in numeric]
+    items += [F.struct(F.lit(c).alias("feature"), F.lit("categorical").alias("kind"),
+                       F.lit(None).cast("double").alias("num"), F.col(c).cast("string").alias("cat"))
+              for c in categorical]
+    long = df.select(F.col(side).cast("int").alias("_s"), F.explode(F.array(*items)).alias("x")).select(
+        "_s", "x.*")
+    valid = F.when(F.col("kind") == "numeric", F.col("num").isNotNull() & ~F.isnan("num")).otherwise(
+        F.col("cat").isNotNull())
+    counts = long.where(valid).groupBy("feature", "kind", "num", "cat").agg(
+        F.count_if(F.col("_s") == 0).alias("c0"), F.count_if(F.col("_s") == 1).alias("c1"))
+    return materialize(counts, "drift-counts")
+
+
+def drift_statistics_split(df: DataFrame, side: str, numeric: Sequence[str],
+                           categorical: Sequence[str]) -> DataFrame:
     """Per feature: two-sample KS statistic (numeric) or chi-square over category counts
-    (categorical, Yates for two categories), with sample sizes and dof."""
-    numeric = [c for c in numeric if c in ref.columns and c in cur.columns]
-    categorical = [c for c in categorical if c in ref.columns and c in cur.columns]
+    (categorical, Yates for two categories), with sample sizes and dof. ``side`` is 0 for
+    reference rows and 1 for current rows of the one input frame."""
+    numeric = [c for c in numeric if c in df.columns]
+    categorical = [c for c in categorical if c in df.columns]
+    counts = drift_counts(df, side, numeric, categorical)
     parts = []
     if numeric:
-        long = _side_long(ref, cur, numeric, "double")
-        counts = long.groupBy("feature", "value").agg(F.count_if(F.col("side") == 0).alias("c0"),
-                                                      F.count_if(F.col("side") == 1).alias("c1"))
-        rt = running_totals(counts, ["value"], by=["feature"], sums=["c0", "c1"], label="ks")
+        num = counts.where(F.col("kind") == "numeric").select("feature", F.col("num").alias("value"),
+                                                              "c0", "c1")
+        rt = running_totals(num, ["value"], by=["feature"], sums=["c0", "c1"], label="ks")
         gap = F.abs(F.col("_cum_c0") / F.col("_tot_c0") - F.col("_cum_c1") / F.col("_tot_c1"))
         ks = rt.groupBy("feature").agg(F.max(gap).alias("_d"), F.max("_tot_c0").alias("n_ref"),
                                        F.max("_tot_c1").alias("n_cur"))
@@ -251,13 +262,14 @@ def drift_statistics(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
                                F.col("n_ref").cast("long"), F.col("n_cur").cast("long"),
                                F.lit(None).cast("long").alias("dof")))
     if categorical:
-        long = _side_long(ref, cur, categorical, "string")
-        cells = long.groupBy("feature", F.col("side").cast("string").alias("_a"),
-                             F.col("value").alias("_b")).agg(F.count(F.lit(1)).alias("_o"))
+        cat = counts.where(F.col("kind") == "categorical")
+        cells = cat.select("feature", F.explode(F.array(
+            F.struct(F.lit("0").alias("_a"), F.col("cat").alias("_b"), F.col("c0").alias("_o")),
+            F.struct(F.lit("1").alias("_a"), F.col("cat").alias("_b"), F.col("c1").alias("_o"))))
+            .alias("x")).select("feature", "x.*").where(F.col("_o") > 0)
         chi = _chi_square_from_cells(cells, ["feature"])
-        sides = long.groupBy("feature").agg(F.count_if(F.col("side") == 0).alias("n_ref"),
-                                            F.count_if(F.col("side") == 1).alias("n_cur"),
-                                            F.count_distinct("value").alias("_k"))
+        sides = cat.groupBy("feature").agg(F.sum("c0").alias("n_ref"), F.sum("c1").alias("n_cur"),
+                                           F.count(F.lit(1)).alias("_k"))
         j = sides.join(chi, "feature")
         valid = (F.col("_k") > 1) & (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
         parts.append(j.select("feature", F.lit("categorical").alias("feature_type"),
@@ -271,11 +283,18 @@ def drift_statistics(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
     return out
 
 
-def feature_drift(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
-                  categorical: Sequence[str]) -> DataFrame:
-    """Drift table: feature, feature_type, test_name, statistic, p_value, drift_detected,
-    sorted by p_value."""
-    s = drift_statistics(ref, cur, numeric, categorical)
+def drift_statistics(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
+                     categorical: Sequence[str]) -> DataFrame:
+    """Same as :func:`drift_statistics_split` for two separate frames."""
+    numeric = [c for c in numeric if c in ref.columns and c in cur.columns]
+    categorical = [c for c in categorical if c in ref.columns and c in cur.columns]
+    cols = list(numeric) + list(categorical)
+    both = (ref.select(*cols, F.lit(0).alias("_side"))
+            .unionByName(cur.select(*cols, F.lit(1).alias("_side"))))
+    return drift_statistics_split(both, "_side", numeric, categorical)
+
+
+def _with_pvalues(s: DataFrame) -> DataFrame:
     n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     lam = F.sqrt(n * m / (n + m)) * F.col("statistic")
     p_ks = F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(1.0)).otherwise(
@@ -287,3 +306,16 @@ def feature_drift(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
             .select("feature", "feature_type", "test_name", "statistic", "p_value",
                     (F.col("p_value") < ALPHA).alias("drift_detected"))
             .orderBy("p_value", "feature"))
+
+
+def feature_drift_split(df: DataFrame, side: str, numeric: Sequence[str],
+                        categorical: Sequence[str]) -> DataFrame:
+    """Drift table from one frame with a 0/1 ``side`` column (e.g. a period flag)."""
+    return _with_pvalues(drift_statistics_split(df, side, numeric, categorical))
+
+
+def feature_drift(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
+                  categorical: Sequence[str]) -> DataFrame:
+    """Drift table: feature, feature_type, test_name, statistic, p_value, drift_detected,
+    sorted by p_value."""
+    return _with_pvalues(drift_statistics(ref, cur, numeric, categorical))

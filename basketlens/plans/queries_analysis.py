@@ -247,10 +247,11 @@ DRIFT_NUMERIC = ["quantity", "unit_price", "discount_pct", "revenue"]
 DRIFT_CATEGORICAL = ["payment_method", "category", "return_flag"]
 
 
-def drift_frames(spark, sf):
+def drift_frame(spark, sf):
+    """Transactions with a period flag: 0 before the split date (reference), 1 after."""
     tx = A.transactions(spark, sf)
     split = F.lit(DRIFT_SPLIT).cast("timestamp_ntz")
-    return tx.where(F.col("transaction_date") < split), tx.where(F.col("transaction_date") >= split)
+    return tx.withColumn("period", (F.col("transaction_date") >= split).cast("int"))
 
 
 _side = f"CASE WHEN transaction_date < TIMESTAMP '{DRIFT_SPLIT}' THEN 0 ELSE 1 END"
@@ -286,11 +287,9 @@ chi AS (SELECT feature, 'categorical' AS feature_type, 'Chi-Square' AS test_name
     "UNION ALL SELECT feature, feature_type, test_name, CAST(statistic AS DOUBLE), n_ref, n_cur, dof FROM chi",
     ["statistic"], ctes=DRIFT_SQL))
 def q_drift_stats(spark, sf):
-    ref, cur = drift_frames(spark, sf)
-    return S.drift_statistics(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    return S.drift_statistics_split(drift_frame(spark, sf), "period", DRIFT_NUMERIC, DRIFT_CATEGORICAL)
 
 
 @register("feature_drift", note="p-values by Kolmogorov / chi-square tails; rows-only")
 def q_drift(spark, sf):
-    ref, cur = drift_frames(spark, sf)
-    return S.feature_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    return S.feature_drift_split(drift_frame(spark, sf), "period", DRIFT_NUMERIC, DRIFT_CATEGORICAL)
