@@ -261,21 +261,25 @@ def behavioral_features(evt: DataFrame, snapshot, date_col: str = "event_date",
 
 def _gaps_from_summary(s: DataFrame) -> DataFrame:
     per_ts = s.groupBy(CID, "_t").agg(F.sum("_n").alias("_c"))
-    w = Window.partitionBy(CID).orderBy("_t")
-    wc = Window.partitionBy(CID)
-    g = (per_ts
-         .withColumn("_gap", elapsed_days(F.col("_t"), F.lag("_t").over(w)))
-         .withColumn("_nn", F.sum("_c").over(wc))
-         .withColumn("_sum_gap", F.coalesce(F.sum("_gap").over(wc), F.lit(0))))
-    mean = F.col("_sum_gap") / (F.col("_nn") - 1)
-    g = g.withColumn("_mean", F.when(F.col("_nn") >= 2, mean))
-    # squared deviations: each distinct-time transition, plus (c - 1) zero gaps per time
-    dev = (F.coalesce((F.col("_gap") - F.col("_mean")) ** 2, F.lit(0.0))
-           + (F.col("_c") - 1) * F.col("_mean") ** 2)
-    out = g.groupBy(CID).agg(F.first("_mean").alias("purchase_gap_mean"),
-                             F.sum(dev).alias("_ss"), F.first("_nn").alias("_nn"))
-    return out.select(CID, "purchase_gap_mean",
-                      F.when(F.col("_nn") >= 2, F.sqrt(F.col("_ss") / (F.col("_nn") - 1)))
+    # rank each customer's distinct purchase times (range-partitioned, so a customer with
+    # a third of all rows is spread over many tasks), then pair each time with its
+    # predecessor by an equi-join on (customer, rank): no window per customer
+    ranked = running_totals(per_ts, ["_t"], by=[CID], label="gaps").select(CID, "_t", "_c", "_rank")
+    prev = ranked.select(CID, (F.col("_rank") + 1).alias("_rank"), F.col("_t").alias("_prev"))
+    g = ranked.join(prev, [CID, "_rank"], "left").withColumn(
+        "_gap", elapsed_days(F.col("_t"), F.col("_prev")).cast("long"))
+    # (c - 1) zero gaps inside each timestamp plus one gap per transition; whole-day gaps
+    # make every sum an exact integer, so the variance is exact: (n-1) S2 - S1^2
+    agg = g.groupBy(CID).agg(F.sum("_c").alias("_nn"),
+                             F.coalesce(F.sum("_gap"), F.lit(0)).alias("_s1"),
+                             F.coalesce(F.sum(F.col("_gap") * F.col("_gap")), F.lit(0)).alias("_s2"))
+    m = (F.col("_nn") - 1).cast("decimal(38,0)")
+    s1, s2 = F.col("_s1").cast("decimal(38,0)"), F.col("_s2").cast("decimal(38,0)")
+    var_num = (s2 * m - s1 * s1).cast("double")
+    m_d = (F.col("_nn") - 1).cast("double")
+    ok = F.col("_nn") >= 2
+    return agg.select(CID, F.when(ok, F.col("_s1") / m_d).alias("purchase_gap_mean"),
+                      F.when(ok, F.sqrt(F.greatest(var_num, F.lit(0.0)) / (m_d * m_d)))
                       .alias("purchase_gap_std"))
 
 
@@ -284,9 +288,8 @@ def purchase_gap_stats(tx: DataFrame, date_col: str = "transaction_date") -> Dat
     customers with fewer than two purchases.
 
     Purchases are first counted per (customer, timestamp): equal timestamps are gaps of 0,
-    so only distinct timestamps need ordering. The ordered window then holds one row per
-    distinct purchase time of a customer (for day-stamped facts, bounded by the calendar,
-    not by the number of rows of a hot customer).
+    so only distinct timestamps need ordering, and they are ordered by the distributed
+    ranking (no per-customer window), so a hot customer never sits in one task.
     """
     return _gaps_from_summary(tx.select(CID, F.col(date_col).alias("_t"),
                                         F.lit(1).cast("long").alias("_n")))
