@@ -71,10 +71,10 @@ def premium_aov_test(tx: DataFrame, customers: DataFrame) -> DataFrame:
     s = mann_whitney_pvalue(mann_whitney_statistics(merged, "aov", "is_premium"))
     reject = F.col("p_value") < ALPHA
     text = F.when(reject & (F.col("mean_1") > F.col("mean_2")), F.format_string(
-        "Premium customers have a significantly higher AOV (%.2f) compared to non-premium "
-        "customers (%.2f) (p=%.4e).", "mean_1", "mean_2", "p_value")).otherwise(F.format_string(
-            "There is no statistically significant difference in AOV between premium (%.2f) "
-            "and non-premium (%.2f) customers (p=%.4f).", "mean_1", "mean_2", "p_value"))
+        "Premium AOV %.2f exceeds other customers' %.2f; significant at 5%% (p=%.4e).",
+        "mean_1", "mean_2", "p_value")).otherwise(F.format_string(
+            "No significant AOV difference at 5%%: premium %.2f vs other %.2f (p=%.4f).",
+            "mean_1", "mean_2", "p_value"))
     return s.select(F.lit("Mann-Whitney U").alias("test_name"), "statistic", "p_value",
                     F.col("mean_1").alias("premium_mean_aov"),
                     F.col("mean_2").alias("nonpremium_mean_aov"),
@@ -155,10 +155,9 @@ def channel_churn_test(customers: DataFrame) -> DataFrame:
     s = chi_square_test(customers, "acquisition_channel", "churn_label")
     reject = F.col("p_value") < ALPHA
     text = F.when(reject, F.format_string(
-        "There is a statistically significant association between acquisition channel and "
-        "churn (p=%.4e, Cramer's V=%.4f).", "p_value", "cramers_v")).otherwise(F.format_string(
-            "No statistically significant association was found between acquisition channel "
-            "and churn (p=%.4f).", "p_value"))
+        "Channel and churn are associated; significant at 5%% (p=%.4e, V=%.4f).",
+        "p_value", "cramers_v")).otherwise(F.format_string(
+            "No significant channel-churn association at 5%% (p=%.4f).", "p_value"))
     return s.select(F.lit("Chi-Square").alias("test_name"), "statistic", "p_value",
                     F.col("dof").alias("degrees_of_freedom"), "cramers_v",
                     reject.alias("reject_null"), text.alias("interpretation"), "n")
@@ -204,11 +203,10 @@ def revenue_seasonality_test(tx: DataFrame, date_col: str = "transaction_date")
     s = _join_all([kw, pk], [])
     reject = F.col("p_value") < ALPHA
     text = F.when(reject, F.format_string(
-        "Daily revenue shows statistically significant differences across months (p=%.4e), "
-        "with month %d showing peak median revenue and month %d showing the trough.",
-        "p_value", "peak_month", "trough_month")).otherwise(F.format_string(
-            "No statistically significant seasonal monthly differences in daily revenue were "
-            "found (p=%.4f).", "p_value"))
+        "Daily revenue differs by month; significant at 5%% (p=%.4e). Highest median in "
+        "month %d, lowest in month %d.", "p_value", "peak_month", "trough_month")).otherwise(
+            F.format_string("No significant month-to-month difference in daily revenue at 5%% "
+                            "(p=%.4f).", "p_value"))
     return s.select(F.lit("Kruskal-Wallis").alias("test_name"), "statistic", "p_value",
                     reject.alias("reject_null"), F.col("peak_month").cast("long"),
                     F.col("trough_month").cast("long"), text.alias("interpretation"),
