@@ -58,6 +58,38 @@ def replace_into(df: DataFrame, table: str) -> int:
     return int(obs.get["n"])
 
 
+def read_jdbc(spark: SparkSession, url: str, table_or_query: str, properties: dict | None = None,
+              partition_column: str | None = None, lower: int | None = None,
+              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Op 1 against a database: a table name or ``(SELECT ...) AS q``; with a numeric
+    ``partition_column`` the read is split into ``num_partitions`` parallel range queries."""
+    opts = dict(properties or {})
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table_or_query)
+    if partition_column:
+        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower)
+                  .option("upperBound", upper).option("numPartitions", num_partitions))
+    for k, v in opts.items():
+        reader = reader.option(k, v)
+    return reader.load()
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
+               properties: dict | None = None, batch_size: int = 5000) -> int:
+    """Op 2 into a database: 'overwrite' truncates the existing table (keeping its declared
+    schema, keys and indexes) and appends; 'append' appends. Rows go in ``batch_size``
+    batches per task. Returns the number of rows written (observed on the write)."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    obs = Observation("jdbc_rows")
+    w = (df.observe(obs, F.count(F.lit(1)).alias("n")).write.format("jdbc").mode(mode)
+         .option("url", url).option("dbtable", table).option("batchsize", batch_size)
+         .option("truncate", "true"))
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()
+    return int(obs.get["n"])
+
+
 # Declared layout per table (partition column expression, bucket key).
 LAYOUT = {
     "products": {"partition": None, "bucket": "product_id"},

@@ -185,3 +185,29 @@ def test_flagship_partition_independence(spark):
     a = a.sort_values(key).reset_index(drop=True)
     b = b.sort_values(key).reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b[a.columns])
+
+
+def test_streaming_band_counts_match_batch(spark, tmp_dir):
+    import datetime as dt
+    from basketlens.streaming import scoring as STREAM
+    df = _model_frame(spark)
+    model = ML.fit_churn_model(df, ["a", "b"], ["cat"], "logistic_regression")
+    day0 = dt.datetime(2024, 1, 1)
+    feats = df.drop("churn_label").withColumn(
+        "scored_at", (F.lit(day0) + F.expr("make_interval(0, 0, 0, CAST(customer_id % 5 AS INT))"))
+        .cast("timestamp"))
+    src = os.path.join(tmp_dir, "src2")
+    feats.write.parquet(src)
+    q = STREAM.start_band_counts(spark, model, src, feats.schema, "scored_at",
+                                 os.path.join(tmp_dir, "bands"), os.path.join(tmp_dir, "ckpt2"),
+                                 window="1 day", watermark="1 day")
+    q.awaitTermination()
+    got = spark.read.parquet(os.path.join(tmp_dir, "bands")).toPandas()
+    from basketlens.operators.metrics import score_bands
+    batch = score_bands(ML.churn_probability(model.transform(feats), "churn_probability"))
+    exp = (batch.groupBy(F.to_date("scored_at").alias("d"), "risk_level").count().toPandas())
+    assert len(got) > 0
+    for _, r in got.iterrows():
+        d = pd.Timestamp(r["window_start"]).date()
+        e = exp[(exp.d == d) & (exp.risk_level == r["risk_level"])]["count"].iloc[0]
+        assert r["customers"] == e
