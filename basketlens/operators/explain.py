@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checked_broadcast, checkpoint_root
+from ..session import app_folder, checked_broadcast
 
 MAX_FEATURES = 100_000  # broadcast bound for per-feature frames
 
@@ -100,7 +100,7 @@ def flatten_ensemble(tree_model) -> list[dict]:
     """Node arrays per tree from the model's persisted form: left, right, feature,
     threshold (or left category set), value, cover, and the tree weight."""
     spark = SparkSession.getActiveSession()
-    path = f"{checkpoint_root(spark).rstrip('/')}/basketlens/model-{uuid.uuid4().hex}"
+    path = f"{app_folder(spark)}/model-{uuid.uuid4().hex}"
     tree_model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data")
     if "treeID" not in nodes.columns:

@@ -17,7 +17,7 @@ from ..operators import features as FT
 from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import segmentation as SG
-from ..session import checkpoint_root, materialize
+from ..session import app_folder, materialize
 from ..sources import adapter as A
 from ..streaming import scoring as STREAM
 from .catalog import register
@@ -271,7 +271,7 @@ def q_tree_attr(spark, sf):
 def q_streaming(spark, sf):
     data = model_frame(spark, sf)
     model, _ = ML.train_churn_model(data, NUMERIC, CATEGORICAL, "logistic_regression")
-    root = f"{checkpoint_root(spark).rstrip('/')}/basketlens/stream-{uuid.uuid4().hex}"
+    root = f"{app_folder(spark)}/stream-{uuid.uuid4().hex}"
     data.drop("churn_label").write.parquet(f"{root}/source")
     q = STREAM.start_scoring(spark, model, f"{root}/source", data.drop("churn_label").schema,
                              f"{root}/sink", f"{root}/checkpoint")

@@ -61,11 +61,26 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     freezes any partition-dependent tags computed before the write.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/basketlens/{label}-{uuid.uuid4().hex}"
+    path = f"{app_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def app_folder(spark: SparkSession) -> str:
+    """This application's folder for intermediates under the checkpoint folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/basketlens/{spark.sparkContext.applicationId}"
+
+
+def release_intermediates(spark: SparkSession) -> None:
+    """Delete this application's written intermediates (call when its results are no
+    longer read). Other applications' folders are untouched."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(app_folder(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
 
