@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import gross_revenue, return_adjusted_revenue
-from ..session import scalar
+from ..session import checked_broadcast, materialize, scalar
 from .ranks import exact_quantiles
 
 CID = "customer_id"
+MAX_PROFILE_COLUMNS = 100_000  # broadcast bound for per-column statistics
 
 
 def _is_numeric(dt: T.DataType) -> bool:
@@ -29,51 +30,61 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     bias-corrected, G1 / G2), missing_pct, unique_count. Moments only for numeric,
     non-boolean columns; constant columns get skewness = kurtosis = 0.
 
-    All numeric columns go through one unpivoted aggregate and one exact (distributed)
-    median; the rest through one string aggregate.
+    One pass over ``df``: a (column, value) -> count table for all columns, written once.
+    Everything else reads that table: central moments in two passes (mean, then powers of
+    the deviations), the exact median from the counted values, distinct and missing counts.
     """
-    types = dict(df.dtypes)
     fields = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in columns if _is_numeric(fields[c])]
     other = [c for c in columns if c not in numeric]
+    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("num"),
+                      F.lit(None).cast("string").alias("str")) for c in numeric]
+    items += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"),
+                       F.col(c).cast("string").alias("str")) for c in other]
+    counted = materialize(
+        df.select(F.explode(F.array(*items)).alias("x")).select("x.*")
+        .groupBy("column", "num", "str").agg(F.count(F.lit(1)).alias("c")), "profile-counts")
+    null = F.lit(None).cast("double")
     parts = []
     if numeric:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-            for c in numeric])).alias("x")).select("x.column", "x.value")
-        valid = F.col("value").isNotNull() & ~F.isnan("value")
-        v = F.when(valid, F.col("value"))
-        agg = long.groupBy("column").agg(
-            F.count(F.lit(1)).alias("_total"), F.count(v).alias("_n"),
-            F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-            F.skewness(v).alias("_g1"), F.kurtosis(v).alias("_g2"),
-            F.count_distinct(v).alias("unique_count"))
-        med = exact_quantiles(long, "value", [0.5], by=["column"], label="profile").select(
+        num = counted.where(F.col("column").isin(numeric))
+        valid = F.col("num").isNotNull() & ~F.isnan("num")
+        first = num.groupBy("column").agg(
+            F.sum("c").alias("_total"), F.coalesce(F.sum(F.when(valid, F.col("c"))), F.lit(0)).alias("_n"),
+            (F.sum(F.when(valid, F.col("c") * F.col("num"))) / F.sum(F.when(valid, F.col("c"))))
+            .alias("mean"), F.count_if(valid).alias("unique_count"))
+        per_col = checked_broadcast(first.select("column", "mean"), MAX_PROFILE_COLUMNS)
+        d = F.col("num") - F.col("mean")
+        cen = (num.where(valid).join(per_col, "column").groupBy("column").agg(
+            F.sum(F.col("c") * d * d).alias("_s2"), F.sum(F.col("c") * d * d * d).alias("_s3"),
+            F.sum(F.col("c") * d * d * d * d).alias("_s4")))
+        med = exact_quantiles(num, "num", [0.5], by=["column"], label="profile", weight="c").select(
             "column", F.col("q_0").alias("median"))
+        st = first.join(cen, "column", "left").join(med, "column", "left")
         n = F.col("_n").cast("double")
-        const = F.col("std") == 0
-        skew = (F.when(F.col("_n") < 3, F.lit(None).cast("double")).when(const, F.lit(0.0))
-                .otherwise(F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2)))
-        kurt = (F.when(F.col("_n") < 4, F.lit(None).cast("double")).when(const, F.lit(0.0))
-                .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6)))
-        parts.append(agg.join(med, "column", "left").select(
-            "column", "mean", "median", "std", skew.alias("skewness"), kurt.alias("kurtosis"),
+        m2, m3, m4 = F.col("_s2") / n, F.col("_s3") / n, F.col("_s4") / n
+        const = F.col("_s2") == 0
+        skew = (F.when(F.col("_n") < 3, null).when(const, F.lit(0.0))
+                .otherwise(F.sqrt(n * (n - 1)) / (n - 2) * m3 / F.pow(m2, 1.5)))
+        kurt = (F.when(F.col("_n") < 4, null).when(const, F.lit(0.0))
+                .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (m4 / (m2 * m2) - 3) + 6)))
+        std = F.when(F.col("_n") >= 2, F.sqrt(F.col("_s2") / (n - 1)))
+        parts.append(st.select(
+            "column", "mean", "median", std.alias("std"), skew.alias("skewness"),
+            kurt.alias("kurtosis"),
             ((F.col("_total") - F.col("_n")) * 100.0 / F.col("_total")).alias("missing_pct"),
             F.col("unique_count").cast("long")))
     if other:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-            for c in other])).alias("x")).select("x.column", "x.value")
-        agg = long.groupBy("column").agg(F.count(F.lit(1)).alias("_total"),
-                                         F.count("value").alias("_n"),
-                                         F.count_distinct("value").alias("unique_count"))
-        null = F.lit(None).cast("double")
+        oth = counted.where(F.col("column").isin(other))
+        has = F.col("str").isNotNull()
+        agg = oth.groupBy("column").agg(F.sum("c").alias("_total"),
+                                        F.coalesce(F.sum(F.when(has, F.col("c"))), F.lit(0)).alias("_n"),
+                                        F.count_if(has).alias("unique_count"))
         parts.append(agg.select(
             "column", null.alias("mean"), null.alias("median"), null.alias("std"),
             null.alias("skewness"), null.alias("kurtosis"),
             ((F.col("_total") - F.col("_n")) * 100.0 / F.col("_total")).alias("missing_pct"),
             F.col("unique_count").cast("long")))
-    del types
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -163,11 +174,14 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """One row: q1, q3, iqr, lower_bound, upper_bound, outlier_count (strictly outside),
     outlier_pct (share of non-null values); all zero for an empty column.
 
-    Exact quantiles (linear interpolation) by distributed ranking; the fences are two
-    scalars, so the counting pass filters with literals.
+    One pass over ``df``: values are counted and written once; the exact quartiles
+    (distributed ranking, linear interpolation) and the outlier count both read the counts.
     """
     spark = df.sparkSession
-    q = exact_quantiles(df, column, [0.25, 0.75], label="iqr").first()
+    v = F.col(column).cast("double")
+    counted = materialize(df.select(v.alias("_v")).where(v.isNotNull() & ~F.isnan(v))
+                          .groupBy("_v").agg(F.count(F.lit(1)).alias("_c")), "iqr-counts")
+    q = exact_quantiles(counted, "_v", [0.25, 0.75], label="iqr", weight="_c").first()
     if q is None or not q["n"]:
         return spark.createDataFrame(
             [(0.0, 0.0, 0.0, 0.0, 0.0, 0, 0.0)],
@@ -176,10 +190,9 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     q1, q3 = float(q["q_0"]), float(q["q_1"])
     iqr = q3 - q1
     lo, hi = q1 - k * iqr, q3 + k * iqr
-    v = F.col(column).cast("double")
-    valid = v.isNotNull() & ~F.isnan(v)
-    agg = df.agg(F.count_if(valid & ((v < lo) | (v > hi))).alias("outlier_count"),
-                 F.count_if(valid).alias("_n"))
+    out = F.col("_v")
+    agg = counted.agg(F.coalesce(F.sum(F.when((out < lo) | (out > hi), F.col("_c"))), F.lit(0))
+                      .alias("outlier_count"), F.sum("_c").alias("_n"))
     return agg.select(F.lit(q1).alias("q1"), F.lit(q3).alias("q3"), F.lit(iqr).alias("iqr"),
                       F.lit(lo).alias("lower_bound"), F.lit(hi).alias("upper_bound"),
                       F.col("outlier_count").cast("long"),

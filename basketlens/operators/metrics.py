@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_datetime, net_revenue, risk_band, ts_literal
-from ..session import scalar
+from ..session import materialize, scalar
 from .ranks import running_totals
 
 CID = "customer_id"
@@ -40,14 +40,18 @@ def _grid_t(i):
 # op 40: metrics at a threshold and AUCs
 
 
-def auc_scores(scored: DataFrame, label: str = "label", score: str = "score",
-               by: Sequence[str] = ()) -> DataFrame:
-    """ROC AUC and PR AUC (trapezoidal, PR curve starting at recall 0 / precision 1) per
-    group; ties in the score form one curve step. Null when a class is absent."""
+def score_counts(scored: DataFrame, label: str = "label", score: str = "score",
+                 by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score (one pass over the scored rows, written
+    once; every curve and confusion count derives from it)."""
+    per = scored.groupBy(*by, F.col(score).alias("_s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    return materialize(per, "score-counts")
+
+
+def _auc_from_counts(per: DataFrame, by: Sequence[str]) -> DataFrame:
     by = list(by)
-    per = scored.groupBy(*by, score).agg(F.count_if(F.col(label) == 1).alias("pos"),
-                                         F.count_if(F.col(label) != 1).alias("neg"))
-    rt = running_totals(per, [F.col(score).desc()], by, sums=["pos", "neg"], label="auc")
+    rt = running_totals(per, [F.col("_s").desc()], by, sums=["pos", "neg"], label="auc")
     tp, fp = F.col("_cum_pos"), F.col("_cum_neg")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     P, N = F.col("_tot_pos"), F.col("_tot_neg")
@@ -62,6 +66,25 @@ def auc_scores(scored: DataFrame, label: str = "label", score: str = "score",
                       F.when(ok, F.col("pr_auc")).alias("pr_auc"))
 
 
+def auc_scores(scored: DataFrame, label: str = "label", score: str = "score",
+               by: Sequence[str] = ()) -> DataFrame:
+    """ROC AUC and PR AUC (trapezoidal, PR curve starting at recall 0 / precision 1) per
+    group; ties in the score form one curve step. Null when a class is absent."""
+    return _auc_from_counts(score_counts(scored, label, score, by), by)
+
+
+def _confusion_from_counts(per: DataFrame, threshold: float, by: Sequence[str]) -> DataFrame:
+    pred = F.col("_s") >= F.lit(threshold)
+
+    def s(c):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+    return per.groupBy(*by).agg(s(F.when(pred, F.col("pos"))).alias("tp"),
+                                s(F.when(pred, F.col("neg"))).alias("fp"),
+                                s(F.when(~pred | F.col("_s").isNull(), F.col("pos"))).alias("fn"),
+                                s(F.when(~pred | F.col("_s").isNull(), F.col("neg"))).alias("tn"))
+
+
 def confusion_counts(scored: DataFrame, label: str = "label", score: str = "score",
                      threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     pred = F.col(score) >= F.lit(threshold)
@@ -89,12 +112,14 @@ def _rates(tp, fp, fn, tn):
 def classification_metrics(scored: DataFrame, label: str = "label", score: str = "score",
                            threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     """roc_auc, pr_auc, accuracy, precision, recall, f1, balanced_accuracy and the
-    confusion matrix (tn, fp, fn, tp) at ``threshold`` (predict 1 when score >= threshold)."""
+    confusion matrix (tn, fp, fn, tp) at ``threshold`` (predict 1 when score >= threshold).
+    One pass over the scored rows: everything derives from the per-score counts."""
     by = list(by)
-    cm = confusion_counts(scored, label, score, threshold, by)
+    per = score_counts(scored, label, score, by)
+    cm = _confusion_from_counts(per, threshold, by)
     r = _rates(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
     cm = cm.select(*by, *[v.alias(k) for k, v in r.items()], "tn", "fp", "fn", "tp")
-    aucs = auc_scores(scored, label, score, by)
+    aucs = _auc_from_counts(per, by)
     if by:
         return aucs.join(cm, by)
     from .stattests import _join_all

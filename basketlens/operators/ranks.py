@@ -72,18 +72,20 @@ def running_totals(df: DataFrame, order_by: Sequence, by: Sequence[str] = (),
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    label: str = "quantiles") -> DataFrame:
+                    label: str = "quantiles", weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (h = (n-1)q), nulls and NaN ignored.
 
     Values are first counted (partial aggregation collapses repeats, including a value that
     holds a large share of the rows), then only the distinct values are ranked by running
     count. The value at 0-based position p is the one whose count block covers p. Returns
-    one row per group with ``q_<i>`` for each prob (in order) and ``n``.
+    one row per group with ``q_<i>`` for each prob (in order) and ``n``. With ``weight``
+    the input is already counted (each row stands for ``weight`` identical values).
     """
     by = list(by)
-    counted = (df.select(*by, F.col(value).cast("double").alias("_v"))
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    counted = (df.select(*by, F.col(value).cast("double").alias("_v"), w.alias("_w"))
                .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-               .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+               .groupBy(*by, "_v").agg(F.sum("_w").alias("_c")))
     ranked = running_totals(counted, ["_v"], by, sums=["_c"], label=label)
     n = F.col("_tot__c")
     hi_pos = F.col("_cum__c")             # positions [hi_pos - _c, hi_pos) hold this value
