@@ -148,12 +148,15 @@ def cohort_retention(customers: DataFrame, tx: DataFrame, pivot: bool = False,
     matrix (one column per period)."""
     c = customers.where(F.col("signup_date").isNotNull()).select(
         CID, F.date_format("signup_date", "yyyy-MM").alias("cohort_month"),
-        F.year("signup_date").alias("_cy"), F.month("signup_date").alias("_cm"))
+        (F.year("signup_date") * 12 + F.month("signup_date") - 1).alias("_c_ym"))
     sizes = c.groupBy("cohort_month").agg(F.count_distinct(CID).alias("_size"))
-    t = tx.select(CID, F.col(date_col).alias("_d")).join(c, CID)
-    period = (F.year("_d") - F.col("_cy")) * 12 + (F.month("_d") - F.col("_cm"))
-    active = t.groupBy("cohort_month", period.alias("period_idx")).agg(
-        F.count_distinct(CID).alias("_active"))
+    # pre-aggregate to distinct (customer, month) before joining: a customer with a huge
+    # share of the transactions shrinks to one row per active month
+    d = F.col(date_col)
+    active_months = tx.select(CID, (F.year(d) * 12 + F.month(d) - 1).alias("_t_ym")).distinct()
+    t = active_months.join(c, CID)
+    active = t.groupBy("cohort_month", (F.col("_t_ym") - F.col("_c_ym")).alias("period_idx")).agg(
+        F.count(F.lit(1)).alias("_active"))
     rates = active.join(sizes, "cohort_month").select(
         "cohort_month", "period_idx", (F.col("_active") / F.col("_size")).alias("retention_rate"))
     zero = active.select("cohort_month").distinct().select(

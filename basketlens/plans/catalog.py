@@ -32,8 +32,7 @@ REGISTRY: dict[str, Query] = {}
 
 def register(name: str, sql: str | None = None, note: str = ""):
     def deco(fn: Builder) -> Builder:
-        if name in REGISTRY:
-            raise ValueError(f"duplicate query {name}")
+        # re-importing a module (e.g. a reload) replaces its entries
         REGISTRY[name] = Query(name, fn, sql, note)
         return fn
     return deco
