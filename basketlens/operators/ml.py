@@ -26,6 +26,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import parallel_map
 from .metrics import classification_metrics
 from .ranks import running_totals
 
@@ -338,7 +339,8 @@ def _importances(model, n: int) -> list[float]:
 
 def recursive_feature_elimination(df: DataFrame, numeric: Sequence[str], min_features: int = 1,
                                   model_type: str = "xgboost", folds: int = 5, label: str = LABEL,
-                                  seed: int = 42, id_col: str = CID, **overrides) -> dict:
+                                  seed: int = 42, id_col: str = CID, parallelism: int = 4,
+                                  **overrides) -> dict:
     """Drop the least important feature (tree importances or |coefficients| on scaled
     features) one at a time; k-fold ROC AUC per feature count; the best count is the first
     (smallest) reaching the highest mean score.
@@ -351,13 +353,14 @@ def recursive_feature_elimination(df: DataFrame, numeric: Sequence[str], min_fea
     current = list(numeric)
     history = []
     while True:
-        fold_scores = []
-        for k in range(folds):
+        def fold_score(k, cols=tuple(current)):
             tr, te = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
-            m = Pipeline(stages=preprocessing_stages(current, [])
+            m = Pipeline(stages=preprocessing_stages(list(cols), [])
                          + [classifier(model_type, label, seed, total * (folds - 1) / folds,
                                        **dict(overrides))]).fit(tr)
-            fold_scores.append(evaluator.evaluate(m.transform(te)))
+            return evaluator.evaluate(m.transform(te))
+
+        fold_scores = parallel_map(fold_score, range(folds), parallelism)
         mean = sum(fold_scores) / folds
         std = (sum((s - mean) ** 2 for s in fold_scores) / folds) ** 0.5
         history.append((list(current), mean, std))

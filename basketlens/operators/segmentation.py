@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import parallel_map
 from .features import modes
 from .ml import PopulationStandardScaler
 
@@ -41,16 +42,17 @@ def clustering_features(master: DataFrame, id_col: str = CID):
     return vec, names, scaler
 
 
-def train_kmeans(features: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300):
-    """Op 46: best (lowest cost) of ``n_init`` seeded k-means runs. Returns (model, labelled)."""
-    best = None
-    for i in range(n_init):
+def train_kmeans(features: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300,
+                 parallelism: int = 4):
+    """Op 46: best (lowest cost; ties -> first seed) of ``n_init`` seeded k-means runs,
+    fitted concurrently. Returns (model, labelled)."""
+    def fit(i):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
                    predictionCol="cluster").fit(features)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    model = best[1]
+        return m.summary.trainingCost, i, m
+
+    runs = parallel_map(fit, range(n_init), parallelism)
+    model = min(runs, key=lambda r: (r[0], r[1]))[2]
     return model, model.transform(features)
 
 
@@ -60,7 +62,7 @@ def total_sum_of_squares(features: DataFrame, names: Sequence[str]) -> float:
 
 
 def choose_k(features: DataFrame, names: Sequence[str], k_values: Sequence[int] = range(2, 11),
-             seed: int = 42, n_init: int = 10) -> DataFrame:
+             seed: int = 42, n_init: int = 10, parallelism: int = 4) -> DataFrame:
     """Op 45: per k, inertia, silhouette (squared Euclidean) and Calinski-Harabasz, with the
     argmax k of each score flagged."""
     spark = features.sparkSession
@@ -68,13 +70,15 @@ def choose_k(features: DataFrame, names: Sequence[str], k_values: Sequence[int]
     tss = total_sum_of_squares(features, names)
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                                     distanceMeasure="squaredEuclidean")
-    rows = []
-    for k in k_values:
-        model, labelled = train_kmeans(features, k, seed, n_init)
+
+    def score_k(k):
+        model, labelled = train_kmeans(features, k, seed, n_init, parallelism=1)
         w = float(model.summary.trainingCost)
         sil = float(evaluator.evaluate(labelled))
         ch = ((tss - w) / (k - 1)) / (w / (n - k)) if w > 0 and n > k else 0.0
-        rows.append((int(k), w, sil, ch))
+        return (int(k), w, sil, ch)
+
+    rows = parallel_map(score_k, list(k_values), parallelism)
     best_sil = max(rows, key=lambda r: (r[2], -r[0]))[0]
     best_ch = max(rows, key=lambda r: (r[3], -r[0]))[0]
     return spark.createDataFrame(

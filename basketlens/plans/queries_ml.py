@@ -17,7 +17,7 @@ from ..operators import features as FT
 from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import segmentation as SG
-from ..session import app_folder, materialize
+from ..session import app_folder, materialize, parallel_map
 from ..sources import adapter as A
 from ..streaming import scoring as STREAM
 from .catalog import register
@@ -76,9 +76,10 @@ def q_model_lr(spark, sf):
 def q_model_comparison(spark, sf):
     split = materialize(ML.stratified_split(model_frame(spark, sf)), "model-split")
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+    models = parallel_map(lambda mt: ML.fit_churn_model(train, NUMERIC, CATEGORICAL, mt),
+                          ML.MODEL_TYPES, len(ML.MODEL_TYPES))
     scored = None
-    for mt in ML.MODEL_TYPES:
-        model = ML.fit_churn_model(train, NUMERIC, CATEGORICAL, mt)
+    for mt, model in zip(ML.MODEL_TYPES, models):
         s = ML.score(model, test, keep=("customer_id", "churn_label")).select(
             F.lit(mt).alias("model_name"), F.col("churn_label").alias("label"), "score")
         scored = s if scored is None else scored.unionByName(s)

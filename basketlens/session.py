@@ -96,3 +96,14 @@ def scalar(df: DataFrame):
     """First column of the single row of a one-row aggregate (e.g. a global max)."""
     row = df.first()
     return None if row is None else row[0]
+
+
+def parallel_map(fn, items, max_workers: int = 4) -> list:
+    """Run independent Spark actions (e.g. model fits) from a small thread pool; Spark
+    schedules their jobs concurrently. Results keep the input order."""
+    from concurrent.futures import ThreadPoolExecutor
+    items = list(items)
+    if max_workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(items))) as pool:
+        return list(pool.map(fn, items))
