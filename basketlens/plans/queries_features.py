@@ -55,6 +55,25 @@ def q_shop_events(spark, sf):
     return A.events(spark, sf)
 
 
+# ---------------------------------------------------------------- op 2: sink round trip
+
+@register("customers_sink_roundtrip", oracle(
+    "SELECT customer_id, signup_date, age, gender, city, acquisition_channel, is_premium, "
+    "churn_label, CAST(count(*) OVER () AS BIGINT) AS rows_written FROM shop_customers", ["age"]))
+def q_sink_roundtrip(spark, sf):
+    """Replace-then-append into a table under this application's folder; the rows read
+    back (the append of nothing keeps them) carry the written row count."""
+    import uuid
+
+    from ..session import app_folder
+    from ..sources import io as IO
+    path = f"{app_folder(spark)}/sink-{uuid.uuid4().hex}"
+    cust = A.customers(spark, sf)
+    n = IO.write_table(cust, path, "overwrite")
+    IO.write_table(cust.limit(0), path, "append")
+    return IO.scan(spark, path).withColumn("rows_written", F.lit(n).cast("long"))
+
+
 # ---------------------------------------------------------------- op 4: integrity report
 
 @register("integrity_report", oracle("""
