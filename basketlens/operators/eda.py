@@ -159,9 +159,13 @@ def cohort_retention(customers: DataFrame, tx: DataFrame, pivot: bool = False,
         F.count(F.lit(1)).alias("_active"))
     rates = active.join(sizes, "cohort_month").select(
         "cohort_month", "period_idx", (F.col("_active") / F.col("_size")).alias("retention_rate"))
-    zero = active.select("cohort_month").distinct().select(
-        "cohort_month", F.lit(0).alias("period_idx"), F.lit(1.0).alias("retention_rate"))
-    out = rates.where(F.col("period_idx") != 0).unionByName(zero)
+    # every active row also emits (cohort, 0, 1.0); the max per cell forces period 0 to 1.0
+    # and keeps each cohort that appears, in the same pass
+    both = rates.select("cohort_month", F.explode(F.array(
+        F.struct(F.col("period_idx").alias("p"), F.col("retention_rate").alias("r")),
+        F.struct(F.lit(0).alias("p"), F.lit(1.0).alias("r")))).alias("x"))
+    out = both.groupBy("cohort_month", F.col("x.p").alias("period_idx")).agg(
+        F.max("x.r").alias("retention_rate"))
     if pivot:
         periods = sorted(r[0] for r in out.select("period_idx").distinct().collect())
         return out.groupBy("cohort_month").pivot("period_idx", periods).agg(
