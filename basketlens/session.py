@@ -40,8 +40,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private temporary folder is created and
-    registered, so a cluster job always writes to the folder the cluster names.
+    Only when the session has none and runs in local mode (tests) a private temporary
+    folder is created and registered; on a cluster an unset folder is an error, so jobs
+    never write intermediates to a machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(intermediates are written there)")
         configured = tempfile.mkdtemp(prefix="basketlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
