@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import gross_revenue, return_adjusted_revenue
-from ..session import checked_broadcast, materialize, scalar
+from ..session import checked_broadcast, materialize
 from .ranks import exact_quantiles
 
 CID = "customer_id"
@@ -204,7 +204,3 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
                       F.lit(lo).alias("lower_bound"), F.lit(hi).alias("upper_bound"),
                       F.col("outlier_count").cast("long"),
                       (F.col("outlier_count") / F.col("_n")).alias("outlier_pct"))
-
-
-def first_value(df: DataFrame, column: str):
-    return scalar(df.select(column))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import comparable
-from ..sources import adapter as A
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -53,8 +52,3 @@ def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
     from . import queries_features, queries_analysis, queries_models, queries_ml  # noqa: F401
     return REGISTRY
-
-
-def shop(spark: SparkSession, sf_dir: str):
-    """(customers, transactions, events) views over the test tables."""
-    return (A.customers(spark, sf_dir), A.transactions(spark, sf_dir), A.events(spark, sf_dir))

@@ -59,11 +59,6 @@ def order_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.count(F.lit(1)).alias("n_orders")))
 
 
-def label_rule(frequency, recency_days) -> "F.Column":
-    return ((F.col(frequency) < LABEL_MAX_FREQUENCY)
-            & (F.col(recency_days) > LABEL_MIN_RECENCY_DAYS)).cast("int")
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer_id, signup_date, age, gender, city, acquisition_channel, is_premium, churn_label.
 
@@ -91,14 +86,6 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_as_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order grain purchases (customer_id, transaction_id, transaction_date)."""
-    return read_table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderkey").cast("string").alias("transaction_id"),
-        F.col("o_orderdate").alias("transaction_date"))
-
-
 def transactions(spark: SparkSession, sf_dir: str, with_category: bool = True) -> DataFrame:
     """One row per lineitem row.
 
