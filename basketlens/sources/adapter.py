@@ -134,7 +134,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"),
         F.col("user_id").alias("customer_id"),
         F.col("ts").alias("event_ts"),
-        F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("event_date"),
+        F.to_date(F.col("ts")).cast("timestamp_ntz").alias("event_date"),
         etype.alias("event_type"),
         F.col("value").alias("session_duration_sec"),
         _lookup(DEVICE_TYPES, k % 3).alias("device_type"),
