@@ -3,6 +3,12 @@
 Spark does not enforce keys; integrity is checked by ``operators.quality``. Indexes of the
 original become layout: facts are partitioned by month and bucketed by customer so that
 per-customer aggregates and joins of two bucketed tables avoid a shuffle.
+
+Row counts of writes are read back from the sink (Parquet counts come from file footers,
+not a rescan): the table's rows after a replace, or after minus before an append (one
+writer per table). ``DataFrame.observe`` with an ``Observation`` is not used: on Spark 4.1
+it leaves the session holding a non-serializable observation manager, after which closures
+that capture the session (e.g. ML's ``vector_to_array``) fail with "Task not serializable".
 """
 
 from __future__ import annotations
@@ -11,7 +17,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.observation import Observation
 
 from .schemas import SCHEMAS
 
@@ -32,30 +37,37 @@ def query(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = No
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
-    """Op 2: write ``df`` (replace or append) and return the number of rows written.
-
-    The count comes from an observation on the write itself, not from a second pass.
-    """
+    """Op 2: write ``df`` (replace or append) and return the number of rows written."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    obs = Observation("rows_written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    w = observed.write.mode(mode).format(fmt)
+    spark = df.sparkSession
+    before = _path_rows(spark, path, fmt) if mode == "append" else 0
+    w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return int(obs.get["n"])
+    return _path_rows(spark, path, fmt) - before
+
+
+def _path_rows(spark: SparkSession, path: str, fmt: str) -> int:
+    """Rows stored under ``path`` (0 when nothing is there yet)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return 0
+    return spark.read.format(fmt).load(path).count()
 
 
 def replace_into(df: DataFrame, table: str) -> int:
     """Op 2 ('replace' keeping the declared table): overwrite the rows of an existing
-    catalog table; its schema, partitioning and bucketing stay as declared."""
+    catalog table; its schema, partitioning and bucketing stay as declared. Returns the
+    table's row count after the replace (static overwrite: exactly the rows written)."""
     spark = df.sparkSession
     target = spark.table(table)
     cols = [F.col(c) for c in target.columns]
-    obs = Observation("rows_replaced")
-    df.select(*cols).observe(obs, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=True)
-    return int(obs.get["n"])
+    df.select(*cols).write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    return spark.table(table).count()
 
 
 def read_jdbc(spark: SparkSession, url: str, table_or_query: str, properties: dict | None = None,
@@ -77,17 +89,24 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
                properties: dict | None = None, batch_size: int = 5000) -> int:
     """Op 2 into a database: 'overwrite' truncates the existing table (keeping its declared
     schema, keys and indexes) and appends; 'append' appends. Rows go in ``batch_size``
-    batches per task. Returns the number of rows written (observed on the write)."""
+    batches per task. Returns the number of rows written: the table's count after a
+    replace, after minus before an append (one writer per table)."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    obs = Observation("jdbc_rows")
-    w = (df.observe(obs, F.count(F.lit(1)).alias("n")).write.format("jdbc").mode(mode)
+    spark = df.sparkSession
+
+    def rows() -> int:
+        q = f"(SELECT count(*) AS n FROM {table}) AS c"
+        return int(read_jdbc(spark, url, q, properties).first()[0])
+
+    before = rows() if mode == "append" else 0
+    w = (df.write.format("jdbc").mode(mode)
          .option("url", url).option("dbtable", table).option("batchsize", batch_size)
          .option("truncate", "true"))
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
-    return int(obs.get["n"])
+    return rows() - before
 
 
 # Declared layout per table (partition column expression, bucket key).

@@ -29,6 +29,22 @@ def test_write_table_counts_and_modes(spark, tmp_dir):
         IO.write_table(df, path, "merge")
 
 
+def test_sink_then_ml_scoring_in_one_session(spark, tmp_dir):
+    # a counted write must leave the session usable for closures that capture it
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    df = spark.range(40).select(F.col("id").cast("double").alias("x"),
+                                (F.col("id") % 2).cast("double").alias("label"))
+    assert IO.write_table(df, os.path.join(tmp_dir, "s"), "overwrite") == 40
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
+                             LogisticRegression(maxIter=5)]).fit(df)
+    scored = model.transform(df).select(vector_to_array("probability")[1].alias("score"), "label")
+    per = scored.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("pos"))
+    assert IO.write_table(per, os.path.join(tmp_dir, "s2"), "overwrite") == 40
+
+
 def test_declared_tables_and_replace(spark, tmp_dir):
     db = "shop_test_" + os.path.basename(tmp_dir).replace("-", "_")
     names = IO.create_tables(spark, db, buckets=4, location=os.path.join(tmp_dir, "wh"))
