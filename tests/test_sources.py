@@ -99,3 +99,13 @@ def test_gaps_with_hot_customer_and_times_of_day(spark):
         gaps = np.array([pd.Timedelta(b - a).days for a, b in zip(t[:-1], t[1:])], dtype=float)
         assert got.loc[cid, "purchase_gap_mean"] == pytest.approx(gaps.mean())
         assert got.loc[cid, "purchase_gap_std"] == pytest.approx(gaps.std(), abs=1e-9)
+
+
+def test_registered_sink_then_model_queries_share_a_session(spark):
+    # the driver runs every registered query in one session: a sink query must not break
+    # the model queries that follow it
+    import __spark_entry__ as entry
+    qs = entry.queries()
+    assert qs["customers_sink_roundtrip"](spark, SF_SMALL).count() > 0
+    assert qs["churn_threshold_curve_logistic"](spark, SF_SMALL).count() == 1
+    assert qs["score_band_summary"](spark, SF_SMALL).count() == 1
