@@ -60,12 +60,15 @@ def _path_rows(spark: SparkSession, path: str, fmt: str) -> int:
 
 def replace_into(df: DataFrame, table: str) -> int:
     """Op 2 ('replace' keeping the declared table): overwrite the rows of an existing
-    catalog table; its schema, partitioning and bucketing stay as declared. Returns the
-    table's row count after the replace (static overwrite: exactly the rows written)."""
+    catalog table; its schema, partitioning and bucketing stay as declared. Truncate then
+    append, so every partition is replaced whatever the session's partition overwrite mode
+    (an ``insertInto`` overwrite would follow a dynamic mode and keep untouched partitions).
+    Returns the table's row count after the replace: exactly the rows written."""
     spark = df.sparkSession
     target = spark.table(table)
     cols = [F.col(c) for c in target.columns]
-    df.select(*cols).write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    spark.sql(f"TRUNCATE TABLE {table}")
+    df.select(*cols).write.insertInto(table, overwrite=False)
     spark.catalog.refreshTable(table)
     return spark.table(table).count()
 

@@ -109,3 +109,19 @@ def test_registered_sink_then_model_queries_share_a_session(spark):
     assert qs["customers_sink_roundtrip"](spark, SF_SMALL).count() > 0
     assert qs["churn_threshold_curve_logistic"](spark, SF_SMALL).count() == 1
     assert qs["score_band_summary"](spark, SF_SMALL).count() == 1
+
+
+def test_replace_into_partitioned_table_is_a_full_replace(spark, tmp_dir):
+    # a replace keeps static overwrite semantics even when the session asks for dynamic
+    db = "replace_test_" + os.path.basename(tmp_dir).replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp_dir, 'wh')}'")
+    spark.sql(f"CREATE TABLE {db}.p (id BIGINT, m STRING) USING parquet PARTITIONED BY (m)")
+    rows = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("m"))
+    assert IO.replace_into(rows, f"{db}.p") == 100
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        assert IO.replace_into(rows.where(F.col("m") == "0").limit(5), f"{db}.p") == 5
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert spark.table(f"{db}.p").count() == 5
