@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,29 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per application, as a zip
+    through ``SparkContext.addPyFile`` (executors fetch it from the driver). Without it the
+    workers find the package only if their own working folder or path happens to hold it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(package)
+    path = os.path.join(tempfile.mkdtemp(prefix="basketlens-ship-"), "basketlens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, top))
+    sc.addPyFile(path)
+    _SHIPPED[sc.applicationId] = path
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
