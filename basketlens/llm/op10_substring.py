@@ -109,7 +109,7 @@ def cut_texts(column: pa.Array, copies: pa.Array, min_words: int):
             if listed:
                 ours = slice(at[r], at[r + 1])
                 pairs = {(x["d1"], x["d2"]) for x in listed}
-                copied[ours] |= [p in pairs for p in zip(units.digests[0][ours].tolist(), units.digests[1][ours].tolist())]
+                copied[ours] |= np.array([p in pairs for p in zip(*(d[ours].tolist() for d in units.digests))], bool)
         gone = copied_runs(units, copied, min_words)
         stays = np.repeat(~gone, units.ends - units.starts)
         sizes = np.concatenate([[0], np.cumsum(stays)])[bounds]
