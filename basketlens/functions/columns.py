@@ -76,8 +76,10 @@ RISK_MEDIUM_UP_TO = 0.6
 
 
 def risk_band(probability) -> Column:
+    """Low, Medium or High; null for a null or NaN probability."""
     p = col(probability)
-    return (F.when(p < RISK_LOW_BELOW, "Low")
+    return (F.when(p.isNull() | F.isnan(p.cast("double")), F.lit(None).cast("string"))
+            .when(p < RISK_LOW_BELOW, "Low")
             .when(p <= RISK_MEDIUM_UP_TO, "Medium")
             .otherwise("High"))
 

@@ -28,6 +28,8 @@ def _gamma_p_series(a: float, x: float) -> float:
         total += term
         if abs(term) < abs(total) * 1e-16:
             break
+    else:
+        raise ArithmeticError(f"incomplete gamma series did not converge for a={a}, x={x}")
     return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
 
 
@@ -47,8 +49,10 @@ def _gamma_q_fraction(a: float, x: float) -> float:
         d = 1.0 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1.0) < 1e-16:
+        if abs(delta - 1.0) < 1e-15:
             break
+    else:
+        raise ArithmeticError(f"incomplete gamma fraction did not converge for a={a}, x={x}")
     return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
 
 

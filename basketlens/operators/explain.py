@@ -4,8 +4,8 @@
   intercept + sum coef_j mean_j (log-odds).
 * Tree ensembles (MLlib GBT / random forest): path-dependent TreeSHAP (Lundberg, Erion &
   Lee 2018, Algorithm 2). The trees are read from the model's own persisted node table,
-  flattened to arrays (bounded by numTrees x 2^depth nodes) and broadcast into
-  ``mapInPandas``; rows are explained where they live. GBT attributions are on the
+  flattened to root-to-leaf paths (bounded by numTrees x 2^depth) and broadcast into
+  ``mapInPandas``; a batch of rows is explained at once in numpy, where the rows live. GBT attributions are on the
   log-odds scale (2 x margin), random-forest ones on the probability of class 1.
 
 Output is long: (id, feature, feature_value, shap_value), one row per id and feature.
@@ -23,15 +23,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import app_folder, checked_broadcast
+from ..session import app_folder, materialize
 
-MAX_FEATURES = 100_000  # broadcast bound for per-feature frames
 
-
-def _unpivot(df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
-    return df.select(id_col, F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("feature_value"))
-        for f in features])).alias("x")).select(id_col, "x.feature", "x.feature_value")
+def _quoted(name: str):
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 # ---------------------------------------------------------------------------------------
@@ -40,17 +37,28 @@ def _unpivot(df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
 
 def linear_attributions(df: DataFrame, id_col: str, coefficients: DataFrame,
                         intercept: float = 0.0):
-    """``coefficients``: (feature, coefficient). Returns (long attributions, one-row base)."""
-    features = [r["feature"] for r in coefficients.select("feature").collect()]
-    long = _unpivot(df, id_col, features)
-    means = long.groupBy("feature").agg(F.avg("feature_value").alias("_mean"))
-    per = checked_broadcast(means.join(coefficients, "feature"), MAX_FEATURES)
-    out = long.join(per, "feature").select(
-        id_col, "feature", "feature_value",
-        (F.col("coefficient") * (F.col("feature_value") - F.col("_mean"))).alias("shap_value"))
-    base = per.agg((F.lit(float(intercept)) + F.sum(F.col("coefficient") * F.col("_mean")))
-                   .alias("expected_value"))
-    return out, base
+    """``coefficients``: (feature, coefficient). Returns (long attributions, one-row base).
+
+    The id and the features are written once; the means are one aggregate of that copy, and
+    contributions are computed as columns before the frame is made long."""
+    spark = df.sparkSession
+    coef = {r["feature"]: float(r["coefficient"]) for r in coefficients.collect()}
+    if len(coef) == 0:
+        raise ValueError("no features to explain")
+    names = list(coef)
+    rows = materialize(df.select(F.col(id_col).alias("_id"), *[
+        _quoted(f).cast("double").alias(f"x{i}") for i, f in enumerate(names)]), "attributions")
+    means = rows.agg(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(len(names))]).first()
+    mean = [0.0 if m is None else m for m in means]
+    parts = [F.struct(F.lit(f).alias("feature"), F.col(f"x{i}").alias("feature_value"),
+                      (F.lit(coef[f]) * (F.col(f"x{i}") - F.lit(mean[i]))).alias("shap_value"))
+             for i, f in enumerate(names)]
+    out = rows.select(F.col("_id").alias(id_col), F.explode(F.array(*parts)).alias("x")).select(id_col, "x.*")
+    base = float(intercept) + sum(coef[f] * mean[i] for i, f in enumerate(names))
+    return out, spark.createDataFrame([(base,)], "expected_value double")
+
+
+PREPARED = ("_sca_", "_ohe_", "_imp_")
 
 
 def _features_frame(model, df: DataFrame, id_col: str):
@@ -68,9 +76,12 @@ def _features_frame(model, df: DataFrame, id_col: str):
     cleaned = []
     for i in range(n):
         nm = names.get(i, f"f{i}")
-        for pref in ("_sca_", "_ohe_", "_imp_"):
-            nm = nm.replace(pref, "")
+        while nm.startswith(PREPARED):  # the preparation's own prefixes, outermost first
+            nm = next(nm[len(p):] for p in PREPARED if nm.startswith(p))
         cleaned.append(nm)
+    repeated = sorted({c for c in cleaned if cleaned.count(c) > 1})
+    if repeated:
+        raise ValueError(f"features share a name: {', '.join(repeated)}")
     arr = prep.select(id_col, vector_to_array("features").alias("_x"))
     return arr, cleaned
 
@@ -95,6 +106,8 @@ def mean_abs_attribution(attributions: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 # op 53: tree attributions
 
+EXPLAIN_ROWS = 4096  # rows explained together by a worker
+
 
 def flatten_ensemble(tree_model) -> list[dict]:
     """Node arrays per tree from the model's persisted form: left, right, feature,
@@ -106,13 +119,8 @@ def flatten_ensemble(tree_model) -> list[dict]:
     if "treeID" not in nodes.columns:
         nodes = nodes.withColumn("treeID", F.lit(0))
     nodes = nodes.select("treeID", "nodeData.*").collect()
-    weights = {0: 1.0}
-    try:
-        meta = spark.read.parquet(f"{path}/treesMetadata")
-        tid, wcol = ("treeID", "weights") if "treeID" in meta.columns else ("_1", "_3")
-        weights = {r[0]: float(r[1]) for r in meta.select(tid, wcol).collect()}
-    except Exception:  # noqa: BLE001 - single trees have no ensemble metadata
-        pass
+    # a single tree has no weights; an ensemble's are in the order of its tree ids
+    weights = dict(enumerate(map(float, getattr(tree_model, "treeWeights", [1.0]))))
     trees: dict[int, list] = {}
     for r in nodes:
         trees.setdefault(r["treeID"], []).append(r)
@@ -149,80 +157,79 @@ def flatten_ensemble(tree_model) -> list[dict]:
         root = idx[0] if 0 in idx else 0
         out.append({"left": left, "right": right, "feature": feat, "threshold": thr,
                     "categories": cats, "value": value, "cover": cover, "root": root,
-                    "weight": weights.get(tid, 1.0)})
+                    "weight": weights[tid]})
     return out
 
 
-def _extend(path, z, o, d):
-    depth = len(path)
-    path.append([d, z, o, 1.0 if depth == 0 else 0.0])
-    for i in range(depth - 1, -1, -1):
-        path[i + 1][3] += o * path[i][3] * (i + 1) / (depth + 1)
-        path[i][3] = z * path[i][3] * (depth - i) / (depth + 1)
-
-
-def _unwind(path, k):
-    depth = len(path) - 1
-    o, z = path[k][2], path[k][1]
-    nxt = path[depth][3]
-    for i in range(depth - 1, -1, -1):
-        if o != 0:
-            tmp = path[i][3]
-            path[i][3] = nxt * (depth + 1) / ((i + 1) * o)
-            nxt = tmp - path[i][3] * z * (depth - i) / (depth + 1)
-        else:
-            path[i][3] = path[i][3] * (depth + 1) / (z * (depth - i))
-    for i in range(k, depth):
-        path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-    path.pop()
-
-
-def _unwound_sum(path, k):
-    depth = len(path) - 1
-    o, z = path[k][2], path[k][1]
-    nxt = path[depth][3]
-    total = 0.0
-    if o != 0:
-        for i in range(depth - 1, -1, -1):
-            tmp = nxt / ((i + 1) * o)
-            total += tmp
-            nxt = path[i][3] - tmp * z * (depth - i)
-    else:
-        for i in range(depth - 1, -1, -1):
-            total += path[i][3] / (z * (depth - i))
-    return total * (depth + 1)
-
-
-def tree_shap(x: np.ndarray, tree: dict, phi: np.ndarray, scale: float) -> None:
-    """Add the path-dependent Shapley values of one tree (times ``scale``) to ``phi``."""
-    left, right, feat, thr, cats = (tree["left"], tree["right"], tree["feature"],
-                                    tree["threshold"], tree["categories"])
-    value, cover = tree["value"], tree["cover"]
-
-    def goes_left(j):
-        v = x[feat[j]]
-        return (v in cats[j]) if cats[j] is not None else v <= thr[j]
-
-    def recurse(j, path, z, o, d):
-        path = [list(e) for e in path]
-        _extend(path, z, o, d)
-        if left[j] < 0:
-            for i in range(1, len(path)):
-                w = _unwound_sum(path, i)
-                phi[path[i][0]] += w * (path[i][2] - path[i][1]) * value[j] * scale
+def leaf_paths(tree: dict) -> list[tuple[float, list[tuple]]]:
+    """(leaf value, conditions) of each root-to-leaf path. A condition stands for all splits
+    of the path on one feature: (feature, share, above, upto, category sets), where share is
+    the product of the cover ratios, a row passes the numeric splits if not x <= above and
+    x <= upto, and each (set, inside) asks whether x is in the set."""
+    out = []
+
+    def walk(node: int, conditions: dict):
+        if tree["left"][node] < 0:
+            out.append((float(tree["value"][node]), [(f, *c) for f, c in conditions.items()]))
             return
-        hot, cold = (left[j], right[j]) if goes_left(j) else (right[j], left[j])
-        iz, io = 1.0, 1.0
-        for k in range(1, len(path)):
-            if path[k][0] == feat[j]:
-                iz, io = path[k][1], path[k][2]
-                _unwind(path, k)
-                break
-        c = cover[j] if cover[j] > 0 else 1.0
-        recurse(hot, path, iz * cover[hot] / c, io, feat[j])
-        recurse(cold, path, iz * cover[cold] / c, 0.0, feat[j])
+        f, cats = int(tree["feature"][node]), tree["categories"][node]
+        cover = tree["cover"][node] if tree["cover"][node] > 0 else 1.0
+        for child, left in ((tree["left"][node], True), (tree["right"][node], False)):
+            share, above, upto, sets = conditions.get(f, (1.0, None, None, ()))
+            share *= tree["cover"][child] / cover
+            if cats is not None:
+                sets = (*sets, (tuple(sorted(cats)), left))
+            elif left:
+                upto = tree["threshold"][node] if upto is None else min(upto, tree["threshold"][node])
+            else:
+                above = tree["threshold"][node] if above is None else max(above, tree["threshold"][node])
+            walk(child, {**conditions, f: (share, above, upto, sets)})
+
+    walk(tree["root"], {})
+    return out
+
 
-    recurse(tree["root"], [], 1.0, 1.0, -1)
+def _passes(x: np.ndarray, above, upto, sets) -> np.ndarray:
+    ok = np.ones(len(x), bool)
+    if upto is not None:
+        ok &= x <= upto
+    if above is not None:
+        ok &= ~(x <= above)  # a missing value goes right
+    for values, inside in sets:
+        ok &= np.isin(x, values) == inside
+    return ok
+
+
+def path_shap(x: np.ndarray, paths: list[tuple[float, list[tuple]]], phi: np.ndarray, scale: float) -> None:
+    """Add the path-dependent Shapley values of one tree (times ``scale``) for a batch of
+    rows: x and phi are (rows, features).
+
+    For a path on m features the weights of Algorithm 2's subsets are built by extending with
+    each feature (share z if it is absent, o if the row passes its splits) and summed with
+    one feature unwound at a time, over the row axis."""
+    for value, conditions in paths:
+        m = len(conditions)
+        if not m or value == 0.0:
+            continue
+        o = np.stack([_passes(x[:, f], *rest) for f, _, *rest in conditions]).astype(float)
+        z = [c[1] for c in conditions]
+        w = np.zeros((m + 1, len(x)))
+        w[0] = 1.0
+        for d in range(1, m + 1):
+            for i in range(d - 1, -1, -1):
+                w[i + 1] += o[d - 1] * w[i] * ((i + 1) / (d + 1))
+                w[i] *= z[d - 1] * ((d - i) / (d + 1))
+        for k, (f, share, *_) in enumerate(conditions):
+            hit = o[k] > 0
+            following, inside, outside = w[m].copy(), np.zeros(len(x)), np.zeros(len(x))
+            for i in range(m - 1, -1, -1):
+                part = following / (i + 1)
+                inside += part
+                following = w[i] - part * share * (m - i)
+                if share > 0:
+                    outside += w[i] / (share * (m - i))
+            total = np.where(hit, inside, outside) * (m + 1)
+            phi[:, f] += total * (o[k] - share) * (value * scale)
 
 
 def expected_value(tree: dict) -> float:
@@ -249,28 +256,24 @@ def tree_attributions(model, df: DataFrame, id_col: str):
     scales = _scales(tree_model, trees)
     base = float(sum(s * expected_value(t) for s, t in zip(scales, trees)))
     arr, names = _features_frame(model, df, id_col)
-    bc = spark.sparkContext.broadcast((trees, scales, names))
+    bc = spark.sparkContext.broadcast(([leaf_paths(t) for t in trees], scales, names))
     id_type = arr.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("feature", T.StringType()),
                            T.StructField("feature_value", T.DoubleType()),
                            T.StructField("shap_value", T.DoubleType())])
 
     def explain(batches):
-        ts, sc, nm = bc.value
-        k = len(nm)
+        paths, sc, nm = bc.value
         for pdf in batches:
-            ids, feats, vals, shaps = [], [], [], []
-            for rid, x in zip(pdf[id_col], pdf["_x"]):
-                xv = np.asarray(x, dtype=float)
-                phi = np.zeros(k)
-                for t, s in zip(ts, sc):
-                    tree_shap(xv, t, phi, s)
-                ids += [rid] * k
-                feats += nm
-                vals += list(xv)
-                shaps += list(phi)
-            yield pd.DataFrame({id_col: ids, "feature": feats, "feature_value": vals,
-                                "shap_value": shaps})
+            for a in range(0, len(pdf), EXPLAIN_ROWS):
+                part = pdf.iloc[a:a + EXPLAIN_ROWS]
+                x = np.stack(part["_x"].to_list()).astype(float)
+                phi = np.zeros_like(x)
+                for p, s in zip(paths, sc):
+                    path_shap(x, p, phi, s)
+                yield pd.DataFrame({id_col: np.repeat(part[id_col].to_numpy(), len(nm)),
+                                    "feature": nm * len(part), "feature_value": x.ravel(),
+                                    "shap_value": phi.ravel()})
 
     out = arr.mapInPandas(explain, schema)
     base_df = spark.createDataFrame([(base,)], "expected_value double")

@@ -87,7 +87,7 @@ def _confusion_from_counts(per: DataFrame, threshold: float, by: Sequence[str])
 
 def confusion_counts(scored: DataFrame, label: str = "label", score: str = "score",
                      threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
-    pred = F.col(score) >= F.lit(threshold)
+    pred = F.coalesce(F.col(score) >= F.lit(threshold), F.lit(False))
     y = F.col(label) == 1
     return scored.groupBy(*by).agg(F.count_if(y & pred).alias("tp"), F.count_if(~y & pred).alias("fp"),
                                    F.count_if(y & ~pred).alias("fn"), F.count_if(~y & ~pred).alias("tn"))
@@ -148,7 +148,8 @@ def threshold_curve(scored: DataFrame, label: str = "label", score: str = "score
     """precision, recall, f1 and balanced accuracy at thresholds 0.05..0.95 (step 0.01).
 
     Each score is binned by how many grid thresholds it reaches (0..91); the 92-row
-    histogram's suffix sums give the confusion counts of every threshold at once.
+    histogram's suffix sums give the confusion counts of every threshold at once. A null
+    score reaches no threshold: it is a predicted negative, as in the confusion counts.
     """
     spark = scored.sparkSession
     s = F.col(score).cast("double")
@@ -157,7 +158,7 @@ def threshold_curve(scored: DataFrame, label: str = "label", score: str = "score
     # exact correction against the generated grid values
     c = F.when((c < GRID_POINTS) & (_grid_t(c) <= s), c + 1).otherwise(c)
     c = F.when((c > 0) & (_grid_t(c - 1) > s), c - 1).otherwise(c)
-    hist = scored.where(s.isNotNull()).groupBy(c.alias("bin")).agg(
+    hist = scored.groupBy(F.when(s.isNull(), F.lit(0)).otherwise(c).alias("bin")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     bins = spark.range(GRID_POINTS + 1).select(F.col("id").alias("bin"))
     full = F.broadcast(bins).join(hist, "bin", "left").na.fill(0, ["pos", "neg"])
@@ -285,11 +286,11 @@ def score_bands(scored: DataFrame, probability: str = "churn_probability",
 
 
 def band_summary(banded: DataFrame) -> DataFrame:
-    """One row: total, high_risk, medium_risk, low_risk."""
+    """One row: total, high_risk, medium_risk, low_risk, not_scored (no probability)."""
     r = F.col("risk_level")
     return banded.agg(F.count(F.lit(1)).alias("total"), F.count_if(r == "High").alias("high_risk"),
                       F.count_if(r == "Medium").alias("medium_risk"),
-                      F.count_if(r == "Low").alias("low_risk"))
+                      F.count_if(r == "Low").alias("low_risk"), F.count_if(r.isNull()).alias("not_scored"))
 
 
 # ---------------------------------------------------------------------------------------

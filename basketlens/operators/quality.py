@@ -27,12 +27,15 @@ def not_null(table: str, df: DataFrame, column: str) -> DataFrame:
 
 def references(table: str, df: DataFrame, column: str, parent: str, parent_df: DataFrame,
                parent_key: str) -> DataFrame:
-    """Number of rows whose non-null ``column`` has no match in the parent key (anti join)."""
+    """Number of rows whose non-null ``column`` has no match in the parent key. Rows are
+    counted per key first (map-side combine), so a key with many rows is one row in the
+    anti join."""
     keys = parent_df.select(F.col(parent_key).alias("_k")).distinct()
-    orphans = (df.select(F.col(column).alias("_k")).where(F.col("_k").isNotNull())
-               .join(keys, "_k", "left_anti"))
+    counts = (df.select(F.col(column).alias("_k")).where(F.col("_k").isNotNull())
+              .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
+    orphans = counts.join(keys, "_k", "left_anti")
     return _row(f"{table}.{column} references {parent}",
-                orphans.agg(F.count(F.lit(1)).alias("violations")))
+                orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")))
 
 
 def integrity_report(checks: Sequence[DataFrame]) -> DataFrame:

@@ -105,7 +105,7 @@ def q_tuning(spark, sf):
 
 @register("rfe_feature_selection_logistic", note="recursive elimination, 5-fold AUC per size; rows-only")
 def q_rfe(spark, sf):
-    res = ML.recursive_feature_elimination(model_frame(spark, sf), NUMERIC, min_features=8,
+    res = ML.recursive_feature_elimination(model_frame(spark, sf), NUMERIC, CATEGORICAL,
                                            model_type="logistic_regression")
     rows = [(n, m, s, n == res["optimal_n_features"]) for n, m, s in
             zip(res["n_features"], res["cv_scores_mean"], res["cv_scores_std"])]
@@ -145,7 +145,7 @@ def _segment_input(spark, sf):
 @register("kmeans_choose_k", note="k-means per k with inertia, silhouette, CH; rows-only")
 def q_choose_k(spark, sf):
     vec, names = _segment_input(spark, sf)
-    return SG.choose_k(vec, names, range(2, 11), n_init=2)
+    return SG.choose_k(vec, names, range(2, 11), n_init=10)
 
 
 @register("kmeans_cluster_profile", note="best-of-10 k-means, k=3, then profile; rows-only")
@@ -258,10 +258,10 @@ def q_lr_attr(spark, sf):
     return out
 
 
-@register("tree_model_attributions", note="TreeSHAP on a GBT (20 trees, depth 4); rows-only")
+@register("tree_model_attributions", note="TreeSHAP on a GBT (100 trees, depth 5); rows-only")
 def q_tree_attr(spark, sf):
     data = model_frame(spark, sf)
-    model, _ = ML.train_churn_model(data, NUMERIC, CATEGORICAL, "xgboost", maxIter=20, maxDepth=4)
+    model, _ = ML.train_churn_model(data, NUMERIC, CATEGORICAL, "xgboost")
     out, _ = X.tree_attributions(model, data, "customer_id")
     return out
 

@@ -281,7 +281,8 @@ def q_score_bands(spark, sf):
 @register("score_band_summary", oracle("""
 SELECT count(*) AS total, count(*) FILTER (WHERE risk_level = 'High') AS high_risk,
        count(*) FILTER (WHERE risk_level = 'Medium') AS medium_risk,
-       count(*) FILTER (WHERE risk_level = 'Low') AS low_risk FROM banded""", ctes=BAND_SQL))
+       count(*) FILTER (WHERE risk_level = 'Low') AS low_risk,
+       count(*) FILTER (WHERE risk_level IS NULL) AS not_scored FROM banded""", ctes=BAND_SQL))
 def q_score_band_summary(spark, sf):
     return M.band_summary(banded(spark, sf))
 

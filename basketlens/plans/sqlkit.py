@@ -33,7 +33,7 @@ shop_tx AS (
               ELSE l.l_quantity * (l.l_extendedprice / l.l_quantity) * (1 - l.l_discount) END
            AS revenue
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
 ),
 shop_events AS (
   SELECT event_id, user_id AS customer_id, ts AS event_ts,

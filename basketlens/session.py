@@ -1,5 +1,5 @@
-"""Session helpers: building a session, the shared checkpoint folder, materialising
-intermediate frames, and broadcasting only behind a size check."""
+"""Session helpers: building a session, shipping the package to the workers, the shared
+checkpoint folder and materialising intermediate frames."""
 
 from __future__ import annotations
 
@@ -9,31 +9,44 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+#: settings this library is tuned for; a value that the submit or the session has stays
+DEFAULTS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "basketlens") -> SparkSession:
-    """Session with the settings this library is tuned for (AQE on, UTC, Arrow, no UI).
-
-    On a cluster ``master`` is left to spark-submit; locally it defaults to local[*].
-    """
-    builder = SparkSession.builder.appName(app_name)
+    """Session with DEFAULTS filled in where the submitted configuration says nothing (AQE
+    on, UTC, Arrow, no UI). ``master`` and ``shuffle_partitions`` are set only if given:
+    spark-submit's values hold otherwise, and without any master it is local[*]."""
+    from pyspark import SparkConf, SparkContext
+
+    active = SparkContext._active_spark_context
+    if active is None:
+        SparkContext._ensure_initialized()  # the gateway carries what spark-submit was given
+    conf = active.getConf() if active is not None else SparkConf()
+    builder = SparkSession.builder
     if master:
         builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+    elif not conf.contains("spark.master"):
         builder = builder.master("local[*]")
-    parts = shuffle_partitions or int(os.environ.get("BASKETLENS_SHUFFLE_PARTITIONS", "8"))
-    spark = (builder
-             .config("spark.ui.enabled", "false")
-             .config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.shuffle.partitions", str(parts))
-             .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-             .config("spark.sql.adaptive.skewJoin.enabled", "true")
-             .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-             .getOrCreate())
+    if not conf.contains("spark.app.name"):
+        builder = builder.appName(app_name)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in DEFAULTS.items():
+        if not conf.contains(key):
+            builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -109,17 +122,6 @@ def release_intermediates(spark: SparkSession) -> None:
         fs.delete(path, True)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned unhinted, so the planner (AQE) picks a shuffled
-    join instead.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def scalar(df: DataFrame):
     """First column of the single row of a one-row aggregate (e.g. a global max)."""
     row = df.first()

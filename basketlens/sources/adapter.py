@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import elapsed_days, net_revenue, ts_literal
-from ..session import checked_broadcast, scalar
+from ..session import scalar
 
 # Snapshots that fit the test tables (orders end 2001-08-01,
 # events cover 2024-01-01..2024-01-30).
@@ -34,7 +34,6 @@ EVENT_TYPES = {
     "error": "search",
 }
 PREMIUM_MIN_BALANCE = 5000.0
-NATION_MAX_ROWS = 1000  # broadcast bound for the nation dimension
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,8 +64,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     churn_label applies the label rule on order grain; customers without orders get 0.
     """
     latest = last_order_date(spark, sf_dir)
-    nation = checked_broadcast(read_table(spark, sf_dir, "nation")
-                               .select("n_nationkey", F.col("n_name").alias("city")), NATION_MAX_ROWS)
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     orders = order_summary(spark, sf_dir)
     c = read_table(spark, sf_dir, "customer")
     joined = (c.join(nation, c.c_nationkey == nation.n_nationkey, "left")
@@ -108,7 +106,8 @@ def transactions(spark: SparkSession, sf_dir: str, with_category: bool = True) -
     ]
     if with_category:
         part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-        tx = tx.join(part, tx.l_partkey == part.p_partkey)
+        # left: a line whose product is missing stays, as it does without the category
+        tx = tx.join(part, tx.l_partkey == part.p_partkey, "left")
         cols.append(F.col("p_type").alias("category"))
     cols += [
         F.col("l_quantity").alias("quantity"),

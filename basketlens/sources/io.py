@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .schemas import SCHEMAS
 
 
@@ -60,17 +61,27 @@ def _path_rows(spark: SparkSession, path: str, fmt: str) -> int:
 
 def replace_into(df: DataFrame, table: str) -> int:
     """Op 2 ('replace' keeping the declared table): overwrite the rows of an existing
-    catalog table; its schema, partitioning and bucketing stay as declared. Truncate then
-    append, so every partition is replaced whatever the session's partition overwrite mode
-    (an ``insertInto`` overwrite would follow a dynamic mode and keep untouched partitions).
-    Returns the table's row count after the replace: exactly the rows written."""
+    catalog table; its schema, partitioning and bucketing stay as declared.
+
+    ``df`` may read the table itself: it is first written to the checkpoint folder, and only
+    that copy replaces the rows, by one overwrite of all partitions (static, whatever the
+    session's partition overwrite mode). If ``df`` fails, the table is untouched. Raises if
+    the table then holds another number of rows than were written; returns that number."""
     spark = df.sparkSession
-    target = spark.table(table)
-    cols = [F.col(c) for c in target.columns]
-    spark.sql(f"TRUNCATE TABLE {table}")
-    df.select(*cols).write.insertInto(table, overwrite=False)
+    copy = materialize(df.select(*[F.col(f"`{c}`") for c in spark.table(table).columns]), "replace")
+    expected = copy.count()
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        copy.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
     spark.catalog.refreshTable(table)
-    return spark.table(table).count()
+    rows = spark.table(table).count()
+    if rows != expected:
+        raise RuntimeError(f"{table} holds {rows} rows after a replace by {expected}")
+    return rows
 
 
 def read_jdbc(spark: SparkSession, url: str, table_or_query: str, properties: dict | None = None,
@@ -92,11 +103,15 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
                properties: dict | None = None, batch_size: int = 5000) -> int:
     """Op 2 into a database: 'overwrite' truncates the existing table (keeping its declared
     schema, keys and indexes) and appends; 'append' appends. Rows go in ``batch_size``
-    batches per task. Returns the number of rows written: the table's count after a
-    replace, after minus before an append (one writer per table)."""
+    batches per task. A replace writes ``df`` to the checkpoint folder first, so it may read
+    the table itself and a failing ``df`` leaves the rows. Returns the number of rows
+    written: the table's count after a replace, after minus before an append (one writer
+    per table)."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
     spark = df.sparkSession
+    if mode == "overwrite":
+        df = materialize(df, "replace")
 
     def rows() -> int:
         q = f"(SELECT count(*) AS n FROM {table}) AS c"
