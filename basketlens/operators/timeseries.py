@@ -21,20 +21,52 @@ from ..functions.columns import net_revenue
 # op 48: resampled revenue
 
 
+# Period codes -> (truncation, step between starts).
+FREQUENCIES = {
+    "D": ("day", "INTERVAL 1 DAY"),
+    "W": ("week", "INTERVAL 7 DAYS"),      # Monday to Sunday, labelled by the Sunday
+    "M": ("month", "INTERVAL 1 MONTH"),    # labelled by the last day
+    "Q": ("quarter", "INTERVAL 3 MONTHS"),  # labelled by the last day
+}
+
+
+def _check_frequency(freq: str) -> None:
+    if freq not in FREQUENCIES:
+        raise ValueError(f"no period {freq!r}; there are {', '.join(FREQUENCIES)}")
+
+
+def period_label(start, freq: str):
+    """The label of the period that starts at the date ``start``: its last day."""
+    if freq == "D":
+        return start
+    if freq == "W":
+        return F.date_add(start, 6)
+    return F.last_day(F.add_months(start, 2 if freq == "Q" else 0))
+
+
 def revenue_timeseries(tx: DataFrame, by: Sequence[str] = (), date_col: str = "transaction_date",
-                       revenue: str | None = None) -> DataFrame:
-    """Net revenue per calendar month, labelled by the month's last day (``period``, midnight),
-    gap-free from each series' first to last month (empty months are 0.0)."""
+                       revenue: str | None = None, freq: str = "M") -> DataFrame:
+    """Net revenue per day, week, month or quarter (``freq`` D, W, M or Q), labelled by the
+    period's last day (``period``, midnight), gap-free from each series' first to last
+    period (empty periods are 0.0). Rows without a date are in no period."""
+    _check_frequency(freq)
     by = list(by)
     rev = F.col(revenue) if revenue else net_revenue()
-    month = F.trunc(F.col(date_col).cast("date"), "month")
-    monthly = tx.groupBy(*by, month.alias("_m")).agg(F.sum(rev).alias("revenue"))
-    span = monthly.groupBy(*by).agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi"))
-    calendar = span.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH")))
-                           .alias("_m"))
-    out = calendar.join(monthly, by + ["_m"], "left")
-    return out.select(*by, F.last_day("_m").cast("timestamp_ntz").alias("period"),
-                      F.coalesce("revenue", F.lit(0.0)).alias("revenue"))
+    unit, step = FREQUENCIES[freq]
+    day = F.col(date_col).cast("date")
+    start = day if freq == "D" else F.trunc(day, unit)
+    sums = (tx.where(F.col(date_col).isNotNull()).groupBy(*by, start.alias("_m"))
+            .agg(F.sum(rev).alias("revenue")))
+    span = sums.groupBy(*by).agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi"))
+    calendar = span.where("_lo is not null").select(
+        *by, F.explode(F.sequence("_lo", "_hi", F.expr(step))).alias("_m"))
+    c, r = calendar.alias("c"), sums.alias("r")
+    match = F.col("c._m") == F.col("r._m")
+    for k in by:
+        match = match & F.col(f"c.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
+    return c.join(r, match, "left").select(
+        *[F.col(f"c.`{k}`").alias(k) for k in by], period_label(F.col("c._m"), freq).cast("timestamp_ntz").alias("period"),
+        F.coalesce(F.col("r.revenue"), F.lit(0.0)).alias("revenue"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -152,64 +184,76 @@ def stationarity(series: DataFrame, by: Sequence[str] = (), value: str = "revenu
 Z95 = 1.959963984540054
 
 
-def seasonal_ar_fit(y: np.ndarray, season: int = 12):
-    """Fit z_t = c + a z_{t-1} + b z_{t-s} on z = diff(y) (seasonal term only when the series
-    is long enough). Returns (coefficients (c, a, b), sigma^2, fitted y)."""
+def differencing(y: np.ndarray, d: int | None) -> int:
+    """``d``, or what the stationarity test recommends for the series if it is None; never
+    more than leaves one difference."""
+    if d is None:
+        d = adf_test(y)["recommended_differencing"]
+    if d not in (0, 1, 2):
+        raise ValueError("the differencing is 0, 1 or 2")
+    return min(d, max(len(y) - 1, 0))
+
+
+def seasonal_ar_fit(y: np.ndarray, season: int = 12, d: int = 1):
+    """Fit z_t = c + a z_{t-1} + b z_{t-s} on the d-th difference z of y, without the
+    seasonal term if the series has at most season + 3 differences or season is 0, and with
+    the constant alone if there are too few for a slope. Returns (coefficients (c, a, b),
+    sigma^2, fitted y, whether the seasonal term is in)."""
     y = np.asarray(y, dtype=float)
     n = len(y)
     fitted = np.full(n, np.nan)
-    if n < 3:
-        return (float(np.mean(np.diff(y))) if n > 1 else 0.0, 0.0, 0.0), 0.0, fitted
-    z = np.diff(y)
-    use_season = len(z) > season + 3
+    z = np.diff(y, n=d)
+    if n < 3 or len(z) < 2:
+        return (float(np.mean(z)) if len(z) else 0.0, 0.0, 0.0), 0.0, fitted, False
+    use_season = season > 0 and len(z) > season + 3
     start = season if use_season else 1
     rows = len(z) - start
     if rows < 2:
         c = float(np.mean(z))
         resid = z - c
-        sigma2 = float(resid @ resid / max(len(z) - 1, 1))
-        fitted[1:] = y[:-1] + c
-        return (c, 0.0, 0.0), sigma2, fitted
+        fitted[d:] = y[d:] - resid
+        return (c, 0.0, 0.0), float(resid @ resid / max(len(z) - 1, 1)), fitted, False
     cols = [np.ones(rows), z[start - 1:start - 1 + rows]]
     if use_season:
         cols.append(z[0:rows])
     xs = np.column_stack(cols)
     beta, resid, ssr = _ols(z[start:], xs)
-    dof = max(rows - xs.shape[1], 1)
-    sigma2 = ssr / dof
-    c, a = float(beta[0]), float(beta[1])
+    fitted[d + start:] = y[d + start:] - resid
     b = float(beta[2]) if use_season else 0.0
-    fitted[start + 1:] = y[start:-1] + xs @ beta
-    return (c, a, b), sigma2, fitted
+    return (float(beta[0]), float(beta[1]), b), ssr / max(rows - xs.shape[1], 1), fitted, use_season
 
 
-def seasonal_ar_forecast(y: np.ndarray, steps: int, season: int = 12):
-    """h-step means and 95% intervals (psi-weights of (1 - aB - bB^s)(1 - B))."""
-    (c, a, b), sigma2, fitted = seasonal_ar_fit(y, season)
-    y = list(np.asarray(y, dtype=float))
-    z = list(np.diff(y)) if len(y) > 1 else []
+def seasonal_ar_forecast(y: np.ndarray, steps: int, season: int = 12, d: int | None = 1):
+    """h-step means and 95% intervals (psi-weights of (1 - aB - bB^s)(1 - B)^d). Returns
+    (rows of (mean, low, high), fitted y, used d, whether the seasonal term is in)."""
+    y = np.asarray(y, dtype=float)
+    d = differencing(y, d)
+    (c, a, b), sigma2, fitted, seasonal = seasonal_ar_fit(y, season, d)
+    z = list(np.diff(y, n=d))
+    lasts = [float(np.diff(y, n=k)[-1]) for k in range(d)]  # of the levels below z
     means = []
     for _ in range(steps):
-        zl1 = z[-1] if z else 0.0
-        zls = z[-season] if len(z) >= season else 0.0
-        znew = c + a * zl1 + b * zls
-        z.append(znew)
-        y.append(y[-1] + znew)
-        means.append(y[-1])
-    # AR polynomial of the level: phi(B) = (1 - aB - bB^s)(1 - B)
-    phi = np.zeros(season + 2)
-    phi[1] += 1.0 + a
-    phi[2] -= a
-    phi[season] += b
-    phi[season + 1] -= b
+        value = c + a * (z[-1] if z else 0.0) + b * (z[-season] if season and len(z) >= season else 0.0)
+        z.append(value)
+        for k in range(d - 1, -1, -1):
+            lasts[k] += value
+            value = lasts[k]
+        means.append(value)
+    poly = np.zeros(max(season, 1) + 1)
+    poly[0] = 1.0
+    poly[1] -= a
+    if season:
+        poly[season] -= b
+    for _ in range(d):
+        poly = np.convolve(poly, [1.0, -1.0])
     psi = [1.0]
     for j in range(1, steps):
-        psi.append(sum(phi[k] * psi[j - k] for k in range(1, min(j, season + 1) + 1)))
+        psi.append(-sum(poly[k] * psi[j - k] for k in range(1, min(j, len(poly) - 1) + 1)))
     out = []
     for h, m in enumerate(means, start=1):
         se = math.sqrt(max(sigma2, 0.0) * sum(p * p for p in psi[:h]))
         out.append((m, m - Z95 * se, m + Z95 * se))
-    return out, fitted
+    return out, fitted, d, seasonal
 
 
 def _key_frame(series: DataFrame, by: list[str]):
@@ -218,25 +262,37 @@ def _key_frame(series: DataFrame, by: list[str]):
     return series.withColumn("_all", F.lit(0)), ["_all"]
 
 
+def _ahead(last: pd.Timestamp, h: int, freq: str) -> pd.Timestamp:
+    if freq in "DW":
+        return last + pd.Timedelta(days=h * (7 if freq == "W" else 1))
+    return last + (pd.offsets.MonthEnd(h) if freq == "M" else pd.offsets.QuarterEnd(h))
+
+
 def seasonal_forecast(series: DataFrame, steps: int = 3, by: Sequence[str] = (), season: int = 12,
-                      value: str = "revenue", period: str = "period") -> DataFrame:
-    """(key..., forecast_date, predicted_revenue, lower_ci_95, upper_ci_95) for the next
-    ``steps`` months of every series."""
+                      value: str = "revenue", period: str = "period", d: int | None = None,
+                      freq: str = "M") -> DataFrame:
+    """(key..., forecast_date, predicted_revenue, lower_ci_95, upper_ci_95, used_d,
+    seasonal) for the next ``steps`` periods of every series. ``d`` is the differencing;
+    None takes the stationarity test's recommendation for each series. ``season`` is the
+    seasonal lag in periods (0: none); ``seasonal`` says whether its term is in the fit
+    (series of at most season + 3 differences are too short for it)."""
+    _check_frequency(freq)
     by = list(by)
     src, keys = _key_frame(series, by)
     schema = T.StructType([src.schema[k] for k in keys] + [
         T.StructField("forecast_date", T.TimestampNTZType()), T.StructField("predicted_revenue", T.DoubleType()),
-        T.StructField("lower_ci_95", T.DoubleType()), T.StructField("upper_ci_95", T.DoubleType())])
+        T.StructField("lower_ci_95", T.DoubleType()), T.StructField("upper_ci_95", T.DoubleType()),
+        T.StructField("used_d", T.IntegerType()), T.StructField("seasonal", T.BooleanType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(period)
-        fc, _ = seasonal_ar_forecast(pdf[value].to_numpy(dtype=float), steps, season)
+        fc, _, used, seasonal = seasonal_ar_forecast(pdf[value].to_numpy(dtype=float), steps, season, d)
         last = pd.Timestamp(pdf[period].iloc[-1])
-        dates = [(last + pd.offsets.MonthEnd(h)).to_pydatetime() for h in range(1, steps + 1)]
         rows = []
-        for d, (m, lo, hi) in zip(dates, fc):
+        for h, (m, lo, hi) in enumerate(fc, start=1):
             row = {k: pdf[k].iloc[0] for k in keys}
-            row.update(forecast_date=d, predicted_revenue=m, lower_ci_95=lo, upper_ci_95=hi)
+            row.update(forecast_date=_ahead(last, h, freq).to_pydatetime(), predicted_revenue=m, lower_ci_95=lo,
+                       upper_ci_95=hi, used_d=used, seasonal=seasonal)
             rows.append(row)
         return pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
@@ -245,8 +301,9 @@ def seasonal_forecast(series: DataFrame, steps: int = 3, by: Sequence[str] = (),
 
 
 def fitted_values(series: DataFrame, by: Sequence[str] = (), season: int = 12,
-                  value: str = "revenue", period: str = "period") -> DataFrame:
-    """In-sample one-step fitted values (key..., period, fitted); null where no fit exists."""
+                  value: str = "revenue", period: str = "period", d: int | None = None) -> DataFrame:
+    """In-sample one-step fitted values (key..., period, fitted); null where no fit exists.
+    ``season`` and ``d`` as in :func:`seasonal_forecast`."""
     by = list(by)
     src, keys = _key_frame(series, by)
     schema = T.StructType([src.schema[k] for k in keys] + [
@@ -254,9 +311,9 @@ def fitted_values(series: DataFrame, by: Sequence[str] = (), season: int = 12,
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(period)
-        _, _, fitted = seasonal_ar_fit(pdf[value].to_numpy(dtype=float), season)
+        y = pdf[value].to_numpy(dtype=float)
         out = pdf[keys + [period]].copy()
-        out["fitted"] = fitted
+        out["fitted"] = seasonal_ar_fit(y, season, differencing(y, d))[2]
         return out
 
     out = src.groupBy(*keys).applyInPandas(run, schema)

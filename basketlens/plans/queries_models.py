@@ -184,6 +184,24 @@ def q_revenue_ts_cat(spark, sf):
     return TS.revenue_timeseries(A.transactions(spark, sf), by=["category"])
 
 
+def _register_series(name: str, freq: str, unit: str, step: str, label: str) -> None:
+    """Series of another period by category; the statement labels the period's last day."""
+    statement = oracle(f"""
+SELECT cal.category, CAST({label} AS TIMESTAMP) AS period, CAST(coalesce(mc.revenue, 0) AS DOUBLE) AS revenue
+FROM cal_c cal LEFT JOIN mc ON mc.category = cal.category AND mc.m = cal.m""", ["revenue"], ctes=f"""
+mc AS (SELECT category, CAST(date_trunc('{unit}', transaction_date) AS TIMESTAMP) AS m, sum(revenue) AS revenue FROM shop_tx GROUP BY 1, 2),
+cal_c AS (SELECT category, unnest(generate_series(min(m), max(m), INTERVAL {step})) AS m FROM mc GROUP BY category)""")
+
+    @register(name, statement)
+    def build(spark, sf):
+        return TS.revenue_timeseries(A.transactions(spark, sf), by=["category"], freq=freq)
+
+
+_register_series("revenue_timeseries_daily", "D", "day", "1 DAY", "cal.m")
+_register_series("revenue_timeseries_weekly", "W", "week", "7 DAY", "cal.m + INTERVAL 6 DAY")
+_register_series("revenue_timeseries_quarterly", "Q", "quarter", "3 MONTH", "last_day(cal.m + INTERVAL 2 MONTH)")
+
+
 @register("revenue_stationarity_by_category", note="ADF per series via applyInPandas; rows-only")
 def q_stationarity(spark, sf):
     return TS.stationarity(TS.revenue_timeseries(A.transactions(spark, sf), by=["category"]),
