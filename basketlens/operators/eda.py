@@ -147,12 +147,12 @@ def cohort_retention(customers: DataFrame, tx: DataFrame, pivot: bool = False,
     matrix (one column per period)."""
     c = customers.where(F.col("signup_date").isNotNull()).select(
         CID, F.date_format("signup_date", "yyyy-MM").alias("cohort_month"),
-        (F.year("signup_date") * 12 + F.month("signup_date") - 1).alias("_c_ym"))
+        (F.year("signup_date") * 12 + F.month("signup_date") - 1).alias("_c_ym")).distinct()
     sizes = c.groupBy("cohort_month").agg(F.count_distinct(CID).alias("_size"))
     # pre-aggregate to distinct (customer, month) before joining: a customer with a huge
     # share of the transactions shrinks to one row per active month
     d = F.col(date_col)
-    active_months = tx.select(CID, (F.year(d) * 12 + F.month(d) - 1).alias("_t_ym")).distinct()
+    active_months = tx.where(d.isNotNull()).select(CID, (F.year(d) * 12 + F.month(d) - 1).alias("_t_ym")).distinct()
     t = active_months.join(c, CID)
     active = t.groupBy("cohort_month", (F.col("_t_ym") - F.col("_c_ym")).alias("period_idx")).agg(
         F.count(F.lit(1)).alias("_active"))

@@ -61,16 +61,17 @@ def q_shop_events(spark, sf):
     "SELECT customer_id, signup_date, age, gender, city, acquisition_channel, is_premium, "
     "churn_label, CAST(count(*) OVER () AS BIGINT) AS rows_written FROM shop_customers", ["age"]))
 def q_sink_roundtrip(spark, sf):
-    """Replace-then-append into a table under this application's folder; the rows read
-    back (the append of nothing keeps them) carry the written row count."""
+    """Replace a table under this application's folder by a part of the customers, append
+    the rest; the rows read back carry the number of rows written."""
     import uuid
 
     from ..session import app_folder
     from ..sources import io as IO
     path = f"{app_folder(spark)}/sink-{uuid.uuid4().hex}"
     cust = A.customers(spark, sf)
-    n = IO.write_table(cust, path, "overwrite")
-    IO.write_table(cust.limit(0), path, "append")
+    even = F.coalesce(F.col("customer_id") % 2 == 0, F.lit(False))
+    IO.write_table(cust, path, "overwrite")
+    n = IO.write_table(cust.where(even), path, "overwrite") + IO.write_table(cust.where(~even), path, "append")
     return IO.scan(spark, path).withColumn("rows_written", F.lit(n).cast("long"))
 
 

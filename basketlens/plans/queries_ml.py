@@ -39,7 +39,11 @@ def model_frame(spark, sf):
 
 # ---------------------------------------------------------------- op 35: split
 
-@register("stratified_split_counts", note="seeded hash split; rows-only")
+@register("stratified_split_counts", oracle("""
+SELECT split, churn_label, CAST(n AS BIGINT) AS customers FROM (
+  SELECT 'test' AS split, churn_label, floor(0.2 * count(*) + 0.5) AS n FROM master GROUP BY churn_label
+  UNION ALL SELECT 'train', churn_label, count(*) - floor(0.2 * count(*) + 0.5) FROM master GROUP BY churn_label) s
+WHERE n > 0""", ctes=MASTER_SQL))
 def q_split(spark, sf):
     s = ML.stratified_split(model_frame(spark, sf))
     return s.groupBy("split", "churn_label").agg(F.count(F.lit(1)).alias("customers"))
