@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,9 +69,10 @@ def churn_labels(customers: DataFrame, purchases: DataFrame, max_frequency: int
                  min_recency_days: int = 180, date_col: str = "transaction_date") -> DataFrame:
     """Replace ``churn_label``: 1 iff fewer than ``max_frequency`` purchases and the last one
     more than ``min_recency_days`` before the latest purchase overall; no purchases -> 0."""
-    latest = scalar(purchases.agg(F.max(date_col)))
-    per = purchases.groupBy(CID).agg(F.count(F.lit(1)).alias("_freq"),
-                                     F.max(date_col).alias("_last"))
+    # the latest purchase is the latest of the customers' latest: one pass over the fact
+    per = materialize(purchases.groupBy(CID).agg(F.count(F.lit(1)).alias("_freq"),
+                                                 F.max(date_col).alias("_last")), "purchases")
+    latest = scalar(per.agg(F.max("_last")))
     rule = ((F.col("_freq") < max_frequency)
             & (elapsed_days(ts_literal(latest), F.col("_last")) > min_recency_days)).cast("int")
     per = per.select(CID, rule.alias("_label"))
@@ -99,22 +100,32 @@ def _line_summary(tx: DataFrame, revenue: str | None, date_col: str) -> DataFram
 
 def transaction_summary(tx: DataFrame, revenue: str | None = None,
                         date_col: str = "transaction_date") -> DataFrame:
-    """One pre-aggregated pass over the fact table at (customer, timestamp, payment,
-    category) grain: line count, net revenue, discount sum and return count.
+    """Line count, net revenue, discount sum and return count per (customer, timestamp), per
+    (customer, payment method) and per (customer, category), in one pass over the fact table
+    (grouping sets, so all three shuffle their partial sums only). ``_of`` names the column
+    that a row is grouped by beside the customer.
 
-    Every per-customer transaction feature is decomposable over this grain, so the master
-    table scans and joins the fact once and all branches read the (smaller) summary.
+    Every per-customer transaction feature follows from one of the three.
     """
     lines = _line_summary(tx, revenue, date_col)
-    keys = [c for c in (CID, "_t", "payment_method", "category") if c in lines.columns]
-    aggs = [F.sum("_n").alias("_n"), F.sum("_rev").alias("_rev")]
-    aggs += [F.sum(c).alias(c) for c in ("_disc", "_ret") if c in lines.columns]
-    return lines.groupBy(*keys).agg(*aggs)
+    beside = [c for c in ("_t", "payment_method", "category") if c in lines.columns]
+    of = F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in beside])
+    sums = [F.sum(c).alias(c) for c in ("_n", "_rev", "_disc", "_ret") if c in lines.columns]
+    return (lines.groupingSets([[F.col(CID), F.col(c)] for c in beside], CID, *beside)
+            .agg(*sums, of.alias("_of")))
 
 
-def _rfm_from_summary(s: DataFrame, snapshot) -> DataFrame:
-    agg = s.groupBy(CID).agg(F.max("_t").alias("_last"), F.sum("_n").alias("frequency"),
-                             F.sum("_rev").alias("monetary_total"))
+def _grouped_by(s: DataFrame, column: str) -> DataFrame:
+    """The rows of a summary that are grouped by ``column`` (plain lines: all rows)."""
+    return s.where(F.col("_of") == column) if "_of" in s.columns else s
+
+
+def _per_customer(s: DataFrame) -> DataFrame:
+    return _grouped_by(s, "_t").groupBy(CID).agg(F.max("_t").alias("_last"), F.sum("_n").alias("frequency"),
+                                                 F.sum("_rev").alias("monetary_total"))
+
+
+def _rfm_from_aggregate(agg: DataFrame, snapshot) -> DataFrame:
     return agg.select(
         CID,
         elapsed_days(ts_literal(snapshot), F.col("_last")).alias("recency_days"),
@@ -122,6 +133,10 @@ def _rfm_from_summary(s: DataFrame, snapshot) -> DataFrame:
         safe_ratio("monetary_total", "frequency").alias("monetary_avg"))
 
 
+def _rfm_from_summary(s: DataFrame, snapshot) -> DataFrame:
+    return _rfm_from_aggregate(_per_customer(s), snapshot)
+
+
 def rfm_base(tx: DataFrame, snapshot, revenue: str | None = None,
              date_col: str = "transaction_date") -> DataFrame:
     """recency_days, frequency, monetary_total, monetary_avg per customer."""
@@ -253,19 +268,24 @@ def behavioral_features(evt: DataFrame, snapshot, date_col: str = "event_date",
 
 
 def _gaps_from_summary(s: DataFrame) -> DataFrame:
-    per_ts = s.groupBy(CID, "_t").agg(F.sum("_n").alias("_c"))
-    # rank each customer's distinct purchase times (range-partitioned, so a customer with
-    # a third of all rows is spread over many tasks), then pair each time with its
-    # predecessor by an equi-join on (customer, rank): no window per customer
-    ranked = running_totals(per_ts, ["_t"], by=[CID], label="gaps").select(CID, "_t", "_c", "_rank")
-    prev = ranked.select(CID, (F.col("_rank") + 1).alias("_rank"), F.col("_t").alias("_prev"))
-    g = ranked.join(prev, [CID, "_rank"], "left").withColumn(
-        "_gap", elapsed_days(F.col("_t"), F.col("_prev")).cast("long"))
+    per_ts = _grouped_by(s, "_t").groupBy(CID, "_t").agg(F.sum("_n").alias("_c"))
+    # order each customer's distinct purchase times by a range partitioning, so a customer
+    # with a third of all rows is spread over many tasks; gaps inside a customer's segment
+    # of a partition come from the row before, gaps between segments from their end times
+    order = [F.col(CID).asc_nulls_first(), F.col("_t").asc_nulls_first()]
+    tagged = materialize(per_ts.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()), "gaps")
+    before = Window.partitionBy("_pid", CID).orderBy("_t")
+    gap = elapsed_days(F.col("_t"), F.lag("_t").over(before)).cast("long")
+    segments = tagged.withColumn("_gap", gap).groupBy("_pid", CID).agg(
+        F.sum("_c").alias("_nn"), F.coalesce(F.sum("_gap"), F.lit(0)).alias("_s1"),
+        F.coalesce(F.sum(F.col("_gap") * F.col("_gap")), F.lit(0)).alias("_s2"),
+        F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    between = elapsed_days(F.col("_first"), F.lag("_last").over(Window.partitionBy(CID).orderBy("_pid"))).cast("long")
+    segments = segments.withColumn("_gap", F.coalesce(between, F.lit(0)))
     # (c - 1) zero gaps inside each timestamp plus one gap per transition; whole-day gaps
     # make every sum an exact integer, so the variance is exact: (n-1) S2 - S1^2
-    agg = g.groupBy(CID).agg(F.sum("_c").alias("_nn"),
-                             F.coalesce(F.sum("_gap"), F.lit(0)).alias("_s1"),
-                             F.coalesce(F.sum(F.col("_gap") * F.col("_gap")), F.lit(0)).alias("_s2"))
+    agg = segments.groupBy(CID).agg(F.sum("_nn").alias("_nn"), F.sum(F.col("_s1") + F.col("_gap")).alias("_s1"),
+                                    F.sum(F.col("_s2") + F.col("_gap") * F.col("_gap")).alias("_s2"))
     m = (F.col("_nn") - 1).cast("decimal(38,0)")
     s1, s2 = F.col("_s1").cast("decimal(38,0)"), F.col("_s2").cast("decimal(38,0)")
     var_num = (s2 * m - s1 * s1).cast("double")
@@ -281,8 +301,8 @@ def purchase_gap_stats(tx: DataFrame, date_col: str = "transaction_date") -> Dat
     customers with fewer than two purchases.
 
     Purchases are first counted per (customer, timestamp): equal timestamps are gaps of 0,
-    so only distinct timestamps need ordering, and they are ordered by the distributed
-    ranking (no per-customer window), so a hot customer never sits in one task.
+    so only distinct timestamps need ordering, and they are ordered by range partitions
+    (windows inside a partition only), so a hot customer never sits in one task.
     """
     return _gaps_from_summary(tx.select(CID, F.col(date_col).alias("_t"),
                                         F.lit(1).cast("long").alias("_n")))
@@ -293,15 +313,17 @@ def _transaction_from_summary(s: DataFrame, snapshot) -> DataFrame:
     d, n = F.col("_t"), F.col("_n")
     trailing = [F.coalesce(F.sum(F.when(d >= ts_literal(snap - _dt.timedelta(days=k)), F.col("_rev"))),
                            F.lit(0.0)).alias(f"revenue_last_{k}d") for k in TRAILING_DAYS]
-    main = s.groupBy(CID).agg(
-        F.count_distinct("category").alias("category_diversity"),
+    main = _grouped_by(s, "_t").groupBy(CID).agg(
         (F.sum("_disc") / F.sum("_n")).alias("avg_discount_received"),
         (F.sum("_ret") / F.sum("_n")).alias("return_rate"),
         *trailing,
         (F.sum(F.when(F.month(d).isin(*PEAK_MONTHS), n).otherwise(0)) / F.sum(n))
         .alias("peak_season_purchase_ratio"))
-    pay = modes(s, CID, {"preferred_payment": "payment_method"}, weight="_n")
-    out = main.join(pay, CID, "left").join(_gaps_from_summary(s), CID, "left")
+    pay = modes(_grouped_by(s, "payment_method"), CID, {"preferred_payment": "payment_method"}, weight="_n")
+    kinds = (_grouped_by(s, "category").where(F.col("category").isNotNull())
+             .groupBy(CID).agg(F.count(F.lit(1)).alias("category_diversity")))
+    out = (main.join(kinds, CID, "left").withColumn("category_diversity", F.coalesce("category_diversity", F.lit(0).cast("long")))
+           .join(pay, CID, "left").join(_gaps_from_summary(s), CID, "left"))
     return out.select(
         CID, "category_diversity",
         F.coalesce("preferred_payment", F.lit("unknown")).alias("preferred_payment"),
@@ -388,9 +410,9 @@ def build_master(customers: DataFrame, tx: DataFrame, evt: DataFrame, tx_snapsho
 def compact_rfm(tx: DataFrame, revenue: str | None = None,
                 date_col: str = "transaction_date") -> DataFrame:
     """customer_id, recency_days, frequency, monetary; snapshot = latest transaction day."""
-    latest = scalar(tx.agg(F.max(date_col)))
-    snap = as_datetime(latest).date().isoformat()
-    return rfm_base(tx, snap, revenue, date_col).select(
+    agg = materialize(_per_customer(_line_summary(tx, revenue, date_col)), "compact-rfm")
+    snap = as_datetime(scalar(agg.agg(F.max("_last")))).date().isoformat()
+    return _rfm_from_aggregate(agg, snap).select(
         CID, "recency_days", "frequency", F.col("monetary_total").alias("monetary"))
 
 

@@ -205,7 +205,7 @@ def standardized_difference_coefficients(df, features, label="churn_label"):
 
 
 def linear_attribution_frame(spark, sf):
-    d = FT.model_data(compact_master(spark, sf))
+    d = materialize(FT.model_data(compact_master(spark, sf)), "model-data")
     coef = standardized_difference_coefficients(d, _ATTR_FEATURES)
     return X.linear_attributions(d, "customer_id", coef, 0.0)
 
@@ -250,7 +250,7 @@ def q_top3(spark, sf):
     "SELECT customer_id, feature_value, shap_value FROM attr WHERE feature = 'recency_days'",
     ["feature_value", "shap_value"], ctes=ATTR_SQL))
 def q_dependence(spark, sf):
-    out, _ = linear_attribution_frame(spark, sf)
+    out, _ = linear_attribution_frame(spark, sf)  # contributions are columns of one written frame
     return X.dependence(out, "recency_days", "customer_id")
 
 

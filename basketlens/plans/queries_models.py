@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from ..operators import features as FT
 from ..operators import metrics as M
 from ..operators import timeseries as TS
+from ..session import materialize
 from ..sources import adapter as A
 from .catalog import register
 from .sqlkit import days, oracle, ts
@@ -233,14 +234,14 @@ FROM (SELECT a, p, avg(a) OVER () AS ma FROM
       (SELECT revenue AS a, lag(revenue) OVER (ORDER BY period) AS p FROM series) x WHERE p IS NOT NULL) y""",
                                               ["mae", "rmse", "mape", "smape", "r2"], ctes=TS_SQL))
 def q_forecast_accuracy(spark, sf):
-    s = TS.revenue_timeseries(A.transactions(spark, sf, with_category=False))
+    s = materialize(TS.revenue_timeseries(A.transactions(spark, sf, with_category=False)), "series")
     return M.forecast_accuracy(s.withColumnRenamed("revenue", "actual"), naive_predictions(s),
                                on=["period"])
 
 
 @register("forecast_accuracy_fitted_by_category", note="in-sample fit of op 50; rows-only")
 def q_forecast_accuracy_fitted(spark, sf):
-    s = TS.revenue_timeseries(A.transactions(spark, sf), by=["category"])
+    s = materialize(TS.revenue_timeseries(A.transactions(spark, sf), by=["category"]), "series")
     fit = TS.fitted_values(s, by=["category"])
     return M.forecast_accuracy(s.withColumnRenamed("revenue", "actual"),
                                fit.withColumnRenamed("fitted", "predicted"),
@@ -318,7 +319,7 @@ fa AS (SELECT coalesce(avg(abs((a - p) / a)) FILTER (WHERE a <> 0) * 100, 0) AS
        FROM (SELECT revenue AS a, lag(revenue) OVER (ORDER BY period) AS p FROM series) x WHERE p IS NOT NULL)"""))
 def q_quality_gates(spark, sf):
     h = heuristic_scores(spark, sf)
-    s = TS.revenue_timeseries(A.transactions(spark, sf, with_category=False))
+    s = materialize(TS.revenue_timeseries(A.transactions(spark, sf, with_category=False)), "series")
     acc = M.forecast_accuracy(s.withColumnRenamed("revenue", "actual"), naive_predictions(s),
                               on=["period"])
     return M.quality_gates(M.auc_scores(h), acc)
