@@ -98,3 +98,30 @@ def quality_rules(docs: DataFrame, limits: RuleLimits = RuleLimits(), id_col: st
                     [ids.slice(i, j - i), *(pa.array(v) for v in m.values())], ["doc_id", *m])
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return narrow.mapInArrow(judge, SCHEMA)
+
+
+#: DuckDB statement for the contract's columns with the default limits. The longest repeat
+#: is the longest run of equal 8-word windows along one distance; only documents that pass
+#: the base rules need it.
+SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+grams AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w) x),
+twice AS (SELECT doc_id, i, g FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) x WHERE c > 1),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) x GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) x
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (SELECT w.doc_id, len(w) AS n_words, list_sum(list_transform(w, lambda x: length(x))) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(h.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN lines l USING (doc_id) LEFT JOIN hit h USING (doc_id)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS apart FROM twice a JOIN twice b ON a.doc_id = b.doc_id AND a.g = b.g AND a.i < b.i
+  WHERE a.doc_id IN (SELECT doc_id FROM judged WHERE NOT base_failed)),
+runs AS (SELECT doc_id, apart, i - row_number() OVER (PARTITION BY doc_id, apart ORDER BY i) AS r FROM pairs),
+longest AS (SELECT doc_id, max(n) + 7 AS n FROM (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id, apart, r) x GROUP BY doc_id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  base_failed, NOT base_failed AND 100 * n_repeat_words <= 20 * n_words AND coalesce(l.n, 0) <= 100 AS kept
+FROM judged LEFT JOIN longest l USING (doc_id)
+"""

@@ -216,3 +216,25 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     return found.where(~F.col("contaminated")).select(
         *[F.col("text").alias(c) if c == text_col else F.col("rest").getField(f"c{others.index(c)}").alias(c)
           for c in docs.columns])
+
+
+_LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWERED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: DuckDB statement for the contract's columns
+SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0) x),
+found AS (SELECT x.doc_id, x.i, x.n, v.item_id
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) s WHERE len(w) >= n) x
+  JOIN windows v ON v.n = x.n AND v.g = array_to_string(x.w[x.i:x.i + x.n - 1], ' ')),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) x GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) x GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

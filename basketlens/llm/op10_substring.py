@@ -168,3 +168,29 @@ def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col:
     kept = [F.col("text").alias(c) if c == text_col else F.col("rest").getField(f"c{others.index(c)}").alias(c)
             for c in docs.columns]
     return joined.mapInArrow(cut, schema).select(*kept, "n_units", "n_removed", "removed_words", "removed_spans")
+
+
+#: DuckDB statement for the query's columns with the default number of words; chr(1) marks
+#: the ends of units
+SQL = r"""
+WITH parts AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '([.!?][ \t])', '\1' || chr(1), 'g'),
+    '\n', chr(10) || chr(1), 'g'), chr(1)) AS u FROM documents WHERE text IS NOT NULL),
+units AS (SELECT doc_id, i, u[i] AS u, array_to_string(regexp_extract_all(
+    translate(u[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS norm
+  FROM (SELECT doc_id, u, unnest(range(1, len(u) + 1)) AS i FROM parts) x WHERE u[i] <> ''),
+solid AS (SELECT doc_id, i, len(string_split(norm, ' ')) AS words, min(doc_id) OVER (PARTITION BY norm) < doc_id
+    OR row_number() OVER (PARTITION BY doc_id, norm ORDER BY i) > 1 AS copied FROM units WHERE norm <> ''),
+runs AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - row_number() OVER (PARTITION BY doc_id, copied ORDER BY i) AS r FROM solid),
+gone AS (SELECT doc_id, i, words FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, copied, r) AS s FROM runs) x WHERE copied AND s >= 8),
+placed AS (SELECT units.doc_id, units.i, u, norm, gone.words, gone.i IS NOT NULL AS off,
+    coalesce(sum(length(u)) OVER (PARTITION BY units.doc_id ORDER BY units.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a,
+    row_number() OVER (PARTITION BY units.doc_id ORDER BY units.i) - row_number() OVER (PARTITION BY units.doc_id, gone.i IS NOT NULL ORDER BY units.i) AS r
+  FROM units LEFT JOIN gone ON gone.doc_id = units.doc_id AND gone.i = units.i),
+spans AS (SELECT doc_id, string_agg(s, ',' ORDER BY a) AS s FROM (SELECT doc_id, min(a) AS a, CAST(min(a) AS VARCHAR) || ':' || CAST(max(a + length(u)) AS VARCHAR) AS s
+  FROM placed WHERE off GROUP BY doc_id, r) x GROUP BY doc_id),
+sums AS (SELECT doc_id, count(*) FILTER (norm <> '') AS n_units, count(*) FILTER (off) AS n_removed, coalesce(sum(words), 0) AS removed_words,
+    coalesce(string_agg(u, '' ORDER BY i) FILTER (NOT off), '') AS text FROM placed GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words, coalesce(s, '') AS removed_spans, coalesce(sums.text, d.text) AS text
+FROM documents d LEFT JOIN sums USING (doc_id) LEFT JOIN spans USING (doc_id)
+"""

@@ -33,7 +33,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op02_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return op02_rules.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat", "covered_share")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op07_decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = op07_decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,11 +68,15 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op10_substring.dedup(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_units", "n_removed", "removed_words", "removed_spans", "text")
+    pair = F.transform(F.sequence(F.lit(0), F.size("removed_spans") - 2, F.lit(2)), lambda k: F.concat_ws(
+        ":", F.element_at("removed_spans", k + 1), F.element_at("removed_spans", k + 2)))
+    spans = F.when(F.size("removed_spans") > 0, F.array_join(pair, ",")).otherwise("")
+    return found.select("doc_id", "n_units", "n_removed", "removed_words", spans.alias("removed_spans"), "text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_formatting, op2_quality_rules, op3_jaccard_join, op4_token_counts, op5_warc, op6_sharding, op7_decontamination, op8_packing,
     op9_quality_classifier, op10_substring_dedup)}
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": op01_chat.SQL, "op5_warc": op05_warc.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": op01_chat.SQL, "op2_quality_rules": op02_rules.SQL, "op5_warc": op05_warc.SQL,
+                              "op7_decontamination": op07_decontaminate.SQL, "op10_substring_dedup": op10_substring.SQL}
