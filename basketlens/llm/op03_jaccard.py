@@ -10,10 +10,12 @@ already implied by links found before.
 
 Shape of the job, for millions of near copies as well as for none:
 
-1. One pass finds tokens that are frequent (a fixed number of hash buckets, so a bounded
-   table); tokens are then ordered from rare to frequent, which only steers the work.
-2. One pass writes per row the set's size, digest and prefix (the rarest tokens of which a
-   linked set must hold one). Nodes none of whose prefix tokens another node has are done.
+1. One pass writes each row's set size and digest, and counts tokens in a fixed number of
+   hash buckets; the most frequent buckets (a bounded table) order tokens from rare to
+   frequent, which only steers the work. Equal sets collapse to one node.
+2. One pass writes each node's prefix: its first n - need + l tokens in that order. Two
+   linked sets share at least l tokens of their prefixes, so a node fewer of whose tokens
+   occur in any other prefix is done; that is the bound against the union of all groups.
 3. The other nodes' sets are written once. First partition: groups by min-hash, in chunks of
    bounded size with the family's most common member in each chunk; a task links its chunk.
 4. Second partition: the components so far, again in bounded chunks. Nodes query groups of
@@ -21,6 +23,9 @@ Shape of the job, for millions of near copies as well as for none:
    are split by members and by queries, so no task holds more than chunk x block sets.
 5. Components of all links.
 
+Texts are never shuffled: passes choose rows by a bitmap of hashed ids of fixed size; where
+it is crowded more rows pass, and exact joins on narrow rows decide.
+
 64-bit tokens stand for shingles; a set's digest has 128 bits. (With 10**12 distinct
 shingles, two of one document would meet by chance with a probability near 10**-8.)
 """
@@ -29,7 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -40,12 +45,26 @@ BUCKETS = 1 << 22      # of the frequency table
 FREQUENT = 1 << 18     # most buckets that count as frequent (bounds the broadcast)
 CHUNK = 64             # members of a group that one task opens
 BLOCK = 512            # queries that one task asks of a chunk
+BITS = 1 << 26         # of a bitmap of ids (8 MB)
+CANDIDATE = np.uint64((1 << 48) - 1)  # prefixes carry 48 bits of a token; sets carry all
+
+
+def need(n, pct: int):
+    """Fewest tokens that a set of n shares with a linked set (numpy or Column)."""
+    return F.ceil(n * pct / 100).cast("long") if isinstance(n, Column) else (pct * n + 99) // 100
+
+
+def shared_prefix(n, pct: int):
+    """l: how many tokens the prefixes of two linked sets share at least, if n is the size
+    of the smaller one. It does not fall with n."""
+    if isinstance(n, Column):
+        return F.least(need(n, pct), F.floor(n / 10) + 1)
+    return np.minimum(need(n, pct), n // 10 + 1)
 
 
 def prefix_length(n: np.ndarray, pct: int) -> np.ndarray:
-    """How many of a set's n tokens make sure that a linked set has one of them: a link
-    needs at least ceil(pct * n / 100) common tokens."""
-    return n - (pct * n + 99) // 100 + 1
+    """A set's prefix must miss at most the tokens that a linked set may lack, and show l."""
+    return n - need(n, pct) + shared_prefix(n, pct)
 
 
 def row_sets(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,22 +74,71 @@ def row_sets(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
     return tb.shingles(tb.word_hashes(data, starts, ends), tb.row_starts(rows, len(bounds) - 1), k)
 
 
-def frequent_buckets(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets in order, level) of tokens' hash buckets that many sets use. A task reports
-    the buckets at least 8 sets of a batch use; of the sums at most FREQUENT stay."""
-    def count(batches):
+ROW, COUNT = 0, 1  # kinds of rows of the first pass
+
+
+def first_pass(docs: DataFrame, k: int) -> DataFrame:
+    """Rows of kind ROW: doc_id, n (set size), digest d1, d2, min-hash. Rows of kind COUNT:
+    a hash bucket in doc_id that at least 4 sets of a batch use, and their number in n."""
+    def sign(batches):
         for batch in batches:
             used = np.zeros(BUCKETS, np.int32)
-            for _, _, data, bounds in tb.text_blocks(batch.column(0)):
-                tokens, _ = row_sets(data, bounds, k)
+            for i, j, data, bounds in tb.text_blocks(batch.column(1)):
+                tokens, at = row_sets(data, bounds, k)
+                n = np.diff(at)
                 used += np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.int32)
-            most = np.flatnonzero(used >= max(8, 4 * used.mean()))
-            yield pa.RecordBatch.from_arrays([pa.array(most), pa.array(used[most].astype(np.int64))], ["bucket", "n"])
-    counted = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+                least = np.zeros(j - i, np.uint64)
+                if len(tokens):
+                    least[n > 0] = np.minimum.reduceat(tb.mix(tokens ^ np.uint64(13)), at[:-1][n > 0])
+                yield _pass_batch(ROW, batch.column(0).slice(i, j - i), n, *digests(tokens, at), least)
+            most = np.flatnonzero(used >= max(4, 4 * used.mean()))
+            none = np.zeros(len(most), np.uint64)
+            yield _pass_batch(COUNT, pa.array(most), used[most].astype(np.int64), none, none, none)
+    return docs.mapInArrow(sign, "kind int, doc_id long, n long, d1 long, d2 long, least long")
+
+
+def _pass_batch(kind: int, ids: pa.Array, n: np.ndarray, *unsigned: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(ids), kind, np.int32)), ids, pa.array(n), *(_signed(x) for x in unsigned)],
+        ["kind", "doc_id", "n", "d1", "d2", "least"])
+
+
+def digests(tokens: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums over each set, independent of order."""
+    out = []
+    for seed in (11, 12):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tb.mix(tokens ^ np.uint64(seed)), dtype=np.uint64)])
+        out.append(total[at[1:]] - total[at[:-1]])
+    return out
+
+
+def frequent_buckets(passed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets in order, level): at most FREQUENT hash buckets that most sets use."""
+    counted = passed.where(F.col("kind") == COUNT).groupBy(F.col("doc_id").alias("bucket")).agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "bucket").limit(FREQUENT).toPandas().sort_values("bucket")
     return top["bucket"].to_numpy(np.int64), np.log2(np.maximum(top["n"].to_numpy(np.float64), 1)).astype(np.int64)
 
 
+def hashed_id(col: Column) -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(BITS)) + 1
+
+
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """Bits of the hashed ids of a frame with one column, as bytes (BITS / 8 of them)."""
+    at = hashed_id(F.col(ids.columns[0]))
+    found = ids.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    width = 4096  # bytes of one of Spark's bitmaps
+    out = np.zeros(max(BITS // 8, width), np.uint8)
+    for r in found.toLocalIterator():
+        out[(r["k"] - 1) * width:r["k"] * width] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, hashed: pa.Array) -> np.ndarray:
+    at = hashed.to_numpy() - 1
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
 def rare_first(tokens: np.ndarray, rows: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Order of the tokens of each row: by frequency level, then by value. Any order that is
     the same for all sets is right; this one keeps frequent tokens out of the prefixes."""
@@ -87,45 +155,67 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def signatures(docs: DataFrame, k: int, pct: int, frequent) -> DataFrame:
-    """Per row: doc_id, n (set size), digest d1, d2, min-hash, prefix tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def prefixes(docs: DataFrame, k: int, pct: int, frequent, copies: np.ndarray) -> DataFrame:
+    """Per row with an id and a set: doc_id, its digest, ``prefix`` (48 bits of each token)
+    and ``copy``: the id may be one whose set another row stands for."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, copies))
 
-    def sign(batches):
+    def make(batches):
+        frequent, copies = shared.value
         for batch in batches:
+            copy = in_bitmap(copies, batch.column(2))
             for i, j, data, bounds in tb.text_blocks(batch.column(1)):
                 tokens, at = row_sets(data, bounds, k)
                 n = np.diff(at)
                 rows = np.repeat(np.arange(j - i), n)
-                digest = []
-                for seed in (11, 12):
-                    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tb.mix(tokens ^ np.uint64(seed)), dtype=np.uint64)])
-                    digest.append(total[at[1:]] - total[at[:-1]])
-                least = np.zeros(j - i, np.uint64)
-                full = n > 0
-                if full.any():
-                    least[full] = np.minimum.reduceat(tb.mix(tokens ^ np.uint64(13)), at[:-1][full])
-                order = rare_first(tokens, rows, shared.value)
-                size = np.where(full, prefix_length(n, pct), 0)
+                size = np.where(n > 0, prefix_length(n, pct), 0)
                 place = np.arange(len(tokens)) - at[:-1][rows]
-                prefix = tokens[order][place < size[rows]]
-                ends = np.concatenate([[0], np.cumsum(size)])
+                first = tokens[rare_first(tokens, rows, frequent)][place < size[rows]] & CANDIDATE
+                d1, d2 = digests(tokens, at)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n), _signed(digest[0]), _signed(digest[1]), _signed(least),
-                     tb.list_array(prefix.view(np.int64), ends)],
-                    ["doc_id", "n", "d1", "d2", "least", "prefix"])
-    return docs.mapInArrow(sign, "doc_id long, n long, d1 long, d2 long, least long, prefix array<long>")
-
+                    [batch.column(0).slice(i, j - i), _signed(d1), _signed(d2), pa.array(copy[i:j]),
+                     tb.list_array(first.view(np.int64), np.concatenate([[0], np.cumsum(size)]))],
+                    ["doc_id", "d1", "d2", "copy", "prefix"])
+    schema = "doc_id long, d1 long, d2 long, copy boolean, prefix array<long>"
+    return docs.where("doc_id is not null").withColumn("_at", hashed_id(F.col("doc_id"))).mapInArrow(make, schema).where(F.size("prefix") > 0)
+
+
+def shared_tokens(posted: DataFrame) -> DataFrame:
+    """Of (token, nid), without repeats, those whose token another nid has too. One shuffle
+    by token; a task streams through its tokens in order and holds one row."""
+    def only(batches):
+        t0, n0, emitted = None, None, False  # the last pair, and whether it is out already
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t, n = (batch.column(c).to_numpy() for c in (0, 1))
+            if t0 is not None:
+                t, n = np.append(t0, t), np.append(n0, n)
+            new = np.ones(len(t), bool)
+            new[1:] = (t[1:] != t[:-1]) | (n[1:] != n[:-1])
+            t, n = t[new], n[new]
+            same = t[1:] == t[:-1]
+            out = np.append(same, False) | np.append(False, same)
+            was, emitted = emitted, bool(out[-1]) or (emitted and len(t) == 1)
+            if was:
+                out[0] = False
+            yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(n[out])], ["token", "nid"])
+            t0, n0 = t[-1:], n[-1:]
+    return posted.repartition("token").sortWithinPartitions("token", "nid").mapInArrow(only, "token long, nid long")
+
+
+def full_sets(docs: DataFrame, k: int, wanted: np.ndarray) -> DataFrame:
+    """(nid, tokens) of the rows whose id is in the bitmap (and of some others)."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
-def full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(nid, tokens) of each row."""
     def make(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(shared.value, batch.column(2))))
             for i, j, data, bounds in tb.text_blocks(batch.column(1)):
                 tokens, at = row_sets(data, bounds, k)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), tb.list_array(tokens.view(np.int64), at)], ["nid", "tokens"])
-    return docs.mapInArrow(make, "nid long, tokens array<long>")
+    return docs.where("doc_id is not null").withColumn("_at", hashed_id(F.col("doc_id"))).mapInArrow(make, "nid long, tokens array<long>")
 
 
 # --- inside one task: a chunk of members, and the sets that ask it -------------------------
@@ -231,35 +321,41 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
 
     Words are maximal runs of non-white-space, A-Z lower-cased; a text of 1 to k - 1 words
     has its whole sequence as its one shingle. Null and empty texts have no shingles and
-    link with nothing. Rows that share an id are one vertex per text; a null id takes part
-    in no component and gets a null one. Other columns are not read; an empty table gives
-    no rows.
+    link with nothing. An id should name one text: if rows with different texts share an id,
+    links of any of them may join their components. A row with a null id takes part in no
+    component and gets a null one. Other columns are not read; an empty table gives no rows.
     """
     pct = threshold_pct
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    frequent = frequent_buckets(docs, k)
-    rows = materialize(signatures(docs, k, pct, frequent), label)
+    passed = materialize(first_pass(docs, k), label)
+    rows = passed.where(F.col("kind") == ROW).drop("kind")
     digest = ["d1", "d2", "n"]
-    nodes = rows.where("n > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("nid"))
-    nodes = materialize(nodes, label)
-
-    # postings of the prefixes: one row per node and token that some other node has too
-    posted = (rows.where("n > 0").join(nodes.withColumnRenamed("nid", "doc_id"), [*digest, "doc_id"], "left_semi")
-              .dropDuplicates(["doc_id", "d1", "d2"])
-              .select(F.col("doc_id").alias("nid"), "least", "n", F.explode("prefix").alias("token")))
-    posted = materialize(posted, label)
-    common = posted.groupBy("token").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).where("lo < hi").select("token")
-    shared = materialize(posted.join(common, "token", "left_semi"), label)
-    active = shared.groupBy("nid", "least", "n").agg(F.count(F.lit(1)).alias("common"))
+    nodes = materialize(rows.where("n > 0 and doc_id is not null").groupBy(*digest)
+                        .agg(F.min("doc_id").alias("nid"), F.max("doc_id").alias("last"), F.min("least").alias("least")), label)
+    copied = nodes.where("nid < last").drop("last")
+    copies = rows.join(copied, digest).where("doc_id > nid").select("doc_id").distinct()
+    ahead = prefixes(docs, k, pct, frequent_buckets(passed), id_bitmap(copies))
+    ahead = materialize(ahead, label)
+    # rows that may be copies are looked up; all others are their sets' nodes
+    looked = ahead.where("copy").join(nodes.select("d1", "d2", F.col("nid").alias("doc_id")), ["doc_id", "d1", "d2"], "left_semi")
+    posted = ahead.where("not copy").select("doc_id", "prefix").union(looked.select("doc_id", "prefix"))
+    shared = shared_tokens(posted.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("nid")))
+    enough = F.col("common") >= shared_prefix(need(F.col("n"), pct), pct)
+    for _ in range(2):  # a node that falls away may leave others below the bound
+        shared = materialize(shared, label)
+        active = (shared.groupBy("nid").agg(F.count(F.lit(1)).alias("common"))
+                  .join(nodes.select("nid", "least", "n"), "nid").where(enough))
+        shared = shared_tokens(shared.join(active.select("nid").distinct(), "nid", "left_semi").select("token", "nid"))
+    shared, active = materialize(shared, label), materialize(active, label)
 
     # first partition: chunks of one min-hash family, each with the family's commonest node
-    rarest = (F.lit(100) * (F.col("n") - F.col("common"))).cast("long")
+    rarest = F.col("n") - need(F.col("n"), pct) + shared_prefix(F.col("n"), pct) - F.col("common")
     family = active.groupBy("least").agg(F.count(F.lit(1)).alias("members"),
                                          F.min(F.struct(rarest.alias("r"), F.col("nid"))).alias("hub"))
     parts = F.ceil(F.col("members") / CHUNK).cast("long")
     plan = (active.join(family.where("members > 1"), "least", "left")
             .select("nid", "least", F.coalesce("members", F.lit(1)).alias("members"), F.col("hub.nid").alias("hub")))
-    sets = materialize(full_sets(docs.join(active.select(F.col("nid").alias("doc_id")).distinct(), "doc_id", "left_semi"), k), label)
+    sets = materialize(full_sets(docs, k, id_bitmap(active.select("nid"))), label)
     placed = (plan.where("members > 1").withColumn("parts", parts)
               .withColumn("part", F.when(F.col("nid") == F.col("hub"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
                           .otherwise(F.array(F.pmod(F.xxhash64("nid"), F.col("parts")))))
@@ -272,13 +368,16 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     of = materialize(active.select("nid").distinct().join(first.withColumnRenamed("node", "nid"), "nid", "left")
                      .select("nid", group.alias("component")), label)
     sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    tagged = shared.select("nid", "token", "n").join(of, "nid").join(sizes, "component")
+    tagged = (shared.join(of, "nid").join(sizes, "component")
+              .join(active.groupBy("nid").agg(F.max("n").alias("n")), "nid"))
     matrix = tagged.groupBy("token", "component", "members").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
     q, g = tagged.alias("q"), matrix.alias("g")
     smaller = (F.col("q.members") < F.col("g.members")) | ((F.col("q.members") == F.col("g.members")) & (F.col("q.component") > F.col("g.component")))
     sized = (F.col("g.n_max") * 100 >= F.col("q.n") * pct) & (F.col("g.n_min") * pct <= F.col("q.n") * 100)
+    # per query and group, the common tokens of query prefix and union of prefixes
     asked = (q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.component") != F.col("g.component")) & smaller & sized)
-             .select("q.nid", "g.component", "g.members").distinct())
+             .groupBy("q.nid", "q.n", "g.component", "g.members").agg(F.count(F.lit(1)).alias("common")).where(enough)
+             .select("nid", "component", "members"))
     asked = materialize(asked, label)
     load = asked.groupBy("component", "members").agg(F.count(F.lit(1)).alias("queries"))
     load = load.select("component", parts.alias("parts"), F.ceil(F.col("queries") / BLOCK).cast("long").alias("blocks"))
