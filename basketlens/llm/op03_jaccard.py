@@ -18,9 +18,11 @@ Shape of the job, for millions of near copies as well as for none:
    occur in any other prefix is done; that is the bound against the union of all groups.
 3. The other nodes' sets are written once. First partition: groups by min-hash, in chunks of
    bounded size with the family's most common member in each chunk; a task links its chunk.
-4. Second partition: the components so far, again in bounded chunks. Nodes query groups of
-   other components only, the smaller side asks, and one link per chunk suffices. Hot groups
-   are split by members and by queries, so no task holds more than chunk x block sets.
+4. Second partition: families of components. A node queries groups with which it shares l
+   prefix tokens: of two groups the smaller one asks, and inside a group all but its largest
+   component. For groups of several chunks the bound is first taken against the union of the
+   whole group, as counts; what passes opens the chunks, which bound and then compare. Hot
+   groups are split by members and by queries: no task holds more than chunk x block sets.
 5. Components of all links.
 
 Texts are never shuffled: passes choose rows by a bitmap of hashed ids of fixed size; where
@@ -83,10 +85,11 @@ def first_pass(docs: DataFrame, k: int) -> DataFrame:
     def sign(batches):
         for batch in batches:
             used = np.zeros(BUCKETS, np.int32)
-            for i, j, data, bounds in tb.text_blocks(batch.column(1)):
+            for i, j, data, bounds in tb.text_blocks(batch.column(1), tb.BLOCK_BYTES // 2):
                 tokens, at = row_sets(data, bounds, k)
                 n = np.diff(at)
-                used += np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.int32)
+                at_bucket, times = np.unique(tokens & np.uint64(BUCKETS - 1), return_counts=True)
+                used[at_bucket.astype(np.int64)] += times.astype(np.int32)
                 least = np.zeros(j - i, np.uint64)
                 if len(tokens):
                     least[n > 0] = np.minimum.reduceat(tb.mix(tokens ^ np.uint64(13)), at[:-1][n > 0])
@@ -164,7 +167,7 @@ def prefixes(docs: DataFrame, k: int, pct: int, frequent, copies: np.ndarray) ->
         frequent, copies = shared.value
         for batch in batches:
             copy = in_bitmap(copies, batch.column(2))
-            for i, j, data, bounds in tb.text_blocks(batch.column(1)):
+            for i, j, data, bounds in tb.text_blocks(batch.column(1), tb.BLOCK_BYTES // 2):
                 tokens, at = row_sets(data, bounds, k)
                 n = np.diff(at)
                 rows = np.repeat(np.arange(j - i), n)
@@ -211,7 +214,7 @@ def full_sets(docs: DataFrame, k: int, wanted: np.ndarray) -> DataFrame:
     def make(batches):
         for batch in batches:
             batch = batch.filter(pa.array(in_bitmap(shared.value, batch.column(2))))
-            for i, j, data, bounds in tb.text_blocks(batch.column(1)):
+            for i, j, data, bounds in tb.text_blocks(batch.column(1), tb.BLOCK_BYTES // 2):
                 tokens, at = row_sets(data, bounds, k)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), tb.list_array(tokens.view(np.int64), at)], ["nid", "tokens"])
@@ -289,27 +292,47 @@ def link_chunks(pct: int):
 
 
 def ask_chunks(pct: int):
-    """Tasks of the second partition: for each query set, one link per chunk it reaches."""
+    """Tasks of the second partition: for each query set, one link to each other component
+    that it reaches in the chunk."""
     def ask(batches):
-        for table in tb.groups(batches, ["component", "part", "block"]):
+        for table in tb.groups(batches, ["family", "part", "block"]):
             asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
             members, queries = table.filter(pa.array(~asks)), table.filter(pa.array(asks))
             if not members.num_rows or not queries.num_rows:
                 continue
             ids, tokens, offsets = _sets(members)
+            inside = members.column("component").to_numpy()
             chunk = Chunk(tokens, offsets)
             q_ids, q_tokens, q_offsets = _sets(queries)
+            q_inside = queries.column("component").to_numpy()
             a, b = [], []
             for q in range(len(q_ids)):
                 got = chunk.ask(q_tokens[q_offsets[q]:q_offsets[q + 1]], pct)
+                got = got[inside[got] != q_inside[q]]
                 if len(got):
-                    a.append(int(q_ids[q]))
-                    b.append(int(ids[got[0]]))
+                    first = got[np.unique(inside[got], return_index=True)[1]]
+                    a += [int(q_ids[q])] * len(first)
+                    b += ids[first].tolist()
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return ask
 
 
+def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """Of queries (nid, n, home, family) those that the token counts of a whole family leave
+    in reach: |query and union| tokens at most can be common with a member, which has at
+    least need(n) and the family's least tokens. In its own family a query's tokens count
+    only if another member has them."""
+    union = (members.join(sets, "nid").select("family", F.explode("tokens").alias("token"))
+             .groupBy("family", "token").agg(F.count(F.lit(1)).alias("df")))
+    least = members.join(sets, "nid").groupBy("family").agg(F.min(F.size("tokens")).alias("least_size"))
+    held = (asked.join(sets, "nid").select("nid", "n", "home", "family", F.explode("tokens").alias("token"))
+            .join(union, ["family", "token"]).where((F.col("home") != F.col("family")) | (F.col("df") > 1))
+            .groupBy("nid", "n", "home", "family").agg(F.count(F.lit(1)).alias("o")).join(least, "family"))
+    size = F.greatest(need(F.col("n"), pct), F.col("least_size"), F.col("o"))
+    return held.where(100 * F.col("o") >= pct * (F.col("n") + size - F.col("o"))).select("nid", "n", "home", "family")
+
+
 def _in_order(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys)
 
@@ -363,41 +386,54 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     chunks = _in_order(placed.join(sets, "nid"), ["least", "part"])
     first = components(chunks.mapInArrow(link_chunks(pct), "a long, b long"), label)
 
-    # second partition: the components so far; a node asks the groups of other components
-    group = F.coalesce("component", "nid")
-    of = materialize(active.select("nid").distinct().join(first.withColumnRenamed("node", "nid"), "nid", "left")
-                     .select("nid", group.alias("component")), label)
-    sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    tagged = (shared.join(of, "nid").join(sizes, "component")
-              .join(active.groupBy("nid").agg(F.max("n").alias("n")), "nid"))
-    matrix = tagged.groupBy("token", "component", "members").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    # second partition: families of components (home: a node's own family)
+    of = (active.groupBy("nid").agg(F.min("least").alias("least"), F.max("n").alias("n"))
+          .join(first.withColumnRenamed("node", "nid"), "nid", "left")
+          .select("nid", "n", "least", F.coalesce("component", "nid").alias("component")))
+    whole = of.groupBy("component").agg(F.min("least").alias("home"), F.count(F.lit(1)).alias("size"))
+    homes = whole.groupBy("home").agg(F.sum("size").alias("members"), F.max(F.struct("size", "component")).alias("largest"))
+    of = materialize(of.join(whole, "component").join(homes, "home").select(
+        "nid", "n", "component", "home", "members", (F.col("component") == F.col("largest.component")).alias("main")), label)
+    tagged = shared.join(of, "nid")
+    matrix = tagged.groupBy("token", F.col("home").alias("family"), "members").agg(
+        F.count(F.lit(1)).alias("nodes"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
     q, g = tagged.alias("q"), matrix.alias("g")
-    smaller = (F.col("q.members") < F.col("g.members")) | ((F.col("q.members") == F.col("g.members")) & (F.col("q.component") > F.col("g.component")))
+    inside = (F.col("q.home") == F.col("g.family")) & ~F.col("q.main") & (F.col("g.nodes") > 1)
+    smaller = (F.col("q.home") != F.col("g.family")) & (
+        (F.col("q.members") < F.col("g.members")) | ((F.col("q.members") == F.col("g.members")) & (F.col("q.home") > F.col("g.family"))))
     sized = (F.col("g.n_max") * 100 >= F.col("q.n") * pct) & (F.col("g.n_min") * pct <= F.col("q.n") * 100)
     # per query and group, the common tokens of query prefix and union of prefixes
-    asked = (q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.component") != F.col("g.component")) & smaller & sized)
-             .groupBy("q.nid", "q.n", "g.component", "g.members").agg(F.count(F.lit(1)).alias("common")).where(enough)
-             .select("nid", "component", "members"))
+    asked = (q.join(g, (F.col("q.token") == F.col("g.token")) & (inside | smaller) & sized)
+             .groupBy("q.nid", "q.n", "q.home", "g.family", "g.members").agg(F.count(F.lit(1)).alias("common")).where(enough)
+             .select("nid", "n", "home", "family", "members"))
     asked = materialize(asked, label)
-    load = asked.groupBy("component", "members").agg(F.count(F.lit(1)).alias("queries"))
-    load = load.select("component", parts.alias("parts"), F.ceil(F.col("queries") / BLOCK).cast("long").alias("blocks"))
+    member = of.select("nid", F.col("home").alias("family"), "members")
+    large = asked.where(F.col("members") > CHUNK)
+    asked = asked.where(F.col("members") <= CHUNK).drop("members").union(within_reach(
+        large.drop("members"), member.where(F.col("members") > CHUNK)
+        .join(large.select("family").distinct(), "family", "left_semi").select("nid", "family"), sets, pct))
+    asked = materialize(asked.select("nid", "family"), label)
+    load = (asked.groupBy("family").agg(F.count(F.lit(1)).alias("queries"))
+            .join(homes.withColumnRenamed("home", "family"), "family")
+            .select("family", parts.alias("parts"), F.ceil(F.col("queries") / BLOCK).cast("long").alias("blocks")))
     zero = F.lit(0).cast("long")
-    members = (of.join(load, "component")
-               .select("nid", "component", F.pmod(F.xxhash64("nid"), F.col("parts")).alias("part"),
+    members = (member.join(load, "family")
+               .select("nid", "family", F.pmod(F.xxhash64("nid"), F.col("parts")).alias("part"),
                        F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"), F.lit(0).alias("asks")))
-    queries = (asked.join(load, "component")
-               .select("nid", "component", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"),
+    queries = (asked.join(load, "family")
+               .select("nid", "family", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"),
                        F.pmod(F.xxhash64("nid", F.lit(1)), F.col("blocks")).alias("block"), F.lit(1).alias("asks")))
-    opened = _in_order(members.union(queries).join(sets, "nid"), ["component", "part", "block"])
+    opened = _in_order(members.union(queries).join(of.select("nid", "component"), "nid").join(sets, "nid"),
+                       ["family", "part", "block"])
     links = materialize(opened.mapInArrow(ask_chunks(pct), "a long, b long"), label)
     # links between first components, then the components of those
     quotient = (links.join(of.select(F.col("nid").alias("a"), F.col("component").alias("ca")), "a")
                 .join(of.select(F.col("nid").alias("b"), F.col("component").alias("cb")), "b")
                 .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     second = components(quotient, label)
-    whole = (of.join(second.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
+    final = (of.join(second.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
              .select("nid", F.coalesce("whole", "component").alias("component_id")))
-    named = nodes.join(whole, "nid", "left").select(*digest, F.coalesce("component_id", "nid").alias("component_id"))
+    named = nodes.join(final, "nid", "left").select(*digest, F.coalesce("component_id", "nid").alias("component_id"))
     return (rows.join(named, digest, "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
