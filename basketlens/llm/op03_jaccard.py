@@ -35,6 +35,7 @@ shingles, two of one document would meet by chance with a probability near 10**-
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,7 @@ FREQUENT = 1 << 18     # most buckets that count as frequent (bounds the broadca
 CHUNK = 64             # members of a group that one task opens
 BLOCK = 512            # queries that one task asks of a chunk
 BITS = 1 << 26         # of a bitmap of ids (8 MB)
+SMALL_ROWS = 1_000_000  # narrow rows that may be broadcast to the sets (some 40 MB)
 CANDIDATE = np.uint64((1 << 48) - 1)  # prefixes carry 48 bits of a token; sets carry all
 
 
@@ -56,17 +58,17 @@ def need(n, pct: int):
     return F.ceil(n * pct / 100).cast("long") if isinstance(n, Column) else (pct * n + 99) // 100
 
 
-def shared_prefix(n, pct: int):
+def shared_prefix(n, pct: int, share: int):
     """l: how many tokens the prefixes of two linked sets share at least, if n is the size
-    of the smaller one. It does not fall with n."""
+    of the smaller one: one in ``share`` of them. It does not fall with n."""
     if isinstance(n, Column):
-        return F.least(need(n, pct), F.floor(n / 10) + 1)
-    return np.minimum(need(n, pct), n // 10 + 1)
+        return F.least(need(n, pct), F.floor(n / share) + 1)
+    return np.minimum(need(n, pct), n // share + 1)
 
 
-def prefix_length(n: np.ndarray, pct: int) -> np.ndarray:
+def prefix_length(n: np.ndarray, pct: int, share: int) -> np.ndarray:
     """A set's prefix must miss at most the tokens that a linked set may lack, and show l."""
-    return n - need(n, pct) + shared_prefix(n, pct)
+    return n - need(n, pct) + shared_prefix(n, pct, share)
 
 
 def row_sets(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +160,7 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def prefixes(docs: DataFrame, k: int, pct: int, frequent, copies: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, k: int, pct: int, share: int, frequent, copies: np.ndarray) -> DataFrame:
     """Per row with an id and a set: doc_id, its digest, ``prefix`` (48 bits of each token)
     and ``copy``: the id may be one whose set another row stands for."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, copies))
@@ -171,7 +173,7 @@ def prefixes(docs: DataFrame, k: int, pct: int, frequent, copies: np.ndarray) ->
                 tokens, at = row_sets(data, bounds, k)
                 n = np.diff(at)
                 rows = np.repeat(np.arange(j - i), n)
-                size = np.where(n > 0, prefix_length(n, pct), 0)
+                size = np.where(n > 0, prefix_length(n, pct, share), 0)
                 place = np.arange(len(tokens)) - at[:-1][rows]
                 first = tokens[rare_first(tokens, rows, frequent)][place < size[rows]] & CANDIDATE
                 d1, d2 = digests(tokens, at)
@@ -318,27 +320,36 @@ def ask_chunks(pct: int):
     return ask
 
 
-def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int, label: str) -> DataFrame:
     """Of queries (nid, n, home, family) those that the token counts of a whole family leave
     in reach: |query and union| tokens at most can be common with a member, which has at
     least need(n) and the family's least tokens. In its own family a query's tokens count
     only if another member has them."""
-    union = (members.join(sets, "nid").select("family", F.explode("tokens").alias("token"))
+    inside = placed_sets(members, sets, label)
+    union = (inside.select("family", F.explode("tokens").alias("token"))
              .groupBy("family", "token").agg(F.count(F.lit(1)).alias("df")))
-    least = members.join(sets, "nid").groupBy("family").agg(F.min(F.size("tokens")).alias("least_size"))
-    held = (asked.join(sets, "nid").select("nid", "n", "home", "family", F.explode("tokens").alias("token"))
+    least = inside.groupBy("family").agg(F.min(F.size("tokens")).alias("least_size"))
+    held = (placed_sets(asked, sets, label).select("nid", "n", "home", "family", F.explode("tokens").alias("token"))
             .join(union, ["family", "token"]).where((F.col("home") != F.col("family")) | (F.col("df") > 1))
             .groupBy("nid", "n", "home", "family").agg(F.count(F.lit(1)).alias("o")).join(least, "family"))
     size = F.greatest(need(F.col("n"), pct), F.col("least_size"), F.col("o"))
     return held.where(100 * F.col("o") >= pct * (F.col("n") + size - F.col("o"))).select("nid", "n", "home", "family")
 
 
+def placed_sets(places: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """Sets with the places (narrow rows by nid) that they are sent to. The places are
+    written and counted: up to SMALL_ROWS of them are broadcast, so the sets move once, to
+    their places; more are joined by a shuffle of both."""
+    places = materialize(places, label)
+    return sets.join(F.broadcast(places) if places.count() <= SMALL_ROWS else places, "nid")
+
+
 def _in_order(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_col: str = "doc_id",
-                       text_col: str = "text", label: str = "jaccard") -> DataFrame:
+                       text_col: str = "text", label: str = "jaccard", share: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id that links
     reach, itself included).
 
@@ -347,8 +358,13 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     link with nothing. An id should name one text: if rows with different texts share an id,
     links of any of them may join their components. A row with a null id takes part in no
     component and gets a null one. Other columns are not read; an empty table gives no rows.
+
+    ``share`` (see :func:`shared_prefix`) trades longer prefixes for fewer nodes that pass by
+    chance; it never changes results. Short shingles meet by chance more often, so they show
+    more by default.
     """
     pct = threshold_pct
+    share = share or (20 if k >= 5 else 10)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     passed = materialize(first_pass(docs, k), label)
     rows = passed.where(F.col("kind") == ROW).drop("kind")
@@ -357,13 +373,13 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
                         .agg(F.min("doc_id").alias("nid"), F.max("doc_id").alias("last"), F.min("least").alias("least")), label)
     copied = nodes.where("nid < last").drop("last")
     copies = rows.join(copied, digest).where("doc_id > nid").select("doc_id").distinct()
-    ahead = prefixes(docs, k, pct, frequent_buckets(passed), id_bitmap(copies))
+    ahead = prefixes(docs, k, pct, share, frequent_buckets(passed), id_bitmap(copies))
     ahead = materialize(ahead, label)
     # rows that may be copies are looked up; all others are their sets' nodes
     looked = ahead.where("copy").join(nodes.select("d1", "d2", F.col("nid").alias("doc_id")), ["doc_id", "d1", "d2"], "left_semi")
     posted = ahead.where("not copy").select("doc_id", "prefix").union(looked.select("doc_id", "prefix"))
     shared = shared_tokens(posted.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("nid")))
-    enough = F.col("common") >= shared_prefix(need(F.col("n"), pct), pct)
+    enough = F.col("common") >= shared_prefix(need(F.col("n"), pct), pct, share)
     for _ in range(2):  # a node that falls away may leave others below the bound
         shared = materialize(shared, label)
         active = (shared.groupBy("nid").agg(F.count(F.lit(1)).alias("common"))
@@ -372,7 +388,7 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     shared, active = materialize(shared, label), materialize(active, label)
 
     # first partition: chunks of one min-hash family, each with the family's commonest node
-    rarest = F.col("n") - need(F.col("n"), pct) + shared_prefix(F.col("n"), pct) - F.col("common")
+    rarest = F.col("n") - need(F.col("n"), pct) + shared_prefix(F.col("n"), pct, share) - F.col("common")
     family = active.groupBy("least").agg(F.count(F.lit(1)).alias("members"),
                                          F.min(F.struct(rarest.alias("r"), F.col("nid"))).alias("hub"))
     parts = F.ceil(F.col("members") / CHUNK).cast("long")
@@ -383,7 +399,7 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
               .withColumn("part", F.when(F.col("nid") == F.col("hub"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
                           .otherwise(F.array(F.pmod(F.xxhash64("nid"), F.col("parts")))))
               .select("nid", "least", F.explode("part").alias("part")))
-    chunks = _in_order(placed.join(sets, "nid"), ["least", "part"])
+    chunks = _in_order(placed_sets(placed, sets, label), ["least", "part"])
     first = components(chunks.mapInArrow(link_chunks(pct), "a long, b long"), label)
 
     # second partition: families of components (home: a node's own family)
@@ -411,7 +427,7 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     large = asked.where(F.col("members") > CHUNK)
     asked = asked.where(F.col("members") <= CHUNK).drop("members").union(within_reach(
         large.drop("members"), member.where(F.col("members") > CHUNK)
-        .join(large.select("family").distinct(), "family", "left_semi").select("nid", "family"), sets, pct))
+        .join(large.select("family").distinct(), "family", "left_semi").select("nid", "family"), sets, pct, label))
     asked = materialize(asked.select("nid", "family"), label)
     load = (asked.groupBy("family").agg(F.count(F.lit(1)).alias("queries"))
             .join(homes.withColumnRenamed("home", "family"), "family")
@@ -423,8 +439,8 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     queries = (asked.join(load, "family")
                .select("nid", "family", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"),
                        F.pmod(F.xxhash64("nid", F.lit(1)), F.col("blocks")).alias("block"), F.lit(1).alias("asks")))
-    opened = _in_order(members.union(queries).join(of.select("nid", "component"), "nid").join(sets, "nid"),
-                       ["family", "part", "block"])
+    places = members.union(queries).join(of.select("nid", "component"), "nid")
+    opened = _in_order(placed_sets(places, sets, label), ["family", "part", "block"])
     links = materialize(opened.mapInArrow(ask_chunks(pct), "a long, b long"), label)
     # links between first components, then the components of those
     quotient = (links.join(of.select(F.col("nid").alias("a"), F.col("component").alias("ca")), "a")
@@ -441,8 +457,21 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
 
 def keep_one(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose id is their component's id, i.e. one
-    document of each group. Rows with a null id stay; of rows that repeat an id all stay."""
+    document of each group. Rows with a null id stay; of rows that repeat an id all stay.
+
+    Texts are not shuffled to remove the others: rows whose id is not in a bitmap of the
+    removed ids (of fixed size) stay at once, and only the few others are joined."""
     found = similar_components(docs, k, threshold_pct, id_col, **options)
-    gone = (found.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("c"))
-            .where("c < doc_id").select(F.col("doc_id").alias("_gone")))
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    gone = materialize(found.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("c"))
+                       .where("c < doc_id").select("doc_id"), "removed")
+    shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(gone))
+
+    @F.pandas_udf("boolean")
+    def listed(hashed: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(shared.value, pa.array(hashed.to_numpy(np.int64))))
+
+    maybe = listed(F.coalesce(hashed_id(F.col(f"`{id_col}`").cast("long")), F.lit(1).cast("long")))
+    checked = docs.where(maybe).alias("d").join(
+        gone.select(F.col("doc_id").alias("removed")).alias("r"),
+        F.col(f"d.`{id_col}`").cast("long") == F.col("r.removed"), "left_anti")
+    return docs.where(~maybe).union(checked)

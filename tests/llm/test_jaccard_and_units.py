@@ -97,16 +97,16 @@ def test_keep_one_keeps_one_of_each_group(make_docs):
 
 def test_prefixes_of_linked_sets_share_enough():
     rng = random.Random(1)
-    for pct in (80, 90, 100):
+    for pct, share in ((80, 20), (90, 10), (100, 10)):
         for _ in range(400):
             both, a, b = rng.randint(1, 120), rng.randint(0, 12), rng.randint(0, 12)
             if 100 * both < pct * (both + a + b):
                 continue
             order = rng.sample(range(both + a + b), both + a + b)  # token -> place in the order
             sets = [range(both + a), [*range(both), *range(both + a, both + a + b)]]
-            heads = [set(sorted(s, key=order.__getitem__)[:int(o3.prefix_length(np.array([len(s)]), pct)[0])]) for s in sets]
+            heads = [set(sorted(s, key=order.__getitem__)[:int(o3.prefix_length(np.array([len(s)]), pct, share)[0])]) for s in sets]
             for s in sets:
-                least = o3.shared_prefix(o3.need(np.array([len(s)]), pct), pct)[0]
+                least = o3.shared_prefix(o3.need(np.array([len(s)]), pct), pct, share)[0]
                 assert 1 <= least <= len(heads[0] & heads[1])
 
 
