@@ -475,3 +475,19 @@ def keep_one(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_col: str =
         gone.select(F.col("doc_id").alias("removed")).alias("r"),
         F.col(f"d.`{id_col}`").cast("long") == F.col("r.removed"), "left_anti")
     return docs.where(~maybe).union(checked)
+
+
+#: DuckDB statement for 3-word shingles and 90 percent
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 90 * (p.n + q.n - o)),
+pairs AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT x AS doc_id, x AS r FROM pairs UNION SELECT b.y, reach.r FROM reach JOIN pairs b ON b.x = reach.doc_id)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.r, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id) m USING (doc_id)
+"""

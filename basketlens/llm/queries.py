@@ -78,5 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_chat_formatting, op2_quality_rules, op3_jaccard_join, op4_token_counts, op5_warc, op6_sharding, op7_decontamination, op8_packing,
     op9_quality_classifier, op10_substring_dedup)}
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": op01_chat.SQL, "op2_quality_rules": op02_rules.SQL, "op5_warc": op05_warc.SQL,
+ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": op01_chat.SQL, "op2_quality_rules": op02_rules.SQL, "op3_jaccard_join": op03_jaccard.SQL, "op5_warc": op05_warc.SQL,
                               "op7_decontamination": op07_decontaminate.SQL, "op10_substring_dedup": op10_substring.SQL}
