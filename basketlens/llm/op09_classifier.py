@@ -138,29 +138,29 @@ def _gradient(net: Network, text: np.ndarray, target: float, weight: float, grad
     return -weight * (target * np.log(q) + (1 - target) * np.log(1 - q))
 
 
-def fit(texts: list[bytes], targets: np.ndarray, weights: np.ndarray, epochs: int = 4, batch: int = 16,
+def fit(texts: list[bytes], targets: np.ndarray, weights: np.ndarray, steps: int = 600, batch: int = 16,
         rate: float = 0.01, seed: int = 7) -> Network:
-    """Adam on the weighted log loss; the same sample and seed give the same network."""
+    """``steps`` steps of Adam on the weighted log loss, over the sample in a new order each
+    time it is used up; the same sample and seed give the same network."""
     net = Network.fresh(seed)
     rng = np.random.default_rng(seed)
     raw = [np.frombuffer(t, np.uint8) for t in texts]
     mean = {k: np.zeros_like(getattr(net, k)) for k in Network.NAMES}
     square = {k: np.zeros_like(getattr(net, k)) for k in Network.NAMES}
-    step, total = 0, epochs * max(1, -(-len(raw) // batch))
-    for _ in range(epochs):
-        order = rng.permutation(len(raw))
-        for a in range(0, len(order), batch):
-            grad = {k: np.zeros_like(getattr(net, k)) for k in Network.NAMES}
-            rows = order[a:a + batch]
-            for i in rows:
-                _gradient(net, raw[i], float(targets[i]), float(weights[i]) / len(rows), grad)
-            step += 1
-            now = rate * (1 - step / (total + 1))
-            for k in Network.NAMES:
-                mean[k] += 0.1 * (grad[k] - mean[k])
-                square[k] += 0.01 * (grad[k] ** 2 - square[k])
-                update = (mean[k] / (1 - 0.9 ** step)) / (np.sqrt(square[k] / (1 - 0.99 ** step)) + 1e-8)
-                setattr(net, k, (getattr(net, k) - now * update).astype(np.float32))
+    order = np.zeros(0, np.int64)
+    for step in range(1, steps + 1):
+        if len(order) < min(batch, len(raw)):
+            order = np.append(order, rng.permutation(len(raw)))
+        rows, order = order[:batch], order[batch:]
+        grad = {k: np.zeros_like(getattr(net, k)) for k in Network.NAMES}
+        for i in rows:
+            _gradient(net, raw[i], float(targets[i]), float(weights[i]) / len(rows), grad)
+        now = rate * (1 - (step - 1) / steps)
+        for k in Network.NAMES:
+            mean[k] += 0.1 * (grad[k] - mean[k])
+            square[k] += 0.01 * (grad[k] ** 2 - square[k])
+            update = (mean[k] / (1 - 0.9 ** step)) / (np.sqrt(square[k] / (1 - 0.99 ** step)) + 1e-8)
+            setattr(net, k, (getattr(net, k) - now * update).astype(np.float32))
     return net
 
 
