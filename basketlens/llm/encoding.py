@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from . import textbytes as tb
 
-KEEP_WORDS = 2_000_000
+KEEP_WORDS = 1_000_000
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 _MARK = np.zeros(256, bool)
@@ -95,7 +95,7 @@ class WordEncoder:
         length = np.array([len(c) for c in coded], np.int32)
         total = int(length.sum())
         if self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used + 2 * total, np.uint32)])
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used // 2 + 2 * total, np.uint32)])
         self.ids[self.used:self.used + total] = np.concatenate(coded)
         offset = (self.used + np.cumsum(length) - length).astype(np.int32)
         self.used += total

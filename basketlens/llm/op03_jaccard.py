@@ -35,7 +35,6 @@ shingles, two of one document would meet by chance with a probability near 10**-
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -464,17 +463,19 @@ def keep_one(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_col: str =
     found = similar_components(docs, k, threshold_pct, id_col, **options)
     gone = materialize(found.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("c"))
                        .where("c < doc_id").select("doc_id"), "removed")
-    shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(gone))
-
-    @F.pandas_udf("boolean")
-    def listed(hashed: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(shared.value, pa.array(hashed.to_numpy(np.int64))))
-
-    maybe = listed(F.coalesce(hashed_id(F.col(f"`{id_col}`").cast("long")), F.lit(1).cast("long")))
-    checked = docs.where(maybe).alias("d").join(
-        gone.select(F.col("doc_id").alias("removed")).alias("r"),
-        F.col(f"d.`{id_col}`").cast("long") == F.col("r.removed"), "left_anti")
-    return docs.where(~maybe).union(checked)
+    at = hashed_id(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0).cast("long")))
+    removed_at = hashed_id(F.col("doc_id"))
+    # at most BITS / 32768 bitmaps of 4 KB
+    maps = materialize(gone.groupBy(F.bitmap_bucket_number(removed_at).alias("__map"))
+                       .agg(F.bitmap_construct_agg(F.bitmap_bit_position(removed_at)).alias("__bits")), "removed-map")
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    listed = F.coalesce(F.pow(F.lit(2), bit % 8).cast("int").bitwiseAND(byte) > 0, F.lit(False))
+    marked = docs.join(F.broadcast(maps), F.bitmap_bucket_number(at) == F.col("__map"), "left").withColumn("__listed", listed)
+    checked = marked.where("__listed").alias("d").join(
+        gone.select(F.col("doc_id").alias("__removed")), F.col(f"d.`{id_col}`").cast("long") == F.col("__removed"), "left_anti")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.where("not __listed").select(*names).union(checked.select(*names))
 
 
 #: DuckDB statement for 3-word shingles and 90 percent

@@ -7,6 +7,7 @@ as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,12 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
 
+try:  # only where the C library has it
+    _LIBC = ctypes.CDLL(None)
+    _LIBC.malloc_trim
+except (OSError, AttributeError):
+    _LIBC = None
+
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -65,11 +72,21 @@ def row_blocks(bounds: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[i
         i = j
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. Python workers live on between tasks, and what
+    their allocators hold back counts against the executor while other stages run."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(i, j, bytes, bounds) for every block of rows; bounds start at 0."""
     raw, bounds = text_bytes(column)
     for i, j in row_blocks(bounds, limit):
         yield i, j, raw[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]
+    del raw
+    release_memory()
 
 
 def word_spans(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray,
