@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
 from .encoding import encoded_blocks
 
 #: lengths per step of the two-level running sums
@@ -38,7 +39,8 @@ def histogram(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFr
     are not read. An empty table gives no rows.
     """
     counted = lengths(docs, tokenizer, text_col).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
-    counted = counted.withColumn("_span", F.floor(F.col("n_tokens") / SPAN))
+    # written: both uses below read the histogram, and texts are encoded once
+    counted = materialize(counted.withColumn("_span", F.floor(F.col("n_tokens") / SPAN)), "lengths")
     tokens = F.col("n_tokens") * F.col("n_docs")
     # running sums inside spans of lengths, plus the (few) spans' own totals before them
     spans = counted.groupBy("_span").agg(F.sum("n_docs").alias("_docs"), F.sum(tokens).alias("_tokens"))
