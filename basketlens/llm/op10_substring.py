@@ -4,7 +4,8 @@ Texts are split into units at line ends and, inside a line, after a sentence's e
 are normalised (ASCII lower case, white space collapsed) and hashed to 128 bits; digests are
 grouped over all documents, and the earliest ranked document keeps a unit. Later copies go
 where consecutive copied units add up to ``min_words`` words, so short everyday sentences
-stay. Removed spans keep their offsets in the original text.
+stay. With ``whole_lines``, shorter lines are hashed whole as well, and later copies of a
+line go whatever its length. Removed spans keep their offsets in the original text.
 
 Three shuffles: one narrow row per distinct unit of a document (counted with map-side
 combine), the same rows joined with the digests that repeat, and the documents joined with
@@ -26,18 +27,49 @@ _END[np.frombuffer(b".!?", np.uint8)] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
 LAST_RANK = (1 << 63) - 1
+#: keeps digests of lines apart from those of units
+_LINE = np.uint64(0x6C696E65)
+
+
+def digests_of(hashes: list[np.ndarray], at: np.ndarray) -> list[np.ndarray]:
+    """The two halves of the digests of consecutive runs of words with offsets ``at``."""
+    words = np.diff(at)
+    place = np.arange(at[-1]) - np.repeat(at[:-1], words)
+    out = []
+    for h in hashes:
+        value = tb.mix(h + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
+        out.append(tb.mix(total[at[1:]] - total[at[:-1]] + words.astype(np.uint64)))
+    return out
+
+
+def again(rows: np.ndarray, digests: list[np.ndarray]) -> np.ndarray:
+    """Entries that repeat an earlier entry of their row."""
+    order = np.lexsort((np.arange(len(rows)), digests[1], digests[0], rows))
+    out = np.zeros(len(order), bool)
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for key in (rows, *digests):
+        same &= key[order][1:] == key[order][:-1]
+    out[order[1:][same]] = True
+    return out
 
 
 class Units:
     """The units of a block of rows: byte starts and ends (white space after a unit belongs
-    to it), rows, number of words and digests. Units without words have count 0."""
+    to it), rows, number of words and digests. Units without words have count 0.
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
+    Lines with words, but fewer than ``line_words``, have rows and digests too; ``line`` is
+    the place of a unit's line among them, -1 if it is not there. A copied line of more
+    words needs none: all its units are copied, in one run."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, line_words: int = 0):
         n = len(data)
         cut = np.zeros(n + 1, bool)
         cut[bounds] = True
         if n:
             cut[1:] |= data == 0x0A
+        lines = np.flatnonzero(cut)[:-1]
+        if n:
             cut[2:] |= _BLANK[data[1:]] & _END[data[:-1]]
         places = np.flatnonzero(cut)
         self.starts, self.ends = places[:-1], places[1:]
@@ -47,34 +79,36 @@ class Units:
         unit = np.searchsorted(self.starts, w_starts, side="right") - 1
         at = tb.row_starts(unit, len(self.starts))
         self.words = np.diff(at)
-        place = np.arange(len(unit)) - at[:-1][unit]
-        self.digests = []
-        for seed in (1, 2):
-            value = tb.mix(tb.word_hashes(low, w_starts, w_ends, seed) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
-            self.digests.append(tb.mix(total[at[1:]] - total[at[:-1]] + self.words.astype(np.uint64)).view(np.int64))
+        hashes = [tb.word_hashes(low, w_starts, w_ends, seed) for seed in (1, 2)]
+        self.digests = [d.view(np.int64) for d in digests_of(hashes, at)]
+        w_line = np.searchsorted(lines, w_starts, side="right") - 1
+        count = np.bincount(w_line, minlength=len(lines))
+        short = (count > 0) & (count < line_words)
+        self.line_rows = np.searchsorted(bounds, lines[short], side="right") - 1
+        self.line = np.where(short, np.cumsum(short) - 1, -1)[np.searchsorted(lines, self.starts, side="right") - 1]
+        used = short[w_line]
+        self.line_digests = [tb.mix(d ^ _LINE).view(np.int64) for d in digests_of(
+            [h[used] for h in hashes], np.concatenate([[0], np.cumsum(count[short])]))]
 
     def again_in_row(self) -> np.ndarray:
         """Units that repeat an earlier unit of their row."""
-        order = np.lexsort((np.arange(len(self.rows)), self.digests[1], self.digests[0], self.rows))
-        again = np.zeros(len(order), bool)
-        same = np.ones(max(len(order) - 1, 0), bool)
-        for key in (self.rows, *self.digests):
-            same &= key[order][1:] == key[order][:-1]
-        again[order[1:][same]] = True
-        return again & (self.words > 0)
+        return again(self.rows, self.digests) & (self.words > 0)
 
 
-def unit_digests(batches):
-    """(rank, d1, d2) for every distinct unit with words of every row."""
+def unit_digests(batches, line_words: int = 0):
+    """(rank, d1, d2) for every distinct unit with words and every distinct line with words,
+    but fewer than ``line_words``, of every row."""
     for batch in batches:
         ranks = batch.column(0)
         for i, j, data, bounds in tb.text_blocks(batch.column(1)):
-            units = Units(data, bounds)
-            use = np.flatnonzero((units.words > 0) & ~units.again_in_row())
-            yield pa.RecordBatch.from_arrays(
-                [ranks.slice(i, j - i).take(pa.array(units.rows[use])), *(pa.array(d[use]) for d in units.digests)],
-                ["_rank", "d1", "d2"])
+            units = Units(data, bounds, line_words)
+            for rows, digests, use in (
+                    (units.rows, units.digests, (units.words > 0) & ~units.again_in_row()),
+                    (units.line_rows, units.line_digests, ~again(units.line_rows, units.line_digests))):
+                use = np.flatnonzero(use)
+                yield pa.RecordBatch.from_arrays(
+                    [ranks.slice(i, j - i).take(pa.array(rows[use])), *(pa.array(d[use]) for d in digests)],
+                    ["_rank", "d1", "d2"])
 
 
 def copied_runs(units: Units, copied: np.ndarray, min_words: int) -> np.ndarray:
@@ -94,23 +128,25 @@ def copied_runs(units: Units, copied: np.ndarray, min_words: int) -> np.ndarray:
     return out
 
 
-def cut_texts(column: pa.Array, copies: pa.Array, min_words: int):
+def cut_texts(column: pa.Array, copies: pa.Array, min_words: int, whole_lines: bool = False):
     """New texts and, per row, flat code-point offsets of the removed spans and the counts
     of units, removed units and removed words."""
     raw = []
     copied_by_row = copies.to_pylist()
     for i, j, data, bounds in tb.text_blocks(column):
         n = j - i
-        units = Units(data, bounds)
-        copied = units.again_in_row()
-        at = tb.row_starts(units.rows, n)
+        units = Units(data, bounds, min_words if whole_lines else 0)
+        copied, lines = units.again_in_row(), again(units.line_rows, units.line_digests)
+        both = [(copied, tb.row_starts(units.rows, n), units.digests), (lines, tb.row_starts(units.line_rows, n), units.line_digests)]
         for r in range(n):
             listed = copied_by_row[i + r]
             if listed:
-                ours = slice(at[r], at[r + 1])
                 pairs = {(x["d1"], x["d2"]) for x in listed}
-                copied[ours] |= np.array([p in pairs for p in zip(*(d[ours].tolist() for d in units.digests))], bool)
+                for found, at, digests in both:
+                    ours = slice(at[r], at[r + 1])
+                    found[ours] |= np.array([p in pairs for p in zip(*(d[ours].tolist() for d in digests))], bool)
         gone = copied_runs(units, copied, min_words)
+        gone |= (units.words > 0) & (units.line >= 0) & np.append(lines, False)[units.line]
         stays = np.repeat(~gone, units.ends - units.starts)
         sizes = np.concatenate([[0], np.cumsum(stays)])[bounds]
         text = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(sizes.astype(np.int64)), pa.py_buffer(data[stays].tobytes())])
@@ -131,18 +167,20 @@ def cut_texts(column: pa.Array, copies: pa.Array, min_words: int):
 
 
 def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
-          rank_col: str | None = None) -> DataFrame:
+          rank_col: str | None = None, whole_lines: bool = False) -> DataFrame:
     """``docs`` with its text cut and with ``n_units``, ``n_removed``, ``removed_words`` and
     ``removed_spans`` appended (flat code-point offsets [start, end, ...) in the original).
 
     The lowest ``rank_col`` (default: the id) keeps a unit, inside a document its first
     place; a null rank comes last. Rows of equal rank count as one document and keep the
-    same units. Null texts stay null, empty ones empty; a document may become empty but no
+    same units. With ``whole_lines``, every later copy of a line goes; ``min_words`` then only
+    bounds runs of sentences inside lines that are not copies themselves. Null texts stay null, empty ones empty; a document may become empty but no
     row is lost. Other columns pass unread, whatever their names. An empty table gives none.
     """
     rank = F.coalesce(F.col(f"`{rank_col or id_col}`").cast("long"), F.lit(LAST_RANK))
+    line_words = min_words if whole_lines else 0
     units = docs.select(rank.alias("_rank"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        unit_digests, "_rank long, d1 long, d2 long")
+        lambda batches: unit_digests(batches, line_words), "_rank long, d1 long, d2 long")
     repeated = (units.groupBy("d1", "d2").agg(F.min("_rank").alias("_keeper"), F.max("_rank").alias("_last"))
                 .where(F.col("_keeper") < F.col("_last")).drop("_last"))
     copies = (units.join(repeated, ["d1", "d2"]).where(F.col("_rank") > F.col("_keeper"))
@@ -157,7 +195,7 @@ def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col:
     def cut(batches):
         for batch in batches:
             at = 0
-            for text, spans, counts in cut_texts(batch.column(1), batch.column(2), min_words):
+            for text, spans, counts in cut_texts(batch.column(1), batch.column(2), min_words, whole_lines):
                 part = batch.slice(at, len(text))
                 at += len(text)
                 text = pc.if_else(pc.is_null(part.column(1)), pa.scalar(None, pa.large_string()), text)

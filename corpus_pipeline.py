@@ -35,10 +35,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their later copies of repeated passages; n_chars follows the text, and
+    """Texts without their later copies of lines and of repeated passages; n_chars follows the text, and
     documents of which nothing is left go."""
     ship_package(spark)
-    cut = op10_substring.dedup(docs)
+    cut = op10_substring.dedup(docs, whole_lines=True)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return (cut.where(left)
             .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))

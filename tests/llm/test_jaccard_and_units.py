@@ -1,5 +1,6 @@
 """The Jaccard join and substring dedup against brute force."""
 
+import itertools
 import random
 import re
 
@@ -221,3 +222,51 @@ def test_long_shared_passage_goes_everywhere_but_first(make_docs):
     got = {r.doc_id: r for r in o10.dedup(make_docs(rows)).collect()}
     assert got[1].n_removed == 0 and got[99].n_removed == 0
     assert all(got[i].text == f"Own start {i} here. Own end {i} there." and got[i].removed_words == 60 for i in range(2, 40))
+
+
+def brute_whole_lines(rows, min_words):
+    """Texts left when, besides the runs of brute_dedup, every later copy of a line goes."""
+    rank = lambda d: 1 << 63 if d is None else d
+    words_of = lambda t: tuple(WORD.findall(t.translate(LOWER)))
+    first_unit, first_line = {}, {}
+    for d, text in rows:
+        for first, parts in ((first_unit, [text[a:b] for a, b in spans_of(text or "")]), (first_line, (text or "").split("\n"))):
+            for w in map(words_of, parts):
+                first[w] = min(first.get(w, rank(d)), rank(d))
+    out = []
+    for d, text in rows:
+        mine, lines, flags, at_line = set(), set(), [], 0
+        for line in re.findall(r"[^\n]*\n|[^\n]+$", text or ""):
+            w = words_of(line)
+            line_copied = bool(w) and (first_line[w] < rank(d) or w in lines)
+            lines.add(w)
+            for a, b in spans_of(line):
+                u = words_of(line[a:b])
+                flags.append([line[a:b], u, bool(u) and (first_unit[u] < rank(d) or u in mine), line_copied and bool(u)])
+                mine.add(u)
+        solid = [f for f in flags if f[1]]
+        for copied, run in itertools.groupby(solid, key=lambda f: f[2]):
+            run = list(run)
+            if copied and sum(len(f[1]) for f in run) >= min_words:
+                for f in run:
+                    f[3] = True
+        left = None if text is None else "".join(f[0] for f in flags if not f[3])
+        out.append((d, left, len(solid), sum(f[3] for f in flags)))
+    return out
+
+
+def test_later_copies_of_whole_lines_go_whatever_their_length(make_docs):
+    rows = [(1, "Yes.\nOwn words of one here. All the best."), (2, "YES.  \nOther own words. Yes.\nAll the best.\nLast own."),
+            (3, "all  the best.\nSome more here. All the best. And then on."), (4, "Mine.\nMine.\nyes")]
+    got = {r.doc_id: r.text for r in o10.dedup(make_docs(rows), whole_lines=True).collect()}
+    assert got == {1: rows[0][1], 2: " \nOther own words. Yes.\nAll the best.\nLast own.",
+                   3: "Some more here. All the best. And then on.", 4: "Mine.\nyes"}
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_dedup_of_whole_lines_matches_brute_force(make_docs, seed):
+    rows = passages(seed) + EDGE_ROWS
+    got = o10.dedup(make_docs(rows, CLASHING), whole_lines=True).collect()
+    want = brute_whole_lines(rows, 8)
+    assert sorted(str((r.doc_id, r.text, r.n_units, r.n_removed)) for r in got) == sorted(map(str, want))
+    assert sum(w[3] for w in want) > sum(w[3] for w in brute_dedup(rows, 8))
