@@ -101,9 +101,19 @@ def match_block(data: np.ndarray, bounds: np.ndarray, tests: Tests):
     spot = index.sa[flat]
     test = np.repeat(use, number)
     return {"n_words": np.diff(at), "at": at, "row": row_of[spot], "word": spot - row_of[spot] - at[:-1][row_of[spot]],
-            "width": tests.widths[test], "item": tests.items[test], "longest": got["longest"],
-            "longest_row": np.where(got["place"] >= 0, row_of[np.maximum(got["place"], 0)] if len(row_of) else -1, -1),
-            "longest_place": got["place"]}
+            "width": tests.widths[test], "item": tests.items[test], **_longest(index.sa, got, row_of, at)}
+
+
+def _longest(sa: np.ndarray, got: dict[str, np.ndarray], row_of: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+    """Each matching row's longest match: of its first test suffix, at its leftmost place."""
+    match, which = np.empty_like(got["match"]), np.empty_like(got["which"])
+    match[sa], which[sa] = got["match"], got["which"]
+    best = np.maximum.reduceat(match, at[:-1] + np.arange(len(at) - 1)) if len(sa) else match
+    spot = np.flatnonzero((match > 0) & (match == best[row_of]))
+    spot = spot[np.lexsort((spot, which[spot], row_of[spot]))]
+    row, first = np.unique(row_of[spot], return_index=True)
+    spot = spot[first]
+    return {"longest": match[spot], "longest_test": which[spot], "longest_row": row, "longest_word": spot - row - at[row]}
 
 
 def _merge(old: np.ndarray, starts: np.ndarray, widths: np.ndarray, n: int) -> np.ndarray:
@@ -122,8 +132,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_words
             keep_text: bool = False, label: str = "decontam") -> DataFrame:
     """Per row of ``docs``: ``rest`` (a struct of its other columns, in order, named c0,
     c1, ...), ``hit_spans`` (flat word offsets [start, end, ...) of the hit words),
-    ``item_ids`` (sorted items with occurring windows), ``n_words``, the longest verbatim
-    match that has its leftmost place in this row, and with ``keep_text`` the text."""
+    ``item_ids`` (sorted items with occurring windows), ``n_words``, the row's longest
+    verbatim match (of equal ones the first in the benchmark, at its leftmost place), and
+    with ``keep_text`` the text."""
     others = [c for c in docs.columns if c != text_col]
     rest = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)] or [F.lit(0).alias("c0")])
     zero = {"array<long>": F.array(), "long": F.lit(None)}
@@ -167,10 +178,10 @@ def _rows(part: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray, tests: Tes
         cut = slice(at[r], at[r + 1])
         spans[r] = _merge(np.asarray(spans[r], np.int64), word[cut], width[cut], int(got["n_words"][r])).tolist()
         items[r] = np.union1d(np.asarray(items[r], np.int64), item[cut]).tolist()
-    for t in np.flatnonzero(got["longest"]).tolist():
-        r, length = int(got["longest_row"][t]), int(got["longest"][t])
+    for r, length, item, at_word in zip(*(x.tolist() for x in (
+            got["longest_row"], got["longest"], tests.items[got["longest_test"]], got["longest_word"]))):
         if length > best[r][0]:
-            best[r] = [length, int(tests.items[t]), int(got["longest_place"][t] - r - got["at"][r])]
+            best[r] = [length, item, at_word]
     longs = pa.list_(pa.int64())
     return {"hit_spans": pa.array(spans, longs), "item_ids": pa.array(items, longs), "n_words": pa.array(got["n_words"]),
             **{c: pa.array([b[k] for b in best], pa.int64())

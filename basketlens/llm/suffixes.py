@@ -117,12 +117,16 @@ class SuffixIndex:
 
         Returns per suffix ``longest`` (words of its longest verbatim match), ``place`` (a
         position of one, -1 if none) and the range ``lo``, ``hi`` in the order of all
-        occurrences of its first ``widths`` words (empty if there is none).
+        occurrences of its first ``widths`` words (empty if there is none); and per place of
+        the order ``match``, the longest prefix that its suffix shares with a test suffix,
+        and ``which``, the first such test suffix. Ranges of one depth are equal or
+        disjoint, so each depth writes a place once.
         """
         m = len(starts)
         longest, place = np.zeros(m, np.int64), np.full(m, -1, np.int64)
         lo_w, hi_w = np.zeros(m, np.int64), np.zeros(m, np.int64)
         lo, hi = np.zeros(m, np.int64), np.full(m, len(self.sa), np.int64)
+        match, which = np.zeros(len(self.sa), np.int64), np.full(len(self.sa), -1, np.int64)
         alive, depth = np.arange(m), 0
         alive = alive[(starts < ends) & (len(self.sa) > 0)]
         while len(alive):
@@ -134,7 +138,11 @@ class SuffixIndex:
             lo[alive], hi[alive] = a, b
             depth += 1
             longest[alive], place[alive] = depth, self.sa[a]
+            _, one = np.unique(a, return_index=True)
+            number = b[one] - a[one]
+            flat = np.arange(int(number.sum())) + np.repeat(a[one] - np.cumsum(number) + number, number)
+            match[flat], which[flat] = depth, np.repeat(alive[one], number)
             full = widths[alive] == depth
             lo_w[alive[full]], hi_w[alive[full]] = a[full], b[full]
             alive = alive[starts[alive] + depth < ends[alive]]
-        return {"longest": longest, "place": place, "lo": lo_w, "hi": hi_w}
+        return {"longest": longest, "place": place, "lo": lo_w, "hi": hi_w, "match": match, "which": which}

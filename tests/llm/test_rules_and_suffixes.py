@@ -128,6 +128,27 @@ def test_decontamination_matches_brute_force(shipped, make_docs, block_words):
     assert (whole.longest_match, whole.longest_item, whole.longest_word, whole.hit_spans) == (17, 1, 0, [0, 17])
 
 
+@pytest.mark.parametrize("block_words", [4_000_000, 20])
+def test_every_row_has_its_own_longest_match(shipped, make_docs, block_words):
+    rng = random.Random(6)
+    words = ITEMS[0][1].split()
+    rows = [(1, "so " + ITEMS[0][1]), (2, "so " + ITEMS[0][1]), (3, " ".join(words[4:11])), (4, "none here"), (5, None)]
+    rows += [(10 + i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 12)))) for i in range(30)]
+    items = [(i, ALNUM_WORD.findall(t.translate(LOWER))) for i, t in ITEMS if i is not None and t]
+    bench = shipped.createDataFrame(ITEMS, "item_id long, text string")
+    got = {r.doc_id: r for r in o7.decontamination(make_docs(rows).coalesce(1), bench, block_words=block_words).collect()}
+    for d, text in rows:
+        mine = ALNUM_WORD.findall((text or "").translate(LOWER))
+        longest = max((n for _, w in items for i in range(len(mine)) for n in range(1, len(mine) - i + 1)
+                       for a in range(len(w) - n + 1) if w[a:a + n] == mine[i:i + n]), default=0)
+        r = got[d]
+        assert r.longest_match == longest
+        if longest:
+            part, w = mine[r.longest_word:r.longest_word + longest], next(w for i, w in items if i == r.longest_item)
+            assert len(part) == longest and any(w[a:a + longest] == part for a in range(len(w)))
+    assert [(got[d].longest_match, got[d].longest_item, got[d].longest_word) for d in (1, 2, 3)] == [(17, 1, 1), (17, 1, 1), (7, 1, 0)]
+
+
 def test_remove_contaminated_keeps_columns(shipped, make_docs):
     docs = make_docs([(1, ITEMS[0][1]), (2, "clean text"), (3, None), (None, "")], CLASHING)
     bench = shipped.createDataFrame(ITEMS, "item_id long, text string")
