@@ -193,14 +193,14 @@ def q_stream_matches(spark, sf):
     "SELECT CAST(date_trunc('day', signup_date) AS TIMESTAMP) AS window_start, count(*) AS customers FROM master "
     "WHERE signup_date < date_trunc('day', (SELECT max(signup_date) FROM master) - INTERVAL 1 DAY) GROUP BY 1", ctes=MASTER_SQL))
 def q_stream_bands(spark, sf):
-    """Watermarked counts per day of sign-up, over all bands: one file, so no row is late,
-    and a day is out once the watermark (a day behind the latest) has passed its end."""
+    """Watermarked counts per day of sign-up, over all bands: one micro-batch reads all
+    files before the watermark moves, so no row is late, and a day is out once the watermark (a day behind the latest) has passed its end."""
     data = materialize(master(spark, sf).select("customer_id", "signup_date", *[c for c in (*NUMERIC, *CATEGORICAL) if c != "signup_date"],
                                                 "churn_label").where("signup_date is not null")
                        .withColumn("signup_date", F.col("signup_date").cast("timestamp")), "band-input")
     model = ML.fit_churn_model(data, NUMERIC, CATEGORICAL, "logistic_regression")
     root = f"{app_folder(spark)}/bands-{uuid.uuid4().hex}"
-    data.coalesce(1).write.parquet(f"{root}/source")
+    data.write.parquet(f"{root}/source")
     STREAM.start_band_counts(spark, model, f"{root}/source", data.schema, "signup_date",
                              f"{root}/sink", f"{root}/checkpoint").awaitTermination()
     return (spark.read.parquet(f"{root}/sink").groupBy(F.col("window_start").cast("timestamp_ntz").alias("window_start"))

@@ -211,3 +211,28 @@ def test_streaming_band_counts_match_batch(spark, tmp_dir):
         d = pd.Timestamp(r["window_start"]).date()
         e = exp[(exp.d == d) & (exp.risk_level == r["risk_level"])]["count"].iloc[0]
         assert r["customers"] == e
+
+
+def test_streaming_band_counts_read_all_files_in_one_batch(spark, monkeypatch):
+    import datetime as dt
+    from basketlens.plans import queries_contracts as Q
+    from basketlens.session import ship_package
+    ship_package(spark)
+    data, files = [], []
+
+    def several(df, name):
+        data.append(whole := keep(df.repartitionByRange(4, F.col("signup_date").desc()), name))
+        return whole
+
+    def counted(spark, model, source, *rest):
+        files.extend(spark.read.parquet(source).inputFiles())
+        return start(spark, model, source, *rest)
+
+    keep, start = Q.materialize, Q.STREAM.start_band_counts
+    monkeypatch.setattr(Q, "materialize", several)
+    monkeypatch.setattr(Q.STREAM, "start_band_counts", counted)
+    got = {r.window_start.date(): r.customers for r in Q.q_stream_bands(spark, "/root/testdata/sf0.001").collect()}
+    days = {r[0]: r[1] for r in data[0].groupBy(F.to_date("signup_date")).count().collect()}
+    last = max(days) - dt.timedelta(days=1)
+    assert len(files) > 1
+    assert got == {d: n for d, n in days.items() if d < last}
