@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (op01_chat, op02_rules, op03_jaccard, op04_token_counts, op05_warc, op06_sharding, op07_decontaminate,
-               op08_packing, op09_classifier, op10_substring)
+               op08_packing, op09_classifier, op10_substring, op11_exact)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -74,9 +74,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_units", "n_removed", "removed_words", spans.alias("removed_spans"), "text")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_exact.exact_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_formatting, op2_quality_rules, op3_jaccard_join, op4_token_counts, op5_warc, op6_sharding, op7_decontamination, op8_packing,
-    op9_quality_classifier, op10_substring_dedup)}
+    op9_quality_classifier, op10_substring_dedup, op11_exact_dedup)}
 
 ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": op01_chat.SQL, "op2_quality_rules": op02_rules.SQL, "op3_jaccard_join": op03_jaccard.SQL, "op5_warc": op05_warc.SQL,
-                              "op7_decontamination": op07_decontaminate.SQL, "op10_substring_dedup": op10_substring.SQL}
+                              "op7_decontamination": op07_decontaminate.SQL, "op10_substring_dedup": op10_substring.SQL,
+                              "op11_exact_dedup": op11_exact.SQL}
