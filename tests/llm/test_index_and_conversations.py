@@ -85,3 +85,87 @@ def test_join_unique_splits_hot_and_cold_keys(shipped, monkeypatch):
     right = left.groupBy("k").agg(F.count("*").alias("w"), F.max("id").alias("top")).where("k % 2 = 0")
     got = {(r["id"], r["top"]) for r in skew.join_unique(left, right, ["k"], "w").collect()}
     assert got == {(i, 39 if i < 40 else i if i % 2 == 0 else None) for i in range(100)}
+
+
+CHATS = "conv_id long, turn long, role string, text string"
+
+
+def chat_order(r):
+    return (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+
+
+def chats_by_id(rows):
+    chats = {}
+    for r in sorted((r for r in rows if r[0] is not None), key=chat_order):
+        chats.setdefault(r[0], []).append((r[2] or "", r[3] or ""))
+    return chats
+
+
+def brute_trie(chats):
+    nodes = {}
+    for c, turns in chats.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    out = []
+    for path, who in nodes.items():
+        below = [p for p in nodes if p[:len(path)] == path]
+        kids = [p for p in below if len(p) == len(path) + 1]
+        leaves = [p for p in below if not any(q[:len(p)] == p and len(q) > len(p) for q in below)]
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1]) for p in below if p)
+        ends = ",".join(str(c) for c in sorted(who) if len(chats[c]) == len(path))
+        out.append((min(who), len(path), min(nodes[path[:-1]]) if path else None, len(who), len(kids), len(leaves), saved,
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def brute_rebuilt(chats):
+    import zlib
+    out = {}
+    for c, turns in chats.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = chats.get(c - c % 100, [])[:h] + turns[h:]
+    return out
+
+
+def some_chats(seed=3):
+    import random
+    rng = random.Random(seed)
+    rows = []
+    for c in [*range(0, 30), *range(95, 140), *range(250, 262), 1000001]:
+        for t in range(rng.randint(1, 9)):
+            rows.append((c, t, "user" if t % 2 == 0 else "assistant", f"say {rng.randint(0, 1 + t)}"))
+    rows += [(400, t, "user", "same") for t in range(40)] + [(401, t, "user", "same") for t in range(70)]
+    rows += [(402, None, None, None), (402, None, "user", "b"), (402, 1, "user", ""), (402, 1, "user", ""), (403, 0, "user", "ü" * 5000)]
+    rows += [(None, 0, "user", "nobody"), (404, 3, "user:", "x"), (404, 3, "user", ":x")]
+    return rows
+
+
+@pytest.mark.parametrize("lead,width", [(True, 1 << 22), (False, 1 << 22), (True, 1 << 5), (False, 1 << 9)])
+def test_trie_matches_brute_force(shipped, lead, width):
+    from basketlens.llm import op12_trie as o12
+    rows = some_chats()
+    chats = chats_by_id(rows)
+    df = shipped.createDataFrame(rows, CHATS).repartition(4)
+    for name in ("n", "pos", "digest", "depth", "parent"):  # names that could clash
+        df = df.withColumn(name, F.lit("x"))
+    got = o12.prefix_trie(df, lead=lead, width=width).collect()
+    assert order(got) == order(brute_trie(brute_rebuilt(chats) if lead else chats))
+
+
+def test_trie_of_empty_tables_and_turnless_conversations(shipped):
+    from basketlens.llm import op12_trie as o12
+    for lead in (True, False):
+        assert o12.prefix_trie(shipped.createDataFrame([], CHATS), lead=lead).count() == 0
+        assert o12.prefix_trie(shipped.createDataFrame([(None, 0, "user", "x")], CHATS), lead=lead).count() == 0
+    import zlib
+    c = next(c for c in range(501, 599) if zlib.crc32(str(c).encode()) % 6 >= 2)  # no donor: all its turns go
+    got = o12.prefix_trie(shipped.createDataFrame([(c, 0, "user", "x")], CHATS), lead=True).collect()
+    assert [tuple(r)[:7] for r in got] == [(c, 0, None, 1, 0, 1, 0)] and got[0][7] == hashlib.sha256(str(c).encode()).hexdigest()
+
+
+def test_end_lists_stream_pieces_in_order(shipped, monkeypatch):
+    from basketlens.llm import op12_trie as o12
+    monkeypatch.setattr(o12, "PIECE", 4)
+    ids = [-9, -1, 0, 3, 4, 5, 17, 100, 1000]
+    got = dict(map(tuple, o12.end_lists(shipped.createDataFrame([(k, i) for k in "ab" for i in ids], "digest string, conv_id long")).collect()))
+    assert got == {k: hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for k in "ab"}
