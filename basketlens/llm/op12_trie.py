@@ -244,10 +244,10 @@ crc AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
 o AS (SELECT CAST(conv_id AS BIGINT) AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
   FROM conversations WHERE conv_id IS NOT NULL),
-f AS (SELECT c, count(*) AS n, c - c % 100 AS donor,
+f AS (SELECT c, n, c - c % 100 AS donor,
     xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
-      lambda a, b: xor((SELECT t FROM crc)[(xor(a, b) & 255) + 1], a >> 8))) % 6 AS h
-  FROM o GROUP BY c),
+      lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) % 6 AS h
+  FROM (SELECT c, count(*) AS n FROM o GROUP BY c) x, crc),
 led AS (SELECT f.c, f.h, f.donor, least(f.h, coalesce(d.n, 0)) AS led FROM f LEFT JOIN f d ON d.c = f.donor),
 turns AS (
   SELECT l.c, o.k, o.role, o.text FROM led l JOIN o ON o.c = l.donor AND o.k <= l.led

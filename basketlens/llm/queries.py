@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (op01_chat, op02_rules, op03_jaccard, op04_token_counts, op05_warc, op06_sharding, op07_decontaminate,
-               op08_packing, op09_classifier, op10_substring, op11_exact, op12_trie)
+               op08_packing, op09_classifier, op10_substring, op11_exact, op12_trie, op13_repair)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -82,10 +82,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_trie.prefix_trie(table(spark, sf_dir, "conversations"), lead=True)
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_repair.repair_summary(table(spark, sf_dir, "conversations"), damage=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_formatting, op2_quality_rules, op3_jaccard_join, op4_token_counts, op5_warc, op6_sharding, op7_decontamination, op8_packing,
-    op9_quality_classifier, op10_substring_dedup, op11_exact_dedup, op12_prefix_trie)}
+    op9_quality_classifier, op10_substring_dedup, op11_exact_dedup, op12_prefix_trie, op13_structure_repair)}
 
 ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": op01_chat.SQL, "op2_quality_rules": op02_rules.SQL, "op3_jaccard_join": op03_jaccard.SQL, "op5_warc": op05_warc.SQL,
                               "op7_decontamination": op07_decontaminate.SQL, "op10_substring_dedup": op10_substring.SQL,
-                              "op11_exact_dedup": op11_exact.SQL, "op12_prefix_trie": op12_trie.SQL}
+                              "op11_exact_dedup": op11_exact.SQL, "op12_prefix_trie": op12_trie.SQL, "op13_structure_repair": op13_repair.SQL}
