@@ -55,7 +55,7 @@ def brute_repair(turns):
             found.append((cost + 3, "D" + audit, lines))
             if marks[i] not in ("blank", "duplicate"):
                 for letter, said, paid in (("K", role, 0), ("R", "user", 2), ("R", "assistant", 2)):
-                    if state + said[:1] in ("s", "u", "su", "au", "ua"):
+                    if said and state + said[0] in ("s", "u", "su", "au", "ua"):
                         cost, audit, lines = best(i + 1, said[0], 0)
                         found.append((cost + paid + (marks[i] == "truncated"), letter + audit, (f"{said}:{text}",) + lines))
         return min(found, default=(10 ** 9, "", ()))
