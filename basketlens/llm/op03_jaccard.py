@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import skew
 from . import textbytes as tb
 from .graph import components
 
@@ -47,6 +48,7 @@ BUCKETS = 1 << 22      # of the frequency table
 FREQUENT = 1 << 18     # most buckets that count as frequent (bounds the broadcast)
 CHUNK = 64             # members of a group that one task opens
 BLOCK = 512            # queries that one task asks of a chunk
+UNION = 1 << 15        # tokens of a large group's union in one bucket, about
 BITS = 1 << 26         # of a bitmap of ids (8 MB)
 SMALL_ROWS = 1_000_000  # narrow rows that may be broadcast to the sets (some 40 MB)
 CANDIDATE = np.uint64((1 << 48) - 1)  # prefixes carry 48 bits of a token; sets carry all
@@ -319,18 +321,56 @@ def ask_chunks(pct: int):
     return ask
 
 
+def reach_of_union(pct: int):
+    """Tasks of the bound against whole groups: a row with tokens of the union and, per query,
+    how many of its tokens are among them (in its own family only those of other members)."""
+    def ask(batches):
+        for table in tb.groups(batches, ["family", "bucket", "block"]):
+            asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
+            union, queries = table.filter(pa.array(~asks)), table.filter(pa.array(asks))
+            if not union.num_rows or not queries.num_rows:
+                continue
+            _, tokens, _ = _sets(union)
+            order = np.argsort(tokens)
+            tokens, several = tokens[order], np.concatenate([np.asarray(x) for x in union.column("several").to_pylist()])[order]
+            ids, asked, at = _sets(queries)
+            place = np.minimum(np.searchsorted(tokens, asked), len(tokens) - 1)
+            own = np.repeat(queries.column("own").to_numpy(zero_copy_only=False).astype(bool), np.diff(at))
+            met = np.concatenate([[0], np.cumsum((tokens[place] == asked) & (several[place] | ~own))])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), queries.column("family").combine_chunks(), pa.array(met[at[1:]] - met[at[:-1]])],
+                                             ["nid", "family", "o"])
+    return ask
+
+
 def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int, label: str) -> DataFrame:
     """Of queries (nid, n, home, family) those that the token counts of a whole family leave
     in reach: |query and union| tokens at most can be common with a member, which has at
     least need(n) and the family's least tokens. In its own family a query's tokens count
-    only if another member has them."""
+    only if another member has them.
+
+    A family's union is stored in buckets of about UNION tokens, by token; a query sends one
+    part of its set to each bucket, and a task asks one bucket for BLOCK queries."""
     inside = placed_sets(members, sets, label)
-    union = (inside.select("family", F.explode("tokens").alias("token"))
-             .groupBy("family", "token").agg(F.count(F.lit(1)).alias("df")))
+    union = materialize(inside.select("family", F.explode("tokens").alias("token"))
+                        .groupBy("family", "token").agg((F.count(F.lit(1)) > 1).alias("several")), label)
+    size = union.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / UNION).cast("long").alias("buckets"))
+    load = asked.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+    shape = materialize(size.join(load, "family"), label)
+    zero, bucket = F.lit(0).cast("long"), F.pmod(F.col("token"), F.col("buckets"))
+    stored = (union.join(shape, "family").groupBy("family", bucket.alias("bucket"), "blocks")
+              .agg(F.collect_list("token").alias("tokens"), F.collect_list("several").alias("several"))
+              .select(zero.alias("nid"), "tokens", "several", "family", "bucket", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"),
+                      F.lit(0).alias("asks"), F.lit(False).alias("own")))
+    to = (asked.join(shape, "family")
+          .select("nid", "family", "buckets", F.explode(F.sequence(zero, F.col("buckets") - 1)).alias("bucket"),
+                  F.pmod(F.xxhash64("nid", F.lit(2)), F.col("blocks")).alias("block"), (F.col("home") == F.col("family")).alias("own")))
+    part = F.when(F.col("buckets") == 1, F.col("tokens")).otherwise(F.filter("tokens", lambda x: F.pmod(x, F.col("buckets")) == F.col("bucket")))
+    sent = (placed_sets(to, sets, label)
+            .select("nid", part.alias("tokens"), F.array().cast("array<boolean>").alias("several"), "family", "bucket", "block", F.lit(1).alias("asks"), "own"))
+    met = (_in_order(stored.union(sent), ["family", "bucket", "block"]).mapInArrow(reach_of_union(pct), "nid long, family long, o long")
+           .groupBy("nid", "family").agg(F.sum("o").alias("o")))
     least = inside.groupBy("family").agg(F.min(F.size("tokens")).alias("least_size"))
-    held = (placed_sets(asked, sets, label).select("nid", "n", "home", "family", F.explode("tokens").alias("token"))
-            .join(union, ["family", "token"]).where((F.col("home") != F.col("family")) | (F.col("df") > 1))
-            .groupBy("nid", "n", "home", "family").agg(F.count(F.lit(1)).alias("o")).join(least, "family"))
+    held = asked.join(met, ["nid", "family"]).join(least, "family")
     size = F.greatest(need(F.col("n"), pct), F.col("least_size"), F.col("o"))
     return held.where(100 * F.col("o") >= pct * (F.col("n") + size - F.col("o"))).select("nid", "n", "home", "family")
 
@@ -369,9 +409,11 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     rows = passed.where(F.col("kind") == ROW).drop("kind")
     digest = ["d1", "d2", "n"]
     nodes = materialize(rows.where("n > 0 and doc_id is not null").groupBy(*digest)
-                        .agg(F.min("doc_id").alias("nid"), F.max("doc_id").alias("last"), F.min("least").alias("least")), label)
-    copied = nodes.where("nid < last").drop("last")
-    copies = rows.join(copied, digest).where("doc_id > nid").select("doc_id").distinct()
+                        .agg(F.min("doc_id").alias("nid"), F.max("doc_id").alias("last"), F.min("least").alias("least"),
+                             F.count(F.lit(1)).alias("times")), label)
+    filled = rows.where("n > 0 and doc_id is not null")
+    copied = nodes.where("nid < last").select(*digest, "nid", "times")
+    copies = skew.join_unique(filled, copied, digest, "times").where("doc_id > nid").select("doc_id").distinct()
     ahead = prefixes(docs, k, pct, share, frequent_buckets(passed), id_bitmap(copies))
     ahead = materialize(ahead, label)
     # rows that may be copies are looked up; all others are their sets' nodes
@@ -448,10 +490,10 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     second = components(quotient, label)
     final = (of.join(second.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
              .select("nid", F.coalesce("whole", "component").alias("component_id")))
-    named = nodes.join(final, "nid", "left").select(*digest, F.coalesce("component_id", "nid").alias("component_id"))
-    return (rows.join(named, digest, "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+    named = nodes.join(final, "nid", "left").select(*digest, F.coalesce("component_id", "nid").alias("component_id"), "times")
+    placed_rows = skew.join_unique(filled, materialize(named, label), digest, "times").select("doc_id", "n", "component_id")
+    others = rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.when(F.col("n") == 0, F.col("doc_id")).alias("component_id"))
+    return placed_rows.unionByName(others).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_col: str = "doc_id", **options) -> DataFrame:
