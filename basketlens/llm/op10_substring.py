@@ -2,10 +2,11 @@
 
 Texts are split into units at line ends and, inside a line, after a sentence's end. Units
 are normalised (ASCII lower case, white space collapsed) and hashed to 128 bits; digests are
-grouped over all documents, and the earliest ranked document keeps a unit. Later copies go
-where consecutive copied units add up to ``min_words`` words, so short everyday sentences
-stay. With ``whole_lines``, shorter lines are hashed whole as well, and later copies of a
-line go whatever its length. Removed spans keep their offsets in the original text.
+grouped over all documents, and the earliest ranked document keeps a unit. Every later copy
+of a line goes, whatever its length. Inside lines that are not copies, sentences go where
+consecutive copied ones add up to ``min_words`` words, so short everyday sentences stay
+(without ``whole_lines`` that rule alone holds). Removed spans keep their offsets in the
+original text.
 
 Three shuffles: one narrow row per distinct unit of a document (counted with map-side
 combine), the same rows joined with the digests that repeat, and the documents joined with
@@ -27,6 +28,7 @@ _END[np.frombuffer(b".!?", np.uint8)] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
 LAST_RANK = (1 << 63) - 1
+RANK = "decimal(38,0)"
 #: keeps digests of lines apart from those of units
 _LINE = np.uint64(0x6C696E65)
 
@@ -167,20 +169,23 @@ def cut_texts(column: pa.Array, copies: pa.Array, min_words: int, whole_lines: b
 
 
 def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
-          rank_col: str | None = None, whole_lines: bool = False) -> DataFrame:
+          rank_col: str | None = None, whole_lines: bool = True) -> DataFrame:
     """``docs`` with its text cut and with ``n_units``, ``n_removed``, ``removed_words`` and
     ``removed_spans`` appended (flat code-point offsets [start, end, ...) in the original).
 
     The lowest ``rank_col`` (default: the id) keeps a unit, inside a document its first
-    place; a null rank comes last. Rows of equal rank count as one document and keep the
-    same units. With ``whole_lines``, every later copy of a line goes; ``min_words`` then only
-    bounds runs of sentences inside lines that are not copies themselves. Null texts stay null, empty ones empty; a document may become empty but no
-    row is lost. Other columns pass unread, whatever their names. An empty table gives none.
+    place; a null rank comes last. Rows of equal rank are ranked by a hash of their text, so
+    each keeps what is not in another; only rows equal in rank and text count as one document.
+    With ``whole_lines``, every later copy of a line goes; ``min_words`` then only bounds runs
+    of sentences inside lines that are not copies themselves. Null texts stay null, empty
+    ones empty; a document may become empty but no row is lost. Other columns pass unread, whatever their names. An empty table gives none.
     """
-    rank = F.coalesce(F.col(f"`{rank_col or id_col}`").cast("long"), F.lit(LAST_RANK))
+    rank = F.coalesce(F.col(f"`{rank_col or id_col}`").cast("long"), F.lit(LAST_RANK)).cast(RANK)
+    tie = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 1).cast(RANK)
+    rank = (rank * F.lit(1 << 32).cast("decimal(11,0)") * F.lit(1 << 31).cast("decimal(11,0)") + tie).cast(RANK)
     line_words = min_words if whole_lines else 0
     units = docs.select(rank.alias("_rank"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        lambda batches: unit_digests(batches, line_words), "_rank long, d1 long, d2 long")
+        lambda batches: unit_digests(batches, line_words), f"_rank {RANK}, d1 long, d2 long")
     repeated = (units.groupBy("d1", "d2").agg(F.min("_rank").alias("_keeper"), F.max("_rank").alias("_last"))
                 .where(F.col("_keeper") < F.col("_last")).drop("_last"))
     copies = (units.join(repeated, ["d1", "d2"]).where(F.col("_rank") > F.col("_keeper"))
@@ -208,8 +213,8 @@ def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col:
     return joined.mapInArrow(cut, schema).select(*kept, "n_units", "n_removed", "removed_words", "removed_spans")
 
 
-#: DuckDB statement for the query's columns with the default number of words; chr(1) marks
-#: the ends of units
+#: DuckDB statement for the query's columns with the default number of words and whole lines;
+#: chr(1) marks the ends of units
 SQL = r"""
 WITH parts AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '([.!?][ \t])', '\1' || chr(1), 'g'),
     '\n', chr(10) || chr(1), 'g'), chr(1)) AS u FROM documents WHERE text IS NOT NULL),
@@ -219,7 +224,13 @@ units AS (SELECT doc_id, i, u[i] AS u, array_to_string(regexp_extract_all(
 solid AS (SELECT doc_id, i, len(string_split(norm, ' ')) AS words, min(doc_id) OVER (PARTITION BY norm) < doc_id
     OR row_number() OVER (PARTITION BY doc_id, norm ORDER BY i) > 1 AS copied FROM units WHERE norm <> ''),
 runs AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - row_number() OVER (PARTITION BY doc_id, copied ORDER BY i) AS r FROM solid),
-gone AS (SELECT doc_id, i, words FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, copied, r) AS s FROM runs) x WHERE copied AND s >= 8),
+lined AS (SELECT *, coalesce(sum(CASE WHEN suffix(u, chr(10)) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line FROM units),
+lines AS (SELECT doc_id, line, string_agg(norm, ' ' ORDER BY i) FILTER (norm <> '') AS norm FROM lined GROUP BY doc_id, line),
+later AS (SELECT * FROM (SELECT doc_id, line, min(doc_id) OVER (PARTITION BY norm) < doc_id
+    OR row_number() OVER (PARTITION BY doc_id, norm ORDER BY line) > 1 AS copied FROM lines WHERE norm IS NOT NULL) x WHERE copied),
+gone AS (SELECT doc_id, i, words FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, copied, r) AS s FROM runs) x
+  JOIN lined USING (doc_id, i) LEFT JOIN later USING (doc_id, line) WHERE (x.copied AND s >= 8) OR later.copied),
 placed AS (SELECT units.doc_id, units.i, u, norm, gone.words, gone.i IS NOT NULL AS off,
     coalesce(sum(length(u)) OVER (PARTITION BY units.doc_id ORDER BY units.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a,
     row_number() OVER (PARTITION BY units.doc_id ORDER BY units.i) - row_number() OVER (PARTITION BY units.doc_id, gone.i IS NOT NULL ORDER BY units.i) AS r

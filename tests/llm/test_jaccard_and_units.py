@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from basketlens.llm import op03_jaccard as o3, op10_substring as o10
@@ -111,7 +112,7 @@ def test_prefixes_of_linked_sets_share_enough():
                 assert 1 <= least <= len(heads[0] & heads[1])
 
 
-def test_shared_tokens_streams_over_batches(shipped):
+def test_shared_tokens_counts_other_nodes(shipped):
     pairs = [(t, n) for t in range(50) for n in range(t % 4)] + [(7, 0), (7, 0), (99, 5), (99, 5)]
     before = shipped.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     shipped.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
@@ -153,21 +154,24 @@ def spans_of(text):
     return out + ([(a, len(text))] if a < len(text) else [])
 
 
+def rank(d, text):
+    return 1 << 63 if d is None else d, xxhash.xxh64((text or "").encode(), seed=42).intdigest() >> 1
+
+
 def brute_dedup(rows, min_words):
-    """Documents in rank order; rows of one rank keep the same units."""
-    rank = lambda d: 1 << 63 if d is None else d
+    """Documents in rank order; rows of one rank by a hash of their text."""
     first = {}
     for d, text in rows:
         for a, b in spans_of(text or ""):
             words = tuple(WORD.findall(text[a:b].translate(LOWER)))
-            first[words] = min(first.get(words, rank(d)), rank(d))
+            first[words] = min(first.get(words, rank(d, text)), rank(d, text))
     out = []
     for d, text in rows:
         units = [(a, b, tuple(WORD.findall(text[a:b].translate(LOWER)))) for a, b in spans_of(text or "")]
         solid = [u for u in units if u[2]]
         mine, copied = set(), []
         for _, _, w in solid:
-            copied.append(first[w] < rank(d) or w in mine)
+            copied.append(first[w] < rank(d, text) or w in mine)
             mine.add(w)
         gone, k = set(), 0
         while k < len(solid):
@@ -199,7 +203,7 @@ def passages(seed):
 def test_dedup_matches_brute_force(make_docs, min_words):
     rows = passages(2) + EDGE_ROWS
     docs = make_docs(rows, CLASHING)
-    got = o10.dedup(docs, min_words)
+    got = o10.dedup(docs, min_words, whole_lines=False)
     assert got.columns[: len(docs.columns)] == docs.columns
     full = got.collect()
     assert sorted(str((r.doc_id, r.text, r.n_units, r.n_removed)) for r in full) == sorted(map(str, brute_dedup(rows, min_words)))
@@ -226,23 +230,22 @@ def test_long_shared_passage_goes_everywhere_but_first(make_docs):
 
 def brute_whole_lines(rows, min_words):
     """Texts left when, besides the runs of brute_dedup, every later copy of a line goes."""
-    rank = lambda d: 1 << 63 if d is None else d
     words_of = lambda t: tuple(WORD.findall(t.translate(LOWER)))
     first_unit, first_line = {}, {}
     for d, text in rows:
         for first, parts in ((first_unit, [text[a:b] for a, b in spans_of(text or "")]), (first_line, (text or "").split("\n"))):
             for w in map(words_of, parts):
-                first[w] = min(first.get(w, rank(d)), rank(d))
+                first[w] = min(first.get(w, rank(d, text)), rank(d, text))
     out = []
     for d, text in rows:
         mine, lines, flags, at_line = set(), set(), [], 0
         for line in re.findall(r"[^\n]*\n|[^\n]+$", text or ""):
             w = words_of(line)
-            line_copied = bool(w) and (first_line[w] < rank(d) or w in lines)
+            line_copied = bool(w) and (first_line[w] < rank(d, text) or w in lines)
             lines.add(w)
             for a, b in spans_of(line):
                 u = words_of(line[a:b])
-                flags.append([line[a:b], u, bool(u) and (first_unit[u] < rank(d) or u in mine), line_copied and bool(u)])
+                flags.append([line[a:b], u, bool(u) and (first_unit[u] < rank(d, text) or u in mine), line_copied and bool(u)])
                 mine.add(u)
         solid = [f for f in flags if f[1]]
         for copied, run in itertools.groupby(solid, key=lambda f: f[2]):
@@ -270,3 +273,11 @@ def test_dedup_of_whole_lines_matches_brute_force(make_docs, seed):
     want = brute_whole_lines(rows, 8)
     assert sorted(str((r.doc_id, r.text, r.n_units, r.n_removed)) for r in got) == sorted(map(str, want))
     assert sum(w[3] for w in want) > sum(w[3] for w in brute_dedup(rows, 8))
+
+
+def test_copies_among_rows_without_ids_go(make_docs):
+    passage = " ".join(f"p{i}" for i in range(30)) + "."
+    rows = [(None, f"Own one. {passage}"), (None, f"Own two. {passage}"), (7, "Else."), (7, "Buy now here."), (None, "Buy now here.")]
+    got = [r.text for r in o10.dedup(make_docs(rows)).collect()]
+    assert sum(passage in t for t in got) == 1 and sum("Buy now here." in t for t in got) == 1
+    assert sorted(map(str, got)) == sorted(str(w[1]) for w in brute_whole_lines(rows, 8))

@@ -190,7 +190,7 @@ def test_sample_is_bounded(shipped, make_docs):
 
 def test_pipeline_stages_match_plain_versions(shipped, tokenizer):
     """Each stage on its own predecessor's rows, at the smallest scale."""
-    from .test_jaccard_and_units import brute_components, brute_dedup
+    from .test_jaccard_and_units import brute_components, brute_whole_lines
     from .test_rules_and_suffixes import brute_hits
     sf = "/root/testdata/sf0.001"
     docs = shipped.read.parquet(f"{sf}/documents.parquet")
@@ -203,7 +203,7 @@ def test_pipeline_stages_match_plain_versions(shipped, tokenizer):
     rows = [sorted(tuple(r) for r in k.select("doc_id", "text").collect()) for k in kept[:-1]]
     assert 0 < len(rows[1]) <= len(rows[0])
     assert [d for d, _ in rows[2]] == sorted(d for d, _, c in brute_components(rows[1], 5, 80) if d == c)
-    cut = [(d, t) for d, t, _, gone in brute_dedup(rows[2], 8) if not gone or t.strip(" \t\n\r\x0b\x0c")]
+    cut = [(d, t) for d, t, _, gone in brute_whole_lines(rows[2], 8) if not gone or t.strip(" \t\n\r\x0b\x0c")]
     assert rows[3] == sorted(cut)
     # a cheap test first: only documents with a rare word of an item can hold its window
     assert rows[4] == [r for r in rows[3] if not brute_hits(r[1], bench)[4]]
@@ -211,3 +211,15 @@ def test_pipeline_stages_match_plain_versions(shipped, tokenizer):
     for d, group in kept[5].groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "ids")))).collect():
         assert [x for piece in group for x in piece["ids"]] == whole.pop(d)
     assert not whole
+
+
+def test_long_labelled_texts_train_both_labels(shipped, make_docs):
+    docs = make_docs([(i, ("good words " if i % 2 else "bad spam ") * 20_000) for i in range(50)])
+    labels = shipped.createDataFrame([(i, i % 2, 0) for i in range(50)] + [(1, 0, 0)], "doc_id long, quality int, toxic int")
+    texts, y, w = o9.training_sample(docs, labels, 1500, 8 << 20)
+    assert 0 < y.sum() < len(y) and all(len(t) > 150_000 for t in texts) and sum(map(len, texts)) <= 8 << 20
+    with pytest.raises(ValueError, match="label"):
+        o9.training_sample(docs, labels, 1500, 1 << 17)
+    with pytest.warns(UserWarning, match="both kinds"):
+        net = o9.train(docs, labels.where("quality = 1"))
+    assert set(r.score for r in o9.score(docs, net).collect()) == {0.5}
