@@ -9,6 +9,7 @@ documented parameters); scoring is one narrow pass over whole texts.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -170,36 +171,48 @@ def held_out(id_col) -> "F.Column":
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int, sample_bytes: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Whole texts, targets and weights of at most ``sample_rows`` rows of each label, in
-    the order of a hash of the id, up to ``sample_bytes`` bytes in all (longer texts that
-    would pass it are passed over). Weights restore the labels' shares over all rows."""
+    """Whole texts, targets and weights of at most ``sample_rows`` rows and ``sample_bytes / 2``
+    bytes of each label, in the order of a hash of the id; a text that would pass the bytes is
+    passed over. Both bounds are applied to ids and lengths, before any text is fetched.
+    Weights restore the labels' shares over all rows. A doc_id that several documents or
+    labels name counts once: its shortest text and its lower label. A label of which no text
+    fits raises an error; there is no other bound on a text's length."""
     usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-              .where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
+              .where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     counts = {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()}
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [usable.where(F.col("quality") == q).orderBy(*order).limit(sample_rows) for q in (0, 1)]
-    ids = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * sample_rows rows
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-            .join(ids, "doc_id").where(F.octet_length("text") <= sample_bytes // 50)
-            .select("text", "quality", F.xxhash64("doc_id").alias("h"), "doc_id"))
-    texts, targets, used = [], [], 0
-    for r in sorted(rows.toLocalIterator(), key=lambda r: (r["h"], r["doc_id"])):
-        raw = r["text"].encode("utf-8", "replace")
-        if used + len(raw) <= sample_bytes:
-            texts.append(raw)
-            targets.append(r["quality"])
-            used += len(raw)
-    y = np.array(targets, np.float64)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    sizes = texts.select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.xxhash64("text").alias("said"))
+    found = (sizes.join(usable, "doc_id").groupBy("doc_id", "quality").agg(F.min("bytes").alias("bytes"), F.min_by("said", "bytes").alias("said"))
+             .withColumn("h", F.xxhash64("doc_id")))
+    chosen = []
+    for label in (0, 1):  # at most sample_rows narrow rows each
+        rows, held = found.where(F.col("quality") == label).orderBy("h", "doc_id").limit(sample_rows).collect(), 0
+        for r in rows:
+            if held + r["bytes"] <= sample_bytes // 2:
+                chosen.append(r)
+                held += r["bytes"]
+        if rows and not any(r["quality"] == label for r in chosen):
+            raise ValueError(f"no text of label {label} among the first {sample_rows} fits sample_bytes / 2 = {sample_bytes // 2}")
+    if not chosen:
+        return [], np.zeros(0), np.zeros(0)
+    ids = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["bytes"], r["said"]) for r in chosen], "doc_id long, bytes long, said long"))
+    fetched = (texts.withColumn("bytes", F.octet_length("text").cast("long")).withColumn("said", F.xxhash64("text"))
+               .join(ids, ["doc_id", "bytes", "said"]).dropDuplicates(["doc_id"]).select("doc_id", "text"))
+    raw = {r["doc_id"]: r["text"].encode("utf-8", "replace") for r in fetched.toLocalIterator()}
+    chosen.sort(key=lambda r: (r["h"], r["doc_id"]))
+    y = np.array([r["quality"] for r in chosen], np.float64)
     n = sum(counts.values())
-    share = {q: counts.get(q, 0) / n * len(y) / max(1, int((y == q).sum())) if n else 0 for q in (0, 1)}
-    return texts, y, np.where(y == 1, share[1], share[0])
+    share = {q: counts.get(q, 0) / n * len(y) / max(1, int((y == q).sum())) for q in (0, 1)}
+    return [raw[r["doc_id"]] for r in chosen], y, np.where(y == 1, share[1], share[0])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 1500, sample_bytes: int = 8 << 20, **options) -> Network:
-    """A network fitted on rows that are not held out. Without usable labels it scores
-    every text 0.5."""
+    """A network fitted on rows that are not held out. Without usable labels of both kinds
+    there is nothing to tell apart: a warning says so and every text scores 0.5."""
     texts, y, w = training_sample(docs, labels, sample_rows, sample_bytes)
-    if not texts:
+    if len(set(y.tolist())) < 2:
+        warnings.warn("no usable labels of both kinds; every text scores 0.5", stacklevel=2)
         net = Network.fresh(0)
         net.out[:] = 0
         return net
