@@ -131,9 +131,25 @@ def _page(name: str | None) -> int | None:
     return int(name[len("<urn:page:"):-1]) if name else None
 
 
+def may_split(spark, path: str) -> bool:
+    """Whether Spark may cut a file under ``path`` into several parts: it is not gzip and is
+    longer than the least size of a part."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    least = min(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes(), spark._jsparkSession.sessionState().conf().filesOpenCostInBytes())
+    files = folder.getFileSystem(conf).listFiles(folder, True)
+    while files.hasNext():
+        file = files.next()
+        if not file.getPath().getName().endswith(".gz") and file.getLen() > least:
+            return True
+    return False
+
+
 def read_archives(spark, path: str) -> DataFrame:
     """Captures of all records of the archives under ``path``; the digest of a response is
-    recomputed from its payload, and payload_bytes of a revisit is what its HTTP head says."""
+    recomputed from its payload, and payload_bytes of a revisit is what its HTTP head says.
+    Only a record's length tells where it ends, so a file is read from its start in one
+    stream: gzip files are not cut by Spark, parts of others are brought together in order."""
     def read(batches):
         def pieces():
             for batch in batches:
@@ -154,7 +170,13 @@ def read_archives(spark, path: str) -> DataFrame:
                 yield _batch(rows)
                 rows = []
         yield _batch(rows)
-    return spark.read.option("lineSep", SEPARATOR).text(path).mapInArrow(read, ENTRY)
+    pieces_read = spark.read.option("lineSep", SEPARATOR).text(path)
+    if may_split(spark, path):
+        order = ["file", "part", "place"]
+        pieces_read = (pieces_read.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"),
+                                          F.monotonically_increasing_id().alias("place"))
+                       .repartition("file").sortWithinPartitions(*order).select("value"))
+    return pieces_read.mapInArrow(read, ENTRY)
 
 
 _TYPES = pa.schema([("page_id", pa.int64()), ("url_key", pa.string()), ("captured", pa.string()), ("url", pa.string()),
@@ -207,9 +229,12 @@ class LoserTree:
             self._play(winner)
 
 
+_NUMBERED = _TYPES.append(pa.field("row", pa.int64()))
+
+
 def _key(row: tuple) -> tuple:
-    """URL key, time, id; a null id comes first."""
-    return (row[1], row[2], -1 << 63 if row[0] is None else row[0])
+    """URL key, time, id, row number; a null id comes first."""
+    return (row[1], row[2], -1 << 63 if row[0] is None else row[0], row[len(_TYPES)])
 
 
 def _rows(batch: pa.RecordBatch | pa.Table, columns: int) -> list[tuple]:
@@ -217,9 +242,9 @@ def _rows(batch: pa.RecordBatch | pa.Table, columns: int) -> list[tuple]:
 
 
 def sorted_runs(captures: DataFrame, boundaries: list[tuple]) -> DataFrame:
-    """Runs: captures with the key range, run number and place in the run."""
+    """Runs: numbered captures with the key range, run number and place in the run."""
     from bisect import bisect_right
-    schema = _TYPES
+    schema = _NUMBERED
     for name in ("bucket", "run", "place"):
         schema = schema.append(pa.field(name, pa.int64()))
 
@@ -231,7 +256,7 @@ def sorted_runs(captures: DataFrame, boundaries: list[tuple]) -> DataFrame:
             held.sort(key=_key)
             return _batch([(*r, bisect_right(boundaries, _key(r)), (task << 32) + number, place) for place, r in enumerate(held)], schema)
         for batch in batches:
-            rows = _rows(batch, len(_TYPES))
+            rows = _rows(batch, len(_NUMBERED))
             while rows:
                 cut = RUN_ROWS - len(held)
                 held, rows = held + rows[:cut], rows[cut:]
@@ -240,7 +265,7 @@ def sorted_runs(captures: DataFrame, boundaries: list[tuple]) -> DataFrame:
                     number, held = number + 1, []
         if held:
             yield run()
-    return captures.mapInArrow(sort, ENTRY + ", bucket long, run long, place long")
+    return captures.mapInArrow(sort, ENTRY + ", row long, bucket long, run long, place long")
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
@@ -251,21 +276,22 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     def merge(batches):
         for table in tb.groups(batches, ["bucket"]):
             bucket = table.column("bucket")[0].as_py()
-            rows = _rows(table, len(_TYPES))
+            rows = _rows(table, len(_NUMBERED))
             run = table.column("run").to_numpy()
             cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(rows)]
             tree = LoserTree([iter([(_key(r), r) for r in rows[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])])
-            yield _batch([(*r, bucket, position) for position, (_, r) in enumerate(tree)], schema)
+            yield _batch([(*r[:len(_TYPES)], bucket, position) for position, (_, r) in enumerate(tree)], schema)
     ordered = runs.repartition("bucket").sortWithinPartitions("bucket", "run", "place")
     return ordered.mapInArrow(merge, ENTRY + ", bucket long, position long")
 
 
 def merged_index(captures: DataFrame, label: str = "captures") -> DataFrame:
-    """Globally ordered capture histories of a capture table, by external merge."""
-    captures = materialize(captures, label)
+    """Globally ordered capture histories of a capture table, by external merge. The sample
+    for the boundaries has about SAMPLE_KEYS rows, however often a key repeats."""
+    captures = materialize(captures.withColumn("row", F.monotonically_increasing_id()), label)
     total = captures.count()
     every = max(1, total // SAMPLE_KEYS)
-    picked = captures.where(F.pmod(F.xxhash64("url_key", "captured", "page_id"), F.lit(every)) == 0).select("page_id", "url_key", "captured")
+    picked = captures.where(F.pmod(F.xxhash64("url_key", "captured", "page_id", "row"), F.lit(every)) == 0)
     keys = sorted(_key(tuple(r)) for r in picked.toLocalIterator())
     ranges = min(total // RANGE_ROWS + 1, len(keys) or 1)
     boundaries = sorted({keys[len(keys) * k // ranges] for k in range(1, ranges)})

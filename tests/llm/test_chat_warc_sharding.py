@@ -200,3 +200,30 @@ def test_one_more_shard_moves_little(make_docs):
     docs = make_docs([(i, f"text {i}") for i in range(2000)])
     a, b = ({r.doc_id: r.shard for r in o6.shard(docs, n, 64, 1.25).collect()} for n in (8, 9))
     assert sum(a[i] != b[i] for i in a) < 2000 * 0.3  # 1/9 must move; random placing moves 8/9
+
+
+def test_uncompressed_archives_cut_by_spark_are_read_whole(shipped, tmp_dir):
+    from basketlens.llm import op05_warc as o5
+    rows = [(i, f"http://h{i % 7}.org/p{i}", "x" * 300 + "\r\n\r\nWARC/1.0\r\n" + str(i)) for i in range(400)]
+    pages = shipped.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    keys = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1000"}
+    before = {k: shipped.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            shipped.conf.set(k, v)
+        o5.write_archives(o5.records(pages), f"{tmp_dir}/plain", compression="none")
+        assert o5.may_split(shipped, f"{tmp_dir}/plain")
+        assert sorted(r[0] for r in o5.read_archives(shipped, f"{tmp_dir}/plain").select("page_id").collect()) == list(range(400))
+    finally:
+        for k, v in before.items():
+            shipped.conf.set(k, v)
+
+
+def test_equal_captures_are_cut_too(shipped, monkeypatch):
+    from basketlens.llm import op05_warc as o5
+    monkeypatch.setattr(o5, "RANGE_ROWS", 100)
+    monkeypatch.setattr(o5, "SAMPLE_KEYS", 200)
+    one = (None, "", "2024-01-01T00:00:00Z", None, "response", 0, "D", None)
+    many = shipped.createDataFrame([one] * 900 + [(5, "a)/", "2024-01-01T00:00:05Z", "http://a/", "response", 1, "E", None)], o5.ENTRY)
+    got = o5.merged_index(many.repartition(3)).groupBy("bucket").count().collect()
+    assert sum(r["count"] for r in got) == 901 and len(got) > 3 and max(r["count"] for r in got) < 400
