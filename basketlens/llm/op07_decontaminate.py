@@ -71,8 +71,8 @@ def test_blocks(benchmark: DataFrame, window: int, block_words: int, id_col: str
 
 
 def match_block(data: np.ndarray, bounds: np.ndarray, tests: Tests):
-    """Search one shard. Returns (words per row, hit positions' starts and widths, (row,
-    item) pairs, and per row the longest match)."""
+    """Search one shard. Returns words per row, hit positions with their widths, (row, item)
+    pairs, and per row the longest match."""
     n = len(bounds) - 1
     data = tb.LOWER[data]
     starts, ends, rows = tb.word_spans(data, bounds, tb.ALNUM)
@@ -94,26 +94,37 @@ def match_block(data: np.ndarray, bounds: np.ndarray, tests: Tests):
         coded = np.full(len(tests.hashes), -1)
     index = sx.SuffixIndex(symbols)
     got = index.search(coded, tests.starts, tests.ends, tests.widths)
-    number = got["hi"] - got["lo"]
-    use = np.flatnonzero(number)
-    number = number[use]
-    flat = np.arange(int(number.sum())) - np.repeat(np.cumsum(number) - number, number) + np.repeat(got["lo"][use], number)
+    use = np.flatnonzero(got["hi"] > got["lo"])
+    # tests with equal windows have one range; ranges of one width are disjoint, so hits grow with the shard
+    ranges, of = np.unique(np.stack([got["lo"][use], got["hi"][use], tests.widths[use]]), axis=1, return_inverse=True)
+    number = ranges[1] - ranges[0]
+    flat = np.arange(int(number.sum())) - np.repeat(np.cumsum(number) - number, number) + np.repeat(ranges[0], number)
     spot = index.sa[flat]
-    test = np.repeat(use, number)
-    return {"n_words": np.diff(at), "at": at, "row": row_of[spot], "word": spot - row_of[spot] - at[:-1][row_of[spot]],
-            "width": tests.widths[test], "item": tests.items[test], **_longest(index.sa, got, row_of, at)}
-
-
-def _longest(sa: np.ndarray, got: dict[str, np.ndarray], row_of: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+    row = row_of[spot]
+    which = np.repeat(np.arange(len(number)), number)
+    # items by range, then by (row, range) without repeats
+    held = np.unique(np.stack([of.reshape(-1), tests.items[use]]), axis=1)
+    met = np.unique(np.stack([row, which]), axis=1)
+    first = tb.row_starts(held[0], len(number) + 1)
+    items = first[met[1] + 1] - first[met[1]]
+    taken = np.arange(int(items.sum())) - np.repeat(np.cumsum(items) - items, items) + np.repeat(first[met[1]], items)
+    return {"n_words": np.diff(at), "at": at, "row": row, "word": spot - row - at[:-1][row], "width": ranges[2][which],
+            "item_row": np.repeat(met[0], items), "item": held[1][taken], **_longest(index, got, row_of, at)}
+
+
+def _longest(index: sx.SuffixIndex, got: dict, row_of: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     """Each matching row's longest match: of its first test suffix, at its leftmost place."""
-    match, which = np.empty_like(got["match"]), np.empty_like(got["which"])
-    match[sa], which[sa] = got["match"], got["which"]
+    sa = index.sa
+    match, order = np.empty_like(got["match"]), np.empty_like(sa)
+    match[sa], order[sa] = got["match"], np.arange(len(sa))
     best = np.maximum.reduceat(match, at[:-1] + np.arange(len(at) - 1)) if len(sa) else match
     spot = np.flatnonzero((match > 0) & (match == best[row_of]))
-    spot = spot[np.lexsort((spot, which[spot], row_of[spot]))]
+    which = index.first_test(got["ranges"], order[spot], match[spot])
+    sort = np.lexsort((spot, which, row_of[spot]))
+    spot, which = spot[sort], which[sort]
     row, first = np.unique(row_of[spot], return_index=True)
     spot = spot[first]
-    return {"longest": match[spot], "longest_test": which[spot], "longest_row": row, "longest_word": spot - row - at[row]}
+    return {"longest": match[spot], "longest_test": which[first], "longest_row": row, "longest_word": spot - row - at[row]}
 
 
 def _merge(old: np.ndarray, starts: np.ndarray, widths: np.ndarray, n: int) -> np.ndarray:
@@ -172,12 +183,14 @@ def _rows(part: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray, tests: Tes
     spans, items = before["hit_spans"], before["item_ids"]
     best = [[a or 0, b, c] for a, b, c in zip(*(before[c] for c in ("longest_match", "longest_item", "longest_word")))]
     order = np.argsort(got["row"], kind="stable")
-    row, word, width, item = (got[k][order] for k in ("row", "word", "width", "item"))
+    row, word, width = (got[k][order] for k in ("row", "word", "width"))
+    item_order = np.argsort(got["item_row"], kind="stable")
+    item_at, item = tb.row_starts(got["item_row"][item_order], n), got["item"][item_order]
     at = tb.row_starts(row, n)
     for r in np.unique(row):
         cut = slice(at[r], at[r + 1])
         spans[r] = _merge(np.asarray(spans[r], np.int64), word[cut], width[cut], int(got["n_words"][r])).tolist()
-        items[r] = np.union1d(np.asarray(items[r], np.int64), item[cut]).tolist()
+        items[r] = np.union1d(np.asarray(items[r], np.int64), item[item_at[r]:item_at[r + 1]]).tolist()
     for r, length, item, at_word in zip(*(x.tolist() for x in (
             got["longest_row"], got["longest"], tests.items[got["longest_test"]], got["longest_word"]))):
         if length > best[r][0]:

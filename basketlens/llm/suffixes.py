@@ -118,31 +118,59 @@ class SuffixIndex:
         Returns per suffix ``longest`` (words of its longest verbatim match), ``place`` (a
         position of one, -1 if none) and the range ``lo``, ``hi`` in the order of all
         occurrences of its first ``widths`` words (empty if there is none); and per place of
-        the order ``match``, the longest prefix that its suffix shares with a test suffix,
-        and ``which``, the first such test suffix. Ranges of one depth are equal or
-        disjoint, so each depth writes a place once.
+        the order ``match``, the longest prefix that its suffix shares with a test suffix
+        that was followed so deep (see below), and ``ranges`` for :meth:`first_test`.
+
+        Ranges of one depth are equal or disjoint and lie inside ranges of the depth before,
+        so a place's match is the number of ranges over it, which differences count. A suffix
+        whose occurrences all follow occurrences of the suffix one word before it is not
+        followed beyond its window: it ends where that one ends, and never matches longer.
+        So an item found verbatim takes steps in proportion to its length, not its square.
         """
-        m = len(starts)
+        m, n = len(starts), len(self.sa)
         longest, place = np.zeros(m, np.int64), np.full(m, -1, np.int64)
         lo_w, hi_w = np.zeros(m, np.int64), np.zeros(m, np.int64)
-        lo, hi = np.zeros(m, np.int64), np.full(m, len(self.sa), np.int64)
-        match, which = np.zeros(len(self.sa), np.int64), np.full(len(self.sa), -1, np.int64)
+        lo, hi = np.zeros(m, np.int64), np.full(m, n, np.int64)
+        change, ranges = np.zeros(n + 1, np.int64), []
+        led = np.zeros(m, bool)  # ends where the suffix before it ends
+        follows = np.zeros(m, bool)
+        follows[1:] = (starts[1:] == starts[:-1] + 1) & (ends[1:] == ends[:-1])
+        widest = int(widths.max(initial=0))
         alive, depth = np.arange(m), 0
-        alive = alive[(starts < ends) & (len(self.sa) > 0)]
+        alive = alive[(starts < ends) & (n > 0)]
         while len(alive):
             symbol = tests[starts[alive] + depth]
             a = self._bound(lo[alive], hi[alive], depth, symbol)
             b = self._bound(a, hi[alive], depth, symbol + 1)
             found = (symbol >= 0) & (a < b)
+            if depth >= widest:  # alive suffixes whose neighbour before found as many places, one word deeper
+                number = np.full(m, -1, np.int64)
+                number[alive[found]] = (b - a)[found]
+                before = follows[alive] & (number[alive - 1] == hi[alive] - lo[alive])
+                led[alive[before]] = True
+                found &= ~before
             alive, a, b = alive[found], a[found], b[found]
             lo[alive], hi[alive] = a, b
             depth += 1
             longest[alive], place[alive] = depth, self.sa[a]
-            _, one = np.unique(a, return_index=True)
-            number = b[one] - a[one]
-            flat = np.arange(int(number.sum())) + np.repeat(a[one] - np.cumsum(number) + number, number)
-            match[flat], which[flat] = depth, np.repeat(alive[one], number)
+            at, one = np.unique(a, return_index=True)
+            np.add.at(change, at, 1)
+            np.add.at(change, b[one], -1)
+            ranges.append((at, alive[one]))
             full = widths[alive] == depth
             lo_w[alive[full]], hi_w[alive[full]] = a[full], b[full]
             alive = alive[starts[alive] + depth < ends[alive]]
-        return {"longest": longest, "place": place, "lo": lo_w, "hi": hi_w, "match": match, "which": which}
+        root = np.maximum.accumulate(np.where(led, -1, np.arange(m)))  # the nearest suffix before that is not led
+        longest[led] = longest[root[led]] - (np.flatnonzero(led) - root[led])
+        place[led] = place[root[led]] + (np.flatnonzero(led) - root[led])
+        return {"longest": longest, "place": place, "lo": lo_w, "hi": hi_w, "match": np.cumsum(change[:-1]), "ranges": ranges}
+
+    @staticmethod
+    def first_test(ranges: list[tuple[np.ndarray, np.ndarray]], places: np.ndarray, depths: np.ndarray) -> np.ndarray:
+        """The first test suffix that shares ``depths`` words with the suffix at each place."""
+        out = np.full(len(places), -1, np.int64)
+        for depth in np.unique(depths[depths > 0]).tolist():
+            at, first = ranges[depth - 1]
+            use = depths == depth
+            out[use] = first[np.searchsorted(at, places[use], side="right") - 1]
+        return out

@@ -173,3 +173,63 @@ def test_words_cross_pieces():
     assert rows.tolist() == [0, 0, 1, 1, 1, 1]
     hashes = tb.word_hashes(data, starts, ends)
     assert len(set(hashes.tolist())) == 2
+
+
+def test_long_verbatim_items_and_repetitive_texts_stay_cheap():
+    import time
+    import tracemalloc
+
+    from basketlens.llm import op07_decontaminate as o7
+    from basketlens.llm import textbytes as tb
+    import pyarrow as pa
+
+    def run(text, item):
+        data, bounds = tb.text_bytes(pa.array([text], pa.string()))
+        return o7.match_block(data, bounds, o7.encode_tests([5], [item], 13))
+    words = [f"w{i}" for i in range(16_000)]
+    begun = time.time()
+    got = run("x " + " ".join(words) + " y", " ".join(words))
+    assert got["longest"].tolist() == [16_000] and got["longest_word"].tolist() == [1] and time.time() - begun < 5
+    tracemalloc.start()
+    got = run("a " * 200_000, "a " * 800)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["longest"].tolist() == [800] and set(got["item"].tolist()) == {5} and len(got["word"]) == 200_000 - 12
+    assert peak < 200e6
+
+
+def test_search_finds_every_longest_match():
+    import random
+
+    import numpy as np
+
+    from basketlens.llm import suffixes as sx
+    rng = random.Random(8)
+    for trial in range(60):
+        alphabet = rng.choice([1, 2, 5])
+        shard = [rng.randrange(alphabet) for _ in range(rng.randint(1, 60))]
+        items = [[rng.randrange(alphabet) for _ in range(rng.randint(1, 30))] for _ in range(3)]
+        if rng.random() < .5:
+            items[0] = shard[5:25] or [0]
+        flat = np.array([x for i in items for x in i])
+        ends = np.repeat(np.cumsum([len(i) for i in items]), [len(i) for i in items])
+        starts, widths = np.arange(len(flat)), np.minimum(3, ends - np.arange(len(flat)))
+        index = sx.SuffixIndex(np.array(shard))
+        got = index.search(flat, starts, ends, widths)
+
+        def shared(i, j, end):
+            k = 0
+            while i + k < len(shard) and j + k < end and shard[i + k] == flat[j + k]:
+                k += 1
+            return k
+        table = np.array([[shared(i, j, ends[j]) for j in starts] for i in range(len(shard))])
+        assert got["longest"].tolist() == table.max(0).tolist()
+        for j, p in enumerate(got["place"].tolist()):
+            assert p < 0 or table[p, j] == got["longest"][j]
+        assert [int((table[:, j] >= widths[j]).sum()) for j in starts] == (got["hi"] - got["lo"]).tolist()
+        best = got["match"].max()
+        assert best == table.max()  # the row's longest match
+        at = np.flatnonzero(got["match"] == best)
+        first = index.first_test(got["ranges"], at, got["match"][at]) if best else []
+        for place, test in zip(at, first):
+            assert test == np.flatnonzero(table[index.sa[place]] == best)[0]
