@@ -3,6 +3,7 @@ IQR outliers (ops 25-29)."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import gross_revenue, return_adjusted_revenue
-from ..session import materialize
-from .ranks import exact_quantiles
+from .selection import exact_quantiles_of, extent, valid
 
 CID = "customer_id"
 
@@ -29,65 +29,43 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     bias-corrected, G1 / G2), missing_pct, unique_count. Moments only for numeric,
     non-boolean columns; constant columns get skewness = kurtosis = 0.
 
-    One pass over ``df``: a (column, value) -> count table for all columns, written once.
-    Everything else reads that table: central moments in two passes (mean, then powers of
-    the deviations), the exact median from the counted values, distinct and missing counts.
+    Counts, missing values, least, greatest and all moments come from one aggregate;
+    medians by histogram refinement (``selection``), which shuffles bins; distinct counts
+    from one aggregate of (column, value) that combines before it shuffles. No column is
+    sorted and nothing of the size of ``df`` is written. The result has one row per column
+    and is built from these few numbers.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in columns if _is_numeric(fields[c])]
     other = [c for c in columns if c not in numeric]
-    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("num"),
-                      F.lit(None).cast("string").alias("str")) for c in numeric]
-    items += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"),
-                       F.col(c).cast("string").alias("str")) for c in other]
-    counted = materialize(
-        df.select(F.explode(F.array(*items)).alias("x")).select("x.*")
-        .groupBy("column", "num", "str").agg(F.count(F.lit(1)).alias("c")), "profile-counts")
-    null = F.lit(None).cast("double")
-    parts = []
-    if numeric:
-        num = counted.where(F.col("column").isin(numeric))
-        valid = F.col("num").isNotNull() & ~F.isnan("num")
-        first = num.groupBy("column").agg(
-            F.sum("c").alias("_total"), F.coalesce(F.sum(F.when(valid, F.col("c"))), F.lit(0)).alias("_n"),
-            (F.sum(F.when(valid, F.col("c") * F.col("num"))) / F.sum(F.when(valid, F.col("c"))))
-            .alias("mean"), F.count_if(valid).alias("unique_count"))
-        per_col = first.select("column", "mean")
-        d = F.col("num") - F.col("mean")
-        cen = (num.where(valid).join(per_col, "column").groupBy("column").agg(
-            F.sum(F.col("c") * d * d).alias("_s2"), F.sum(F.col("c") * d * d * d).alias("_s3"),
-            F.sum(F.col("c") * d * d * d * d).alias("_s4")))
-        med = exact_quantiles(num, "num", [0.5], by=["column"], label="profile", weight="c").select(
-            "column", F.col("q_0").alias("median"))
-        st = first.join(cen, "column", "left").join(med, "column", "left")
-        n = F.col("_n").cast("double")
-        m2, m3, m4 = F.col("_s2") / n, F.col("_s3") / n, F.col("_s4") / n
-        const = F.col("_s2") == 0
-        skew = (F.when(F.col("_n") < 3, null).when(const, F.lit(0.0))
-                .otherwise(F.sqrt(n * (n - 1)) / (n - 2) * m3 / F.pow(m2, 1.5)))
-        kurt = (F.when(F.col("_n") < 4, null).when(const, F.lit(0.0))
-                .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (m4 / (m2 * m2) - 3) + 6)))
-        std = F.when(F.col("_n") >= 2, F.sqrt(F.col("_s2") / (n - 1)))
-        parts.append(st.select(
-            "column", "mean", "median", std.alias("std"), skew.alias("skewness"),
-            kurt.alias("kurtosis"),
-            ((F.col("_total") - F.col("_n")) * 100.0 / F.col("_total")).alias("missing_pct"),
-            F.col("unique_count").cast("long")))
-    if other:
-        oth = counted.where(F.col("column").isin(other))
-        has = F.col("str").isNotNull()
-        agg = oth.groupBy("column").agg(F.sum("c").alias("_total"),
-                                        F.coalesce(F.sum(F.when(has, F.col("c"))), F.lit(0)).alias("_n"),
-                                        F.count_if(has).alias("unique_count"))
-        parts.append(agg.select(
-            "column", null.alias("mean"), null.alias("median"), null.alias("std"),
-            null.alias("skewness"), null.alias("kurtosis"),
-            ((F.col("_total") - F.col("_n")) * 100.0 / F.col("_total")).alias("missing_pct"),
-            F.col("unique_count").cast("long")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    aggs = [F.count(F.lit(1)).alias("total"), *extent(numeric)]
+    for i, c in enumerate(numeric):
+        v = valid(c)
+        aggs += [F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"), F.skewness(v).alias(f"skew{i}"), F.kurtosis(v).alias(f"kurt{i}")]
+    aggs += [F.count(F.col(f"`{c}`")).alias(f"_s{i}") for i, c in enumerate(other)]
+    row = df.agg(*aggs).first()
+    null = F.lit(None)
+    items = [F.struct(F.lit(i).alias("k"), valid(c).alias("num"), null.cast("string").alias("str")) for i, c in enumerate(numeric)]
+    items += [F.struct(F.lit(len(numeric) + i).alias("k"), null.cast("double").alias("num"), F.col(f"`{c}`").cast("string").alias("str"))
+              for i, c in enumerate(other)]
+    distinct = {r["k"]: r["n"] for r in df.select(F.inline(F.array(*items))).where("num is not null or str is not null")
+                .groupBy("k", "num", "str").agg(F.lit(1)).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    medians = exact_quantiles_of(df, numeric, [0.5], row)
+    total, out = row["total"], []
+    for i, c in enumerate(numeric):
+        n, skew, kurt = row[f"_n{i}"], None, None
+        constant = n and row[f"_lo{i}"] == row[f"_hi{i}"]
+        if n >= 3:
+            skew = 0.0 if constant else math.sqrt(n * (n - 1)) / (n - 2) * row[f"skew{i}"]
+        if n >= 4:
+            kurt = 0.0 if constant else (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * row[f"kurt{i}"] + 6)
+        std = None if n < 2 else 0.0 if constant else row[f"std{i}"]
+        out.append((c, row[f"mean{i}"], medians[c].values[0], std, skew, kurt, (total - n) * 100.0 / total if total else None, distinct.get(i, 0)))
+    for i, c in enumerate(other):
+        out.append((c, None, None, None, None, None, (total - row[f"_s{i}"]) * 100.0 / total if total else None,
+                    distinct.get(len(numeric) + i, 0)))
+    return df.sparkSession.createDataFrame(out, "column string, mean double, median double, std double, skewness double, kurtosis double, "
+                                                "missing_pct double, unique_count long")
 
 
 # ---------------------------------------------------------------------------------------
@@ -180,26 +158,18 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """One row: q1, q3, iqr, lower_bound, upper_bound, outlier_count (strictly outside),
     outlier_pct (share of non-null values); all zero for an empty column.
 
-    One pass over ``df``: values are counted and written once; the exact quartiles
-    (distributed ranking, linear interpolation) and the outlier count both read the counts.
+    Exact quartiles by histogram refinement (``selection``); the outliers are counted by one
+    further aggregate. Nothing is sorted or written.
     """
-    spark = df.sparkSession
-    v = F.col(column).cast("double")
-    counted = materialize(df.select(v.alias("_v")).where(v.isNotNull() & ~F.isnan(v))
-                          .groupBy("_v").agg(F.count(F.lit(1)).alias("_c")), "iqr-counts")
-    q = exact_quantiles(counted, "_v", [0.25, 0.75], label="iqr", weight="_c").first()
-    if q is None or not q["n"]:
-        return spark.createDataFrame(
-            [(0.0, 0.0, 0.0, 0.0, 0.0, 0, 0.0)],
-            "q1 double, q3 double, iqr double, lower_bound double, upper_bound double, "
-            "outlier_count long, outlier_pct double")
-    q1, q3 = float(q["q_0"]), float(q["q_1"])
+    q = exact_quantiles_of(df, [column], [0.25, 0.75])[column]
+    schema = ("q1 double, q3 double, iqr double, lower_bound double, upper_bound double, "
+              "outlier_count long, outlier_pct double")
+    if not q.n:
+        return df.sparkSession.createDataFrame([(0.0, 0.0, 0.0, 0.0, 0.0, 0, 0.0)], schema)
+    q1, q3 = q.values
     iqr = q3 - q1
     lo, hi = q1 - k * iqr, q3 + k * iqr
-    out = F.col("_v")
-    agg = counted.agg(F.coalesce(F.sum(F.when((out < lo) | (out > hi), F.col("_c"))), F.lit(0))
-                      .alias("outlier_count"), F.sum("_c").alias("_n"))
-    return agg.select(F.lit(q1).alias("q1"), F.lit(q3).alias("q3"), F.lit(iqr).alias("iqr"),
-                      F.lit(lo).alias("lower_bound"), F.lit(hi).alias("upper_bound"),
-                      F.col("outlier_count").cast("long"),
-                      (F.col("outlier_count") / F.col("_n")).alias("outlier_pct"))
+    v = valid(column)
+    return df.agg(F.count_if((v < lo) | (v > hi)).alias("outlier_count")).select(
+        F.lit(q1).alias("q1"), F.lit(q3).alias("q3"), F.lit(iqr).alias("iqr"), F.lit(lo).alias("lower_bound"), F.lit(hi).alias("upper_bound"),
+        F.col("outlier_count").cast("long"), (F.col("outlier_count") / F.lit(q.n)).alias("outlier_pct"))

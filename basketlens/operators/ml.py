@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, parallel_map
 from .metrics import classification_metrics
-from .ranks import exact_quantiles, running_totals
+from .ranks import running_totals
+from .selection import exact_quantiles_of
 
 CID = "customer_id"
 LABEL = "churn_label"
@@ -124,7 +125,7 @@ def scale_features(train: DataFrame, test: DataFrame, columns: Sequence[str]):
 
 class MedianImputer(Estimator, _ScalerParams, DefaultParamsReadable, DefaultParamsWritable):
     """Fill nulls and NaN with the column's exact median (even count: the midpoint; a column
-    without values: 0). All medians come from one distributed ranking of counted values."""
+    without values: 0). All medians come from one selection by histogram refinement."""
 
     @keyword_only
     def __init__(self, *, inputCols=None, outputCols=None):
@@ -133,10 +134,8 @@ class MedianImputer(Estimator, _ScalerParams, DefaultParamsReadable, DefaultPara
 
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
         cols = self.getInputCols()
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("x")).select("x.*")
-        found = {r["k"]: r["q_0"] for r in exact_quantiles(long, "v", [0.5], by=["k"], label="median").collect()}
-        fills = [float(found.get(i) or 0.0) for i in range(len(cols))]
+        found = exact_quantiles_of(df, cols, [0.5])
+        fills = [float(found[c].values[0] or 0.0) for c in cols]
         return self._copyValues(MedianImputerModel(inputCols=cols, outputCols=self.getOutputCols(), fills=fills))
 
 
