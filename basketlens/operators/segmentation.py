@@ -1,21 +1,20 @@
-"""Customer segmentation (ops 44-47) on Spark ML k-means.
+"""Customer segmentation (ops 44-47): k-means whose starts, of all k, share their scans.
 
-Documented deviation: silhouette uses squared Euclidean distance (ClusteringEvaluator,
-linear in the data) instead of the all-pairs Euclidean version (quadratic).
+Documented deviation: silhouette uses squared Euclidean distance (linear in the data) instead of the all-pairs Euclidean version (quadratic).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import parallel_map
 from .features import modes
 from .ml import PopulationStandardScaler
 
@@ -42,17 +41,123 @@ def clustering_features(master: DataFrame, id_col: str = CID):
     return vec, names, scaler
 
 
-def train_kmeans(features: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300,
-                 parallelism: int = 4):
-    """Op 46: best (lowest cost; ties -> first seed) of ``n_init`` seeded k-means runs,
-    fitted concurrently. Returns (model, labelled)."""
-    def fit(i):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
-                   predictionCol="cluster").fit(features)
-        return m.summary.trainingCost, i, m
-
-    runs = parallel_map(fit, range(n_init), parallelism)
-    model = min(runs, key=lambda r: (r[0], r[1]))[2]
+SEED_ROWS = 4096  # rows (by a hash of their features) among which starting centres are drawn
+
+
+class Clustering:
+    """Centres of one k-means run; ``transform`` adds ``cluster``, the nearest centre (ties:
+    the lowest)."""
+
+    def __init__(self, centres: np.ndarray, cost: float):
+        self.centres, self.cost = centres, cost
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return list(self.centres)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        shared = df.sparkSession.sparkContext.broadcast(self.centres)
+
+        @F.pandas_udf("int")
+        def nearest(x):
+            import pandas as pd
+            return pd.Series(_distances(np.stack(x.to_numpy()), shared.value).argmin(1) if len(x) else [], dtype="int32")
+        return df.withColumn("cluster", nearest(vector_to_array("features")))
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances, rows x centres."""
+    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0)
+
+
+def _totals(features: DataFrame, cells: int, add) -> np.ndarray:
+    """Sums over all rows of what ``add(x, out)`` puts into ``cells`` numbers: one job, one
+    partial sum per task."""
+    def count(batches):
+        out = np.zeros(cells)
+        for batch in batches:
+            if batch.num_rows:
+                add(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1), out)
+        used = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(out[used])], ["cell", "v"])
+    got = (features.select(vector_to_array("features").alias("x")).mapInArrow(count, "cell long, v double")
+           .groupBy("cell").agg(F.sum("v").alias("v")).toPandas())
+    out = np.zeros(cells)
+    out[got["cell"].to_numpy(np.int64)] = got["v"].to_numpy()
+    return out
+
+
+def _pass(features: DataFrame, runs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For every run (its centres) the rows, vector sums, sums of squared lengths and costs of
+    its clusters, all from one scan: the centres of all runs are stacked into one matrix."""
+    d = runs[0].shape[1]
+    bounds = np.cumsum([0, *(len(r) for r in runs)])
+    shared = features.sparkSession.sparkContext.broadcast(np.concatenate(runs))
+    width = d + 3
+
+    def add(x, out):
+        all_ = _distances(x, shared.value)
+        square = (x * x).sum(1)
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            near = all_[:, a:b].argmin(1)
+            columns = [np.ones(len(x)), square, all_[np.arange(len(x)), a + near], *x.T]
+            for c, values in enumerate(columns):
+                out[a * width + c:b * width:width] += np.bincount(near, weights=values, minlength=b - a)
+    got = _totals(features, int(bounds[-1]) * width, add).reshape(-1, width)
+    return [(g[:, 0], g[:, 3:], g[:, 1], g[:, 2]) for g in np.split(got, bounds[1:-1])]
+
+
+def starting_centres(features: DataFrame, sizes: Sequence[int], seed: int) -> list[np.ndarray]:
+    """One start per entry of ``sizes``: distance-weighted draws (k-means++) from SEED_ROWS
+    rows, the first in the order of a seeded hash. The bound only limits where runs start."""
+    values = vector_to_array("features")
+    rows = (features.select(values.alias("x")).orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(SEED_ROWS).collect())
+    x = np.array([r["x"] for r in rows], float)
+    out = []
+    for i, k in enumerate(sizes):
+        rng = np.random.default_rng([seed, i])
+        chosen = [int(rng.integers(len(x)))]
+        near = _distances(x, x[chosen]).min(1)
+        while len(chosen) < min(k, len(x)):
+            share = near / near.sum() if near.sum() > 0 else None
+            chosen.append(int(rng.choice(len(x), p=share)))
+            near = np.minimum(near, _distances(x, x[chosen[-1:]])[:, 0])
+        out.append(x[chosen])
+    return out
+
+
+def kmeans_runs(features: DataFrame, sizes: Sequence[int], seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> list[tuple]:
+    """Lloyd's iterations of all runs together, one job per iteration: each scan of the rows
+    updates every run that still moves. A run ends when its centres move by at most ``tol``
+    times the mean variance (squared), or after ``max_iter`` scans; an empty cluster keeps its
+    centre. Returns per run (centres, cost, rows, vector sums, squared lengths), costs and sums
+    taken at the final centres in one last scan."""
+    runs = starting_centres(features, sizes, seed)
+    n, sums, squares, _ = _pass(features, [np.zeros((1, runs[0].shape[1]))])[0]
+    variance = (squares[0] - (sums[0] ** 2).sum() / n[0]) / n[0] / runs[0].shape[1] if n[0] else 0.0
+    moving = list(range(len(runs)))
+    for _ in range(max_iter):
+        if not moving:
+            break
+        still = []
+        for i, (rows, sums, _, _) in zip(moving, _pass(features, [runs[i] for i in moving])):
+            new = np.where(rows[:, None] > 0, sums / np.maximum(rows, 1)[:, None], runs[i])
+            if ((new - runs[i]) ** 2).sum() > tol * variance:
+                still.append(i)
+            runs[i] = new
+        moving = still
+    return [(centres, float(cost.sum()), rows, sums, squares) for centres, (rows, sums, squares, cost) in zip(runs, _pass(features, runs))]
+
+
+def train_kmeans(features: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300):
+    """Op 46: best (lowest cost; ties -> first) of ``n_init`` starts, all updated in the same
+    scans. Returns (:class:`Clustering`, labelled)."""
+    features = features.persist()
+    try:
+        runs = kmeans_runs(features, [k] * n_init, seed, max_iter)
+    finally:
+        features.unpersist()
+    best = min(runs, key=lambda r: r[1])
+    model = Clustering(best[0], best[1])
     return model, model.transform(features)
 
 
@@ -61,24 +166,46 @@ def total_sum_of_squares(features: DataFrame, names: Sequence[str]) -> float:
     return float(sum((row[c] or 0.0) for c in names))
 
 
+def silhouettes(features: DataFrame, clusterings: list[tuple]) -> list[float]:
+    """Mean silhouette (squared Euclidean) of each clustering, from the sums of its clusters
+    and one scan for all of them; a row alone in its cluster counts 0."""
+    shared = features.sparkSession.sparkContext.broadcast(clusterings)
+
+    def add(x, out):
+        square = (x * x).sum(1)[:, None]
+        for i, (centres, _, rows, sums, squares) in enumerate(shared.value):
+            near = _distances(x, centres).argmin(1)
+            total = squares + rows * square - 2 * x @ sums.T  # to all rows of each cluster
+            own = rows[near]
+            at = np.arange(len(x))
+            a = np.maximum(total[at, near], 0) / np.maximum(own - 1, 1)
+            others = np.where(rows > 0, total / np.maximum(rows, 1), np.inf)
+            others[at, near] = np.inf
+            b = others.min(1)
+            top = np.maximum(a, b)
+            good = (own > 1) & np.isfinite(b) & (top > 0)
+            out[i] += np.where(good, (b - a) / np.where(good, top, 1), 0).sum()
+    n = max(float(clusterings[0][2].sum()), 1.0)
+    return (_totals(features, len(clusterings), add) / n).tolist()
+
+
 def choose_k(features: DataFrame, names: Sequence[str], k_values: Sequence[int] = range(2, 11),
-             seed: int = 42, n_init: int = 10, parallelism: int = 4) -> DataFrame:
+             seed: int = 42, n_init: int = 10) -> DataFrame:
     """Op 45: per k, inertia, silhouette (squared Euclidean) and Calinski-Harabasz, with the
-    argmax k of each score flagged."""
+    argmax k of each score flagged. All starts of all k share every scan of the rows."""
     spark = features.sparkSession
-    n = features.count()
-    tss = total_sum_of_squares(features, names)
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                                    distanceMeasure="squaredEuclidean")
-
-    def score_k(k):
-        model, labelled = train_kmeans(features, k, seed, n_init, parallelism=1)
-        w = float(model.summary.trainingCost)
-        sil = float(evaluator.evaluate(labelled))
-        ch = ((tss - w) / (k - 1)) / (w / (n - k)) if w > 0 and n > k else 0.0
-        return (int(k), w, sil, ch)
-
-    rows = parallel_map(score_k, list(k_values), parallelism)
+    k_values = [int(k) for k in k_values]
+    features = features.persist()
+    try:
+        tss = total_sum_of_squares(features, names)
+        runs = kmeans_runs(features, [k for k in k_values for _ in range(n_init)], seed)
+        best = [min(runs[i * n_init:(i + 1) * n_init], key=lambda r: r[1]) for i in range(len(k_values))]
+        sil = silhouettes(features, best)
+    finally:
+        features.unpersist()
+    n, rows = float(best[0][2].sum()), []
+    for k, (_, w, *_), s in zip(k_values, best, sil):
+        rows.append((k, w, s, ((tss - w) / (k - 1)) / (w / (n - k)) if w > 0 and n > k else 0.0))
     best_sil = max(rows, key=lambda r: (r[2], -r[0]))[0]
     best_ch = max(rows, key=lambda r: (r[3], -r[0]))[0]
     return spark.createDataFrame(
