@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import textbytes as tb
 
 STEP = 4              # bytes between windows; a window is two steps
@@ -175,16 +176,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int, sample
     bytes of each label, in the order of a hash of the id; a text that would pass the bytes is
     passed over. Both bounds are applied to ids and lengths, before any text is fetched.
     Weights restore the labels' shares over all rows. A doc_id that several documents or
-    labels name counts once: its shortest text and its lower label. A label of which no text
+    labels name counts once: its shortest text (of those the first in order) and its lower label. A label of which no text
     fits raises an error; there is no other bound on a text's length."""
     usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
               .where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     counts = {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()}
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    sizes = texts.select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.xxhash64("text").alias("said"))
-    found = (sizes.join(usable, "doc_id").groupBy("doc_id", "quality").agg(F.min("bytes").alias("bytes"), F.min_by("said", "bytes").alias("said"))
-             .withColumn("h", F.xxhash64("doc_id")))
+    sizes = texts.select("doc_id", F.octet_length("text").cast("long").alias("bytes"))
+    found = materialize(sizes.join(usable, "doc_id").groupBy("doc_id", "quality").agg(F.min("bytes").alias("bytes"))
+                        .withColumn("h", F.xxhash64("doc_id")), "labelled")
     chosen = []
     for label in (0, 1):  # at most sample_rows narrow rows each
         rows, held = found.where(F.col("quality") == label).orderBy("h", "doc_id").limit(sample_rows).collect(), 0
@@ -196,9 +197,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int, sample
             raise ValueError(f"no text of label {label} among the first {sample_rows} fits sample_bytes / 2 = {sample_bytes // 2}")
     if not chosen:
         return [], np.zeros(0), np.zeros(0)
-    ids = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["bytes"], r["said"]) for r in chosen], "doc_id long, bytes long, said long"))
-    fetched = (texts.withColumn("bytes", F.octet_length("text").cast("long")).withColumn("said", F.xxhash64("text"))
-               .join(ids, ["doc_id", "bytes", "said"]).dropDuplicates(["doc_id"]).select("doc_id", "text"))
+    ids = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["bytes"]) for r in chosen], "doc_id long, bytes long"))
+    fetched = (texts.join(ids, "doc_id").where(F.octet_length("text") == F.col("bytes"))
+               .groupBy("doc_id").agg(F.min("text").alias("text")))
     raw = {r["doc_id"]: r["text"].encode("utf-8", "replace") for r in fetched.toLocalIterator()}
     chosen.sort(key=lambda r: (r["h"], r["doc_id"]))
     y = np.array([r["quality"] for r in chosen], np.float64)
