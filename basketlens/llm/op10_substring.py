@@ -27,8 +27,7 @@ _END = np.zeros(256, bool)
 _END[np.frombuffer(b".!?", np.uint8)] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
-LAST_RANK = (1 << 63) - 1
-RANK = "decimal(38,0)"
+NO_RANK = 1 << 62  # rows without a rank come from here on, by a hash of their text
 #: keeps digests of lines apart from those of units
 _LINE = np.uint64(0x6C696E65)
 
@@ -174,18 +173,18 @@ def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col:
     ``removed_spans`` appended (flat code-point offsets [start, end, ...) in the original).
 
     The lowest ``rank_col`` (default: the id) keeps a unit, inside a document its first
-    place; a null rank comes last. Rows of equal rank are ranked by a hash of their text, so
-    each keeps what is not in another; only rows equal in rank and text count as one document.
+    place. Rows with a null rank come last (after all ranks below 2^62), one by one in the
+    order of a hash of their text; of these only rows of equal text count as one document.
+    Rows that share a rank count as one document and keep the same units.
     With ``whole_lines``, every later copy of a line goes; ``min_words`` then only bounds runs
     of sentences inside lines that are not copies themselves. Null texts stay null, empty
     ones empty; a document may become empty but no row is lost. Other columns pass unread, whatever their names. An empty table gives none.
     """
-    rank = F.coalesce(F.col(f"`{rank_col or id_col}`").cast("long"), F.lit(LAST_RANK)).cast(RANK)
-    tie = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 1).cast(RANK)
-    rank = (rank * F.lit(1 << 32).cast("decimal(11,0)") * F.lit(1 << 31).cast("decimal(11,0)") + tie).cast(RANK)
+    said = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 2)
+    rank = F.coalesce(F.col(f"`{rank_col or id_col}`").cast("long"), F.lit(NO_RANK) + said)
     line_words = min_words if whole_lines else 0
     units = docs.select(rank.alias("_rank"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        lambda batches: unit_digests(batches, line_words), f"_rank {RANK}, d1 long, d2 long")
+        lambda batches: unit_digests(batches, line_words), "_rank long, d1 long, d2 long")
     repeated = (units.groupBy("d1", "d2").agg(F.min("_rank").alias("_keeper"), F.max("_rank").alias("_last"))
                 .where(F.col("_keeper") < F.col("_last")).drop("_last"))
     copies = (units.join(repeated, ["d1", "d2"]).where(F.col("_rank") > F.col("_keeper"))

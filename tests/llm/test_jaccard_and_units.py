@@ -155,11 +155,12 @@ def spans_of(text):
 
 
 def rank(d, text):
-    return 1 << 63 if d is None else d, xxhash.xxh64((text or "").encode(), seed=42).intdigest() >> 1
+    return (1 << 62) + (xxhash.xxh64((text or "").encode(), seed=42).intdigest() >> 2) if d is None else d
 
 
 def brute_dedup(rows, min_words):
-    """Documents in rank order; rows of one rank by a hash of their text."""
+    """Documents in rank order, those without an id by a hash of their text; rows of one rank
+    keep the same units."""
     first = {}
     for d, text in rows:
         for a, b in spans_of(text or ""):
