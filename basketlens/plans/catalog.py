@@ -50,5 +50,5 @@ def comparable_frame(df: DataFrame) -> DataFrame:
 
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
-    from . import queries_features, queries_analysis, queries_models, queries_ml, queries_contracts, queries_scale  # noqa: F401
+    from . import queries_features, queries_analysis, queries_models, queries_ml, queries_contracts, queries_scale, queries_stores  # noqa: F401
     return REGISTRY
