@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +91,52 @@ def kolmogorov_sf(lam: float) -> float:
     return min(1.0, max(0.0, 2.0 * s))
 
 
+def mann_whitney_counts(n1: int, n2: int) -> list[int]:
+    """Numbers of the orders of n1 and n2 distinct values with U = 0, 1, ..., n1 * n2: the
+    coefficients of the product over i of (1 - q^(n2 + i)) / (1 - q^i), in whole numbers."""
+    few, many = sorted((n1, n2))
+    ways = [1] + [0] * (few * many)
+    for i in range(1, few + 1):
+        for u in range(len(ways) - 1, many + i - 1, -1):
+            ways[u] -= ways[u - many - i]
+        for u in range(i, len(ways)):
+            ways[u] += ways[u - i]
+    return ways
+
+
+def mann_whitney_exact(u: float, n1: int, n2: int) -> float:
+    """Two-sided p-value of U without ties: twice the exact upper tail, at most 1."""
+    n1, n2 = int(n1), int(n2)
+    ways = mann_whitney_counts(n1, n2)
+    upper = math.ceil(max(u, n1 * n2 - u))
+    return min(1.0, 2 * sum(ways[upper:]) / sum(ways))
+
+
+def kolmogorov_exact(d: float, n: int, m: int) -> float:
+    """P(D >= d) of the two-sample statistic without ties, by lattice paths: the share of the
+    paths from (0, 0) to (n, m) that touch |i/n - j/m| >= d. Of all paths to (i, j) the share
+    i / (i + j) comes from (i - 1, j), so shares mix along anti-diagonals and never
+    overflow. ``n + m`` steps over at most ``min(n, m) + 1`` places."""
+    n, m = sorted((int(n), int(m)))
+    if d <= 0:
+        return 1.0
+    # gaps are whole multiples of 1 / (n m): half of one forgives the rounding of d
+    limit = d * n * m - 0.5
+    touched = np.zeros(n + 1)
+    for s in range(1, n + m + 1):
+        low, high = max(0, s - m), min(n, s)
+        i = np.arange(low, high + 1)
+        stay = touched[low:high + 1] * (s - i)
+        if low:
+            touched[low:high + 1] = (stay + touched[low - 1:high] * i) / s
+        else:
+            stay[1:] += touched[:high] * i[1:]
+            touched[:high + 1] = stay / s
+        gap = np.abs(i * m - (s - i) * n)
+        touched[low:high + 1][gap >= limit] = 1.0
+    return float(min(1.0, touched[n]))
+
+
 def _vec(fn, *series):
     return pd.Series([None if any(v is None or (isinstance(v, float) and math.isnan(v)) for v in vals)
                       else fn(*vals) for vals in zip(*series)], dtype="float64")
@@ -108,3 +155,13 @@ def chi2_sf_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def kolmogorov_sf_udf(lam: pd.Series) -> pd.Series:
     return _vec(kolmogorov_sf, lam)
+
+
+@F.pandas_udf(T.DoubleType())
+def mann_whitney_exact_udf(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return _vec(mann_whitney_exact, u, n1, n2)
+
+
+@F.pandas_udf(T.DoubleType())
+def kolmogorov_exact_udf(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return _vec(kolmogorov_exact, d, n, m)

@@ -1,9 +1,11 @@
 """Rank and count tests (ops 30-33). Ranks and counts are computed in Spark; only the final
 tail probability runs in a pandas UDF over a one-row (or one-row-per-feature) frame.
 
-Documented deviations from the library defaults of the original: Mann-Whitney always uses
-the normal approximation (tie- and continuity-corrected); the two-sample KS p-value is the
-asymptotic Kolmogorov distribution at sqrt(n m / (n + m)) * D.
+Small samples have exact p-values: Mann-Whitney where the smaller one has at most
+``exact_rows`` values and none is tied (and n1 * n2 stays within ``exact_cells``; the normal
+approximation, tie- and continuity-corrected, holds elsewhere), the two-sample KS where the
+larger one has at most ``exact_rows`` values. KS takes that as an option: by default its
+p-value is the asymptotic Kolmogorov distribution at sqrt(n m / (n + m)) * D.
 """
 
 from __future__ import annotations
@@ -14,12 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import gross_revenue
-from ..functions.stats import chi2_sf_udf, kolmogorov_sf_udf, norm_sf_udf
+from ..functions.stats import chi2_sf_udf, kolmogorov_exact_udf, kolmogorov_sf_udf, mann_whitney_exact_udf, norm_sf_udf
 from ..session import materialize
 from .ranks import exact_quantiles, running_totals, tie_average_ranks
 
 CID = "customer_id"
 ALPHA = 0.05
+#: fixed values: the usual switch-over of the exact tests to their approximations
+EXACT_U_ROWS = 8
+EXACT_KS_ROWS = 10_000
 
 
 # ---------------------------------------------------------------------------------------
@@ -42,8 +47,8 @@ def mann_whitney_statistics(values: DataFrame, value: str, group: str) -> DataFr
     agg = ranked.agg(F.sum(F.col("_n1") * avg_rank).alias("_r1"),
                      F.sum("_n1").alias("n1"), F.sum("_n2").alias("n2"),
                      F.sum(F.col("_t").cast("double") ** 3 - F.col("_t")).alias("tie_term"),
-                     (F.sum("_s1") / F.sum("_n1")).alias("mean_1"),
-                     (F.sum("_s2") / F.sum("_n2")).alias("mean_2"))
+                     F.try_divide(F.sum("_s1"), F.sum("_n1")).alias("mean_1"),
+                     F.try_divide(F.sum("_s2"), F.sum("_n2")).alias("mean_2"))
     n1 = F.col("n1").cast("double")
     return agg.select((F.col("_r1") - n1 * (n1 + 1) / 2.0).alias("statistic"),
                       F.col("n1").cast("long"), F.col("n2").cast("long"), "tie_term",
@@ -51,15 +56,21 @@ def mann_whitney_statistics(values: DataFrame, value: str, group: str) -> DataFr
                       F.coalesce("mean_2", F.lit(0.0)).alias("mean_2"))
 
 
-def mann_whitney_pvalue(stats: DataFrame) -> DataFrame:
-    """Two-sided p-value, normal approximation with tie and continuity correction."""
+def mann_whitney_pvalue(stats: DataFrame, exact_rows: int = EXACT_U_ROWS, exact_cells: int = 100_000) -> DataFrame:
+    """Two-sided p-value: exact where no values are tied, the smaller sample has at most
+    ``exact_rows`` and n1 * n2 is at most ``exact_cells`` (0 for none); else the normal
+    approximation with tie and continuity correction. Any number of rows, one per test."""
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
     u = F.col("statistic")
     big_u = F.greatest(u, n1 * n2 - u)
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
-    z = (big_u - n1 * n2 / 2.0 - 0.5) / sigma
-    p = F.when((n1 == 0) | (n2 == 0) | (sigma == 0) | sigma.isNull(), F.lit(1.0)).otherwise(
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
+    z = F.try_divide(big_u - n1 * n2 / 2.0 - 0.5, sigma)
+    exact = (F.least(n1, n2) <= exact_rows) & (n1 * n2 <= exact_cells) & (n1 > 0) & (n2 > 0) & (F.col("tie_term") == 0)
+    # a function over Arrow sees all rows whatever the branch: others get nulls
+    small = [F.when(exact, x) for x in (u, n1, n2)]
+    p = F.when(exact, mann_whitney_exact_udf(*small)).when(
+        (n1 == 0) | (n2 == 0) | (sigma == 0) | sigma.isNull(), F.lit(1.0)).otherwise(
         F.least(F.lit(1.0), 2.0 * norm_sf_udf(z)))
     return stats.withColumn("p_value", p)
 
@@ -251,7 +262,7 @@ def drift_statistics_split(df: DataFrame, side: str, numeric: Sequence[str],
         num = counts.where(F.col("kind") == "numeric").select("feature", F.col("num").alias("value"),
                                                               "c0", "c1")
         rt = running_totals(num, ["value"], by=["feature"], sums=["c0", "c1"], label="ks")
-        gap = F.abs(F.col("_cum_c0") / F.col("_tot_c0") - F.col("_cum_c1") / F.col("_tot_c1"))
+        gap = F.abs(F.try_divide("_cum_c0", "_tot_c0") - F.try_divide("_cum_c1", "_tot_c1"))
         ks = rt.groupBy("feature").agg(F.max(gap).alias("_d"), F.max("_tot_c0").alias("n_ref"),
                                        F.max("_tot_c1").alias("n_cur"))
         ok = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
@@ -293,11 +304,14 @@ def drift_statistics(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
     return drift_statistics_split(both, "_side", numeric, categorical)
 
 
-def _with_pvalues(s: DataFrame) -> DataFrame:
+def _with_pvalues(s: DataFrame, exact_rows: int = 0) -> DataFrame:
     n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    lam = F.sqrt(n * m / (n + m)) * F.col("statistic")
-    p_ks = F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(1.0)).otherwise(
-        kolmogorov_sf_udf(lam))
+    lam = F.sqrt(F.try_divide(n * m, n + m)) * F.col("statistic")
+    exact = (F.greatest(n, m) <= exact_rows) & (n > 0) & (m > 0) & (F.col("feature_type") == "numeric")
+    p_ks = F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(1.0))
+    if exact_rows:
+        p_ks = p_ks.when(exact, kolmogorov_exact_udf(*[F.when(exact, x) for x in (F.col("statistic"), n, m)]))
+    p_ks = p_ks.otherwise(kolmogorov_sf_udf(lam))
     p_chi = F.when(F.col("dof") <= 0, F.lit(1.0)).otherwise(
         chi2_sf_udf("statistic", F.col("dof").cast("double")))
     p = F.when(F.col("feature_type") == "numeric", p_ks).otherwise(p_chi)
@@ -308,13 +322,14 @@ def _with_pvalues(s: DataFrame) -> DataFrame:
 
 
 def feature_drift_split(df: DataFrame, side: str, numeric: Sequence[str],
-                        categorical: Sequence[str]) -> DataFrame:
+                        categorical: Sequence[str], exact_rows: int = 0) -> DataFrame:
     """Drift table from one frame with a 0/1 ``side`` column (e.g. a period flag)."""
-    return _with_pvalues(drift_statistics_split(df, side, numeric, categorical))
+    return _with_pvalues(drift_statistics_split(df, side, numeric, categorical), exact_rows)
 
 
 def feature_drift(ref: DataFrame, cur: DataFrame, numeric: Sequence[str],
-                  categorical: Sequence[str]) -> DataFrame:
+                  categorical: Sequence[str], exact_rows: int = 0) -> DataFrame:
     """Drift table: feature, feature_type, test_name, statistic, p_value, drift_detected,
-    sorted by p_value."""
-    return _with_pvalues(drift_statistics(ref, cur, numeric, categorical))
+    sorted by p_value. ``exact_rows`` (usually EXACT_KS_ROWS; 0: never): KS p-values are exact
+    while neither side has more values."""
+    return _with_pvalues(drift_statistics(ref, cur, numeric, categorical), exact_rows)
