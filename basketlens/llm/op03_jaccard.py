@@ -135,7 +135,7 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
     found = ids.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     width = 4096  # bytes of one of Spark's bitmaps
     out = np.zeros(max(BITS // 8, width), np.uint8)
-    for r in found.toLocalIterator():
+    for r in found.collect():  # at most BITS / 32768 rows, by one job whatever the partitions
         out[(r["k"] - 1) * width:r["k"] * width] = np.frombuffer(r["bits"], np.uint8)
     return out
 
