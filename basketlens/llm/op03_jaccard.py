@@ -342,6 +342,23 @@ def reach_of_union(pct: int):
     return ask
 
 
+def partial_unions(batches):
+    """(family, token, times) of rows (family, tokens): each token of a family once a batch,
+    so that the many equal tokens of near copies never become rows."""
+    for batch in batches:
+        tokens = batch.column(1)
+        offsets = tokens.offsets.to_numpy()
+        flat = tokens.values.to_numpy()[offsets[0]:offsets[-1]]
+        family = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+        order = np.lexsort((flat, family))
+        flat, family = flat[order], family[order]
+        first = np.ones(len(flat), bool)
+        first[1:] = (flat[1:] != flat[:-1]) | (family[1:] != family[:-1])
+        at = np.flatnonzero(first)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(family[at]), pa.array(flat[at]), pa.array(np.diff(np.append(at, len(flat))))], ["family", "token", "times"])
+
+
 def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int, label: str) -> DataFrame:
     """Of queries (nid, n, home, family) those that the token counts of a whole family leave
     in reach: |query and union| tokens at most can be common with a member, which has at
@@ -351,8 +368,8 @@ def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int
     A family's union is stored in buckets of about UNION tokens, by token; a query sends one
     part of its set to each bucket, and a task asks one bucket for BLOCK queries."""
     inside = placed_sets(members, sets, label)
-    union = materialize(inside.select("family", F.explode("tokens").alias("token"))
-                        .groupBy("family", "token").agg((F.count(F.lit(1)) > 1).alias("several")), label)
+    union = materialize(inside.select("family", "tokens").mapInArrow(partial_unions, "family long, token long, times long")
+                        .groupBy("family", "token").agg((F.sum("times") > 1).alias("several")), label)
     size = union.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / UNION).cast("long").alias("buckets"))
     load = asked.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
     shape = materialize(size.join(load, "family"), label)
