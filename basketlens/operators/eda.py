@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import gross_revenue, return_adjusted_revenue
+from ..session import materialize
 from .selection import exact_quantiles_of, extent, valid
 
 CID = "customer_id"
@@ -24,6 +25,20 @@ def _is_numeric(dt: T.DataType) -> bool:
 # op 25: column profile
 
 
+def distinct_counts(df: DataFrame, numeric: Sequence[str], other: Sequence[str] = ()) -> dict[str, int]:
+    """Exact numbers of distinct values per column (nulls and, in ``numeric``, NaN are none), from
+    one aggregate of (column, value) that combines before it shuffles: a row holds one value."""
+    null = F.lit(None)
+    items = [F.struct(F.lit(i).alias("k"), valid(c).alias("num"), null.cast("string").alias("str")) for i, c in enumerate(numeric)]
+    items += [F.struct(F.lit(len(numeric) + i).alias("k"), null.cast("double").alias("num"), F.col(f"`{c}`").cast("string").alias("str"))
+              for i, c in enumerate(other)]
+    if not items:
+        return {}
+    got = {r["k"]: r["n"] for r in df.select(F.inline(F.array(*items))).where("num is not null or str is not null")
+           .groupBy("k", "num", "str").agg(F.lit(1)).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {c: got.get(i, 0) for i, c in enumerate([*numeric, *other])}
+
+
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: mean, median, std (sample), skewness and excess kurtosis (both
     bias-corrected, G1 / G2), missing_pct, unique_count. Moments only for numeric,
@@ -32,24 +47,24 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Counts, missing values, least, greatest and all moments come from one aggregate;
     medians by histogram refinement (``selection``), which shuffles bins; distinct counts
     from one aggregate of (column, value) that combines before it shuffles. No column is
-    sorted and nothing of the size of ``df`` is written. The result has one row per column
-    and is built from these few numbers.
+    sorted. The profiled columns are written once, so that what ``df`` is made of (joins) runs
+    once and not once per scan. The result has one row per column and is built from these
+    few numbers.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in columns if _is_numeric(fields[c])]
     other = [c for c in columns if c not in numeric]
+    session = df.sparkSession
+    df = materialize(df.select(*[valid(c).alias(f"n{i}") for i, c in enumerate(numeric)],
+                               *[F.col(f"`{c}`").cast("string").alias(f"s{i}") for i, c in enumerate(other)]), "profile")
+    names, numeric, other = [*numeric, *other], [f"n{i}" for i in range(len(numeric))], [f"s{i}" for i in range(len(other))]
     aggs = [F.count(F.lit(1)).alias("total"), *extent(numeric)]
     for i, c in enumerate(numeric):
         v = valid(c)
         aggs += [F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"), F.skewness(v).alias(f"skew{i}"), F.kurtosis(v).alias(f"kurt{i}")]
     aggs += [F.count(F.col(f"`{c}`")).alias(f"_s{i}") for i, c in enumerate(other)]
     row = df.agg(*aggs).first()
-    null = F.lit(None)
-    items = [F.struct(F.lit(i).alias("k"), valid(c).alias("num"), null.cast("string").alias("str")) for i, c in enumerate(numeric)]
-    items += [F.struct(F.lit(len(numeric) + i).alias("k"), null.cast("double").alias("num"), F.col(f"`{c}`").cast("string").alias("str"))
-              for i, c in enumerate(other)]
-    distinct = {r["k"]: r["n"] for r in df.select(F.inline(F.array(*items))).where("num is not null or str is not null")
-                .groupBy("k", "num", "str").agg(F.lit(1)).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    distinct = distinct_counts(df, numeric, other)
     medians = exact_quantiles_of(df, numeric, [0.5], row)
     total, out = row["total"], []
     for i, c in enumerate(numeric):
@@ -60,11 +75,10 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if n >= 4:
             kurt = 0.0 if constant else (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * row[f"kurt{i}"] + 6)
         std = None if n < 2 else 0.0 if constant else row[f"std{i}"]
-        out.append((c, row[f"mean{i}"], medians[c].values[0], std, skew, kurt, (total - n) * 100.0 / total if total else None, distinct.get(i, 0)))
+        out.append((names[i], row[f"mean{i}"], medians[c].values[0], std, skew, kurt, (total - n) * 100.0 / total if total else None, distinct[c]))
     for i, c in enumerate(other):
-        out.append((c, None, None, None, None, None, (total - row[f"_s{i}"]) * 100.0 / total if total else None,
-                    distinct.get(len(numeric) + i, 0)))
-    return df.sparkSession.createDataFrame(out, "column string, mean double, median double, std double, skewness double, kurtosis double, "
+        out.append((names[len(numeric) + i], None, None, None, None, None, (total - row[f"_s{i}"]) * 100.0 / total if total else None, distinct[c]))
+    return session.createDataFrame(out, "column string, mean double, median double, std double, skewness double, kurtosis double, "
                                                 "missing_pct double, unique_count long")
 
 
