@@ -173,8 +173,10 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     outlier_pct (share of non-null values); all zero for an empty column.
 
     Exact quartiles by histogram refinement (``selection``); the outliers are counted by one
-    further aggregate. Nothing is sorted or written.
+    further aggregate. Nothing is sorted; the one column is written once, so that what ``df``
+    is made of (joins) runs once and not once per scan.
     """
+    df, column = materialize(df.select(valid(column).alias("v")), "outliers"), "v"
     q = exact_quantiles_of(df, [column], [0.25, 0.75])[column]
     schema = ("q1 double, q3 double, iqr double, lower_bound double, upper_bound double, "
               "outlier_count long, outlier_pct double")

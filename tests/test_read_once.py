@@ -54,3 +54,9 @@ def test_a_profile_computes_its_input_once(spark, counted):
     assert seen.value == 300
     assert [got[c]["unique_count"] for c in ("a", "s", "c")] == [49, 7, 75]
     assert got["c"]["missing_pct"] == 75 and got["s"]["mean"] is None and got["a"]["median"] is not None
+
+
+def test_outliers_compute_their_input_once(spark, counted):
+    count, seen = counted
+    got = E.iqr_outliers(count(numbers(spark)), "a").first()
+    assert seen.value == 300 and got["q1"] < got["q3"] and got["outlier_count"] == 0
