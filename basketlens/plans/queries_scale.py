@@ -8,11 +8,12 @@ import uuid
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..operators import eda as E
 from ..operators import ml as ML
 from ..operators import segmentation as SG
 from ..operators import sketches as SK
 from ..operators.selection import valid
-from ..session import app_folder
+from ..session import app_folder, materialize
 from ..sources import adapter as A
 from .catalog import register
 from .queries_analysis import PROFILE_NUMERIC, PROFILE_OTHER
@@ -30,22 +31,22 @@ _EACH = [(c, True) for c in PROFILE_NUMERIC] + [(c, False) for c in PROFILE_OTHE
     f"TRUE AS quartiles_within_bound FROM shop_tx" for c, _ in _EACH)),
           note="profile merged from written month states, held against exact counts within the stated errors")
 def q_sketched_profile(spark, sf):
-    tx = A.transactions(spark, sf)
+    tx = materialize(A.transactions(spark, sf).select(*PROFILE_NUMERIC, *PROFILE_OTHER), "profile")  # joined once
     path = f"{app_folder(spark)}/states-{uuid.uuid4().hex}"
     SK.write_states(SK.month_states(tx, "transaction_date", PROFILE_NUMERIC, PROFILE_OTHER), path)
     probs = (0.25, 0.5, 0.75)
     told = {r["column"]: r for r in SK.merged_profile(SK.read_states(spark, path), probs).collect()}
     aggs = []
-    for i, (c, numeric) in enumerate(_EACH):
-        v = valid(c) if numeric else F.col(c)
-        aggs += [F.count_distinct(v).alias(f"d{i}")]
-        for j in range(len(probs)) if numeric else ():
+    for i, c in enumerate(PROFILE_NUMERIC):
+        v = valid(c)
+        for j in range(len(probs)):
             q = F.lit(told[c][f"approx_q_{j}"])
             aggs += [F.count_if(v < q).alias(f"lt{i}_{j}"), F.count_if(v <= q).alias(f"le{i}_{j}")]
     exact = tx.agg(F.count(F.lit(1)).alias("rows"), *aggs).first()
+    distinct = E.distinct_counts(tx, PROFILE_NUMERIC, PROFILE_OTHER)
     off, out = SK.rank_bound(), []
     for i, (c, numeric) in enumerate(_EACH):
-        n, r = exact[f"d{i}"], told[c]
+        n, r = distinct[c], told[c]
         near = abs(r["approx_distinct"] - n) <= SK.distinct_bound() * n
         inside = all(exact[f"lt{i}_{j}"] <= (p + off) * exact["rows"] and exact[f"le{i}_{j}"] >= (p - off) * exact["rows"]
                      for j, p in enumerate(probs)) if numeric else True

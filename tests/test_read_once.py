@@ -60,3 +60,17 @@ def test_outliers_compute_their_input_once(spark, counted):
     count, seen = counted
     got = E.iqr_outliers(count(numbers(spark)), "a").first()
     assert seen.value == 300 and got["q1"] < got["q3"] and got["outlier_count"] == 0
+
+
+@pytest.mark.parametrize("name", ["sketched_profile_within_bounds"])
+def test_queries_join_the_lines_once(spark, counted, tmp_dir, monkeypatch, name):
+    sf, lines = shop(spark, tmp_dir)
+    count, seen = counted
+    real = A.transactions
+    monkeypatch.setattr(A, "transactions", lambda *a, **b: count(real(*a, **b)))
+    rows = load_all()[name].build(spark, sf).collect()
+    assert seen.value == lines
+    if name.startswith("sketched"):
+        assert all(r["rows"] == lines and r["distinct_within_bound"] and r["quartiles_within_bound"] for r in rows)
+    else:
+        assert len(rows) == 11 and abs(sum(r["monetary"] for r in rows)) < 1e-6
