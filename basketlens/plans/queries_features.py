@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import gross_revenue, return_adjusted_revenue
 from ..operators import features as FT
 from ..operators import quality as Q
+from ..session import materialize
 from ..sources import adapter as A
 from .catalog import register
 from .sqlkit import days, oracle, ts
@@ -375,8 +376,10 @@ def q_compact_evf(spark, sf):
 
 
 def compact_master(spark, sf):
-    tx = A.transactions(spark, sf, with_category=False)
-    return FT.compact_master(A.customers(spark, sf), FT.compact_rfm(tx),
+    # the fact join runs once: both per-customer aggregates read the written lines
+    tx = materialize(A.transactions(spark, sf, with_category=False).select(
+        "customer_id", "transaction_date", "quantity", "discount_pct", "return_flag", "revenue"), "compact-lines")
+    return FT.compact_master(A.customers(spark, sf), FT.compact_rfm(tx, "revenue"),
                              FT.compact_transaction_features(tx),
                              FT.compact_event_features(A.events(spark, sf)))
 

@@ -62,7 +62,7 @@ _SCALE_COLS = [c for c in FT.MODEL_FEATURES if c != "is_premium"]
         f"avg(CAST({c} AS DOUBLE)) AS mu_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS sd_{c}" for c in _SCALE_COLS)
     + " FROM c_master) st", _SCALE_COLS, ctes=COMPACT_SQL))
 def q_scaled(spark, sf):
-    d = FT.model_data(compact_master(spark, sf)).select("customer_id", *_SCALE_COLS)
+    d = materialize(FT.model_data(compact_master(spark, sf)).select("customer_id", *_SCALE_COLS), "scale-input")
     scaled, _, _ = ML.scale_features(d, d, _SCALE_COLS)
     return scaled
 

@@ -62,7 +62,7 @@ def test_outliers_compute_their_input_once(spark, counted):
     assert seen.value == 300 and got["q1"] < got["q3"] and got["outlier_count"] == 0
 
 
-@pytest.mark.parametrize("name", ["sketched_profile_within_bounds"])
+@pytest.mark.parametrize("name", ["sketched_profile_within_bounds", "standard_scaled_model_data"])
 def test_queries_join_the_lines_once(spark, counted, tmp_dir, monkeypatch, name):
     sf, lines = shop(spark, tmp_dir)
     count, seen = counted
