@@ -69,17 +69,35 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0)
 
 
+BLOCK_ROWS = 2048  # rows of one block of a matrix
+
+
+def blocks(features: DataFrame) -> DataFrame:
+    """The ``features`` vectors as (rows, block): matrices of up to BLOCK_ROWS rows, so that a
+    scan hands tasks bytes instead of vectors that are unpacked again in every iteration."""
+    if features.columns == ["rows", "block"]:
+        return features
+
+    def pack(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(a, BLOCK_ROWS)
+                x = np.ascontiguousarray(part.column(0).flatten().to_numpy(), dtype="<f8")
+                yield pa.RecordBatch.from_arrays([pa.array([part.num_rows], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["rows", "block"])
+    return features.select(vector_to_array("features").alias("x")).mapInArrow(pack, "rows int, block binary")
+
+
 def _totals(features: DataFrame, cells: int, add) -> np.ndarray:
     """Sums over all rows of what ``add(x, out)`` puts into ``cells`` numbers: one job, one
     partial sum per task."""
     def count(batches):
         out = np.zeros(cells)
         for batch in batches:
-            if batch.num_rows:
-                add(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1), out)
+            for rows, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                add(np.frombuffer(block.as_buffer(), "<f8").reshape(rows, -1), out)
         used = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(out[used])], ["cell", "v"])
-    got = (features.select(vector_to_array("features").alias("x")).mapInArrow(count, "cell long, v double")
+    got = (blocks(features).mapInArrow(count, "cell long, v double")
            .groupBy("cell").agg(F.sum("v").alias("v")).toPandas())
     out = np.zeros(cells)
     out[got["cell"].to_numpy(np.int64)] = got["v"].to_numpy()
@@ -95,13 +113,20 @@ def _pass(features: DataFrame, runs: list[np.ndarray]) -> list[tuple[np.ndarray,
     width = d + 3
 
     def add(x, out):
-        all_ = _distances(x, shared.value)
+        at = np.arange(len(x))
         square = (x * x).sum(1)
+        all_ = shared.value @ x.T  # _distances, with a run's centres as rows next to each other
+        all_ *= -2
+        all_ += square
+        all_ += (shared.value * shared.value).sum(1)[:, None]
+        np.maximum(all_, 0, out=all_)
+        columns = np.column_stack([np.ones(len(x)), square, np.zeros(len(x)), x])
         for a, b in zip(bounds[:-1], bounds[1:]):
-            near = all_[:, a:b].argmin(1)
-            columns = [np.ones(len(x)), square, all_[np.arange(len(x)), a + near], *x.T]
-            for c, values in enumerate(columns):
-                out[a * width + c:b * width:width] += np.bincount(near, weights=values, minlength=b - a)
+            near = all_[a:b].argmin(0)
+            columns[:, 2] = all_[a + near, at]
+            member = np.zeros((b - a, len(x)))
+            member[near, at] = 1.0
+            out[a * width:b * width] += (member @ columns).ravel()
     got = _totals(features, int(bounds[-1]) * width, add).reshape(-1, width)
     return [(g[:, 0], g[:, 3:], g[:, 1], g[:, 2]) for g in np.split(got, bounds[1:-1])]
 
@@ -132,6 +157,14 @@ def kmeans_runs(features: DataFrame, sizes: Sequence[int], seed: int = 42, max_i
     centre. Returns per run (centres, cost, rows, vector sums, squared lengths), costs and sums
     taken at the final centres in one last scan."""
     runs = starting_centres(features, sizes, seed)
+    features = blocks(features).persist()
+    try:
+        return _iterated(features, runs, max_iter, tol)
+    finally:
+        features.unpersist()
+
+
+def _iterated(features: DataFrame, runs: list[np.ndarray], max_iter: int, tol: float) -> list[tuple]:
     n, sums, squares, _ = _pass(features, [np.zeros((1, runs[0].shape[1]))])[0]
     variance = (squares[0] - (sums[0] ** 2).sum() / n[0]) / n[0] / runs[0].shape[1] if n[0] else 0.0
     moving = list(range(len(runs)))
@@ -151,11 +184,7 @@ def kmeans_runs(features: DataFrame, sizes: Sequence[int], seed: int = 42, max_i
 def train_kmeans(features: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300):
     """Op 46: best (lowest cost; ties -> first) of ``n_init`` starts, all updated in the same
     scans. Returns (:class:`Clustering`, labelled)."""
-    features = features.persist()
-    try:
-        runs = kmeans_runs(features, [k] * n_init, seed, max_iter)
-    finally:
-        features.unpersist()
+    runs = kmeans_runs(features, [k] * n_init, seed, max_iter)
     best = min(runs, key=lambda r: r[1])
     model = Clustering(best[0], best[1])
     return model, model.transform(features)
@@ -195,14 +224,10 @@ def choose_k(features: DataFrame, names: Sequence[str], k_values: Sequence[int]
     argmax k of each score flagged. All starts of all k share every scan of the rows."""
     spark = features.sparkSession
     k_values = [int(k) for k in k_values]
-    features = features.persist()
-    try:
-        tss = total_sum_of_squares(features, names)
-        runs = kmeans_runs(features, [k for k in k_values for _ in range(n_init)], seed)
-        best = [min(runs[i * n_init:(i + 1) * n_init], key=lambda r: r[1]) for i in range(len(k_values))]
-        sil = silhouettes(features, best)
-    finally:
-        features.unpersist()
+    tss = total_sum_of_squares(features, names)
+    runs = kmeans_runs(features, [k for k in k_values for _ in range(n_init)], seed)
+    best = [min(runs[i * n_init:(i + 1) * n_init], key=lambda r: r[1]) for i in range(len(k_values))]
+    sil = silhouettes(features, best)
     n, rows = float(best[0][2].sum()), []
     for k, (_, w, *_), s in zip(k_values, best, sil):
         rows.append((k, w, s, ((tss - w) / (k - 1)) / (w / (n - k)) if w > 0 and n > k else 0.0))

@@ -142,7 +142,7 @@ def q_clustering_features(spark, sf):
 
 
 def _segment_input(spark, sf):
-    vec, names, _ = SG.clustering_features(master(spark, sf))
+    vec, names, _ = SG.clustering_features(materialize(master(spark, sf), "segment-master"))
     return materialize(vec.select("customer_id", *names, "features"), "cluster-input"), names
 
 

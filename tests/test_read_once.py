@@ -2,9 +2,13 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from basketlens.operators import eda as E
+from basketlens.operators import features as FT
 from basketlens.plans.catalog import load_all
 from basketlens.sources import adapter as A
 
@@ -74,3 +78,21 @@ def test_queries_join_the_lines_once(spark, counted, tmp_dir, monkeypatch, name)
         assert all(r["rows"] == lines and r["distinct_within_bound"] and r["quartiles_within_bound"] for r in rows)
     else:
         assert len(rows) == 11 and abs(sum(r["monetary"] for r in rows)) < 1e-6
+
+
+def test_segments_compute_the_master_table_once(spark, counted, monkeypatch):
+    from basketlens.plans import queries_ml as Q
+    count, seen = counted
+    rows = spark.createDataFrame([(i, float(i % 3), float(i % 3 * 7 + i % 2)) for i in range(90)], "customer_id long, a double, b double")
+    monkeypatch.setattr(Q, "master", lambda spark, sf: count(rows))
+    assert load_all()["kmeans_cluster_sizes"].build(spark, "").first() == (3, 90) and seen.value == 90
+
+
+def test_iterations_scan_blocks_of_rows(spark):
+    from basketlens.operators import segmentation as SG
+    rows = spark.range(5000).selectExpr("array(id % 7.0D, id * 0.5D) AS x").select(array_to_vector("x").alias("features")).coalesce(2)
+    made = SG.blocks(rows)
+    assert made.count() < 12 and made.agg(F.sum("rows")).first()[0] == 5000 and SG.blocks(made) is made
+    (n, sums, squares, costs), = SG._pass(rows, [np.array([[0.0, 0.0], [3.0, 1e9]])])
+    assert n.tolist() == [5000, 0] and np.allclose(sums[0], [sum(i % 7 for i in range(5000)), 0.5 * 4999 * 2500])
+    assert np.isclose(squares[0], costs[0]) and sums[1].tolist() == [0, 0]
