@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,18 +100,20 @@ def _line_summary(tx: DataFrame, revenue: str | None, date_col: str) -> DataFram
 
 def transaction_summary(tx: DataFrame, revenue: str | None = None,
                         date_col: str = "transaction_date") -> DataFrame:
-    """Line count, net revenue, discount sum and return count per (customer, timestamp), per
-    (customer, payment method) and per (customer, category), in one pass over the fact table
-    (grouping sets, so all three shuffle their partial sums only). ``_of`` names the column
-    that a row is grouped by beside the customer.
+    """Line count, net revenue, discount sum and return count per (customer, timestamp, payment
+    method) and per (customer, category), in one pass over the fact table (grouping sets, so
+    both shuffle their partial sums only). ``_of`` is ``_t`` or ``category``, the first column
+    that a row is grouped by beside the customer. The lines of one purchase share time and payment
+    method, so these need no grouping each.
 
-    Every per-customer transaction feature follows from one of the three.
+    Every per-customer transaction feature follows from one of the two.
     """
     lines = _line_summary(tx, revenue, date_col)
-    beside = [c for c in ("_t", "payment_method", "category") if c in lines.columns]
-    of = F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in beside])
+    sets = [[c for c in names if c in lines.columns] for names in (("_t", "payment_method"), ("category",))]
+    sets = [names for names in sets if names]
+    of = F.coalesce(*[F.when(F.grouping(names[0]) == 0, F.lit(names[0])) for names in sets])
     sums = [F.sum(c).alias(c) for c in ("_n", "_rev", "_disc", "_ret") if c in lines.columns]
-    return (lines.groupingSets([[F.col(CID), F.col(c)] for c in beside], CID, *beside)
+    return (lines.groupingSets([[F.col(CID), *[F.col(c) for c in names]] for names in sets], CID, *[c for names in sets for c in names])
             .agg(*sums, of.alias("_of")))
 
 
@@ -120,9 +122,9 @@ def _grouped_by(s: DataFrame, column: str) -> DataFrame:
     return s.where(F.col("_of") == column) if "_of" in s.columns else s
 
 
-def _per_customer(s: DataFrame) -> DataFrame:
+def _per_customer(s: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
     return _grouped_by(s, "_t").groupBy(CID).agg(F.max("_t").alias("_last"), F.sum("_n").alias("frequency"),
-                                                 F.sum("_rev").alias("monetary_total"))
+                                                 F.sum("_rev").alias("monetary_total"), *more)
 
 
 def _rfm_from_aggregate(agg: DataFrame, snapshot) -> DataFrame:
@@ -308,21 +310,24 @@ def purchase_gap_stats(tx: DataFrame, date_col: str = "transaction_date") -> Dat
                                         F.lit(1).cast("long").alias("_n")))
 
 
-def _transaction_from_summary(s: DataFrame, snapshot) -> DataFrame:
+def _transaction_aggs(snapshot) -> list[Column]:
     snap = as_datetime(snapshot)
     d, n = F.col("_t"), F.col("_n")
     trailing = [F.coalesce(F.sum(F.when(d >= ts_literal(snap - _dt.timedelta(days=k)), F.col("_rev"))),
                            F.lit(0.0)).alias(f"revenue_last_{k}d") for k in TRAILING_DAYS]
-    main = _grouped_by(s, "_t").groupBy(CID).agg(
-        (F.sum("_disc") / F.sum("_n")).alias("avg_discount_received"),
-        (F.sum("_ret") / F.sum("_n")).alias("return_rate"),
-        *trailing,
-        (F.sum(F.when(F.month(d).isin(*PEAK_MONTHS), n).otherwise(0)) / F.sum(n))
-        .alias("peak_season_purchase_ratio"))
-    pay = modes(_grouped_by(s, "payment_method"), CID, {"preferred_payment": "payment_method"}, weight="_n")
+    return [(F.sum("_disc") / F.sum("_n")).alias("avg_discount_received"),
+            (F.sum("_ret") / F.sum("_n")).alias("return_rate"),
+            *trailing,
+            (F.sum(F.when(F.month(d).isin(*PEAK_MONTHS), n).otherwise(0)) / F.sum(n))
+            .alias("peak_season_purchase_ratio")]
+
+
+def _transaction_from_summary(s: DataFrame, main: DataFrame) -> DataFrame:
+    """``main`` has the :func:`_transaction_aggs` per customer."""
+    pay = modes(_grouped_by(s, "_t"), CID, {"preferred_payment": "payment_method"}, weight="_n")
     kinds = (_grouped_by(s, "category").where(F.col("category").isNotNull())
              .groupBy(CID).agg(F.count(F.lit(1)).alias("category_diversity")))
-    out = (main.join(kinds, CID, "left").withColumn("category_diversity", F.coalesce("category_diversity", F.lit(0).cast("long")))
+    out = (main.drop("_last", "frequency", "monetary_total").join(kinds, CID, "left").withColumn("category_diversity", F.coalesce("category_diversity", F.lit(0).cast("long")))
            .join(pay, CID, "left").join(_gaps_from_summary(s), CID, "left"))
     return out.select(
         CID, "category_diversity",
@@ -341,7 +346,7 @@ def transaction_features(tx: DataFrame, snapshot, revenue: str | None = None,
     # three branches (aggregates, payment mode, gaps) read one written summary, so the fact
     # table is scanned and joined once
     summary = materialize(transaction_summary(tx, revenue, date_col), "tx-summary")
-    return _transaction_from_summary(summary, snapshot)
+    return _transaction_from_summary(summary, _per_customer(summary, _transaction_aggs(snapshot)))
 
 
 # ---------------------------------------------------------------------------------------
@@ -398,9 +403,11 @@ def build_master(customers: DataFrame, tx: DataFrame, evt: DataFrame, tx_snapsho
     event_snapshot = event_snapshot or tx_snapshot
     ts_ = materialize(transaction_summary(tx), "tx-summary")
     es_ = materialize(event_summary(evt), "event-summary")
-    rfm = rfm_scores(_rfm_from_summary(ts_, tx_snapshot))
+    # RFM and transaction measures are one aggregate, written once
+    per = materialize(_per_customer(ts_, _transaction_aggs(tx_snapshot)), "per-customer")
+    rfm = rfm_scores(_rfm_from_aggregate(per, tx_snapshot))
     return master_feature_table(customers, rfm, _behavioral_from_summary(es_, event_snapshot),
-                                _transaction_from_summary(ts_, tx_snapshot), flag_missing)
+                                _transaction_from_summary(ts_, per), flag_missing)
 
 
 # ---------------------------------------------------------------------------------------

@@ -96,6 +96,11 @@ def transactions(spark: SparkSession, sf_dir: str, with_category: bool = True) -
         "l_discount", "l_returnflag")
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if with_category:
+        part = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("category"))
+        # left: a line whose product is missing stays, as it does without the category. Before the
+        # orders: lines of an order then lie together, so sums per order combine before they shuffle
+        li = li.join(part, li.l_partkey == part.p_partkey, "left")
     tx = li.join(o, li.l_orderkey == o.o_orderkey)
     cols = [
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
@@ -105,10 +110,7 @@ def transactions(spark: SparkSession, sf_dir: str, with_category: bool = True) -
         F.col("l_partkey").alias("product_id"),
     ]
     if with_category:
-        part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-        # left: a line whose product is missing stays, as it does without the category
-        tx = tx.join(part, tx.l_partkey == part.p_partkey, "left")
-        cols.append(F.col("p_type").alias("category"))
+        cols.append(F.col("category"))
     cols += [
         F.col("l_quantity").alias("quantity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),

@@ -96,3 +96,17 @@ def test_iterations_scan_blocks_of_rows(spark):
     (n, sums, squares, costs), = SG._pass(rows, [np.array([[0.0, 0.0], [3.0, 1e9]])])
     assert n.tolist() == [5000, 0] and np.allclose(sums[0], [sum(i % 7 for i in range(5000)), 0.5 * 4999 * 2500])
     assert np.isclose(squares[0], costs[0]) and sums[1].tolist() == [0, 0]
+
+
+def test_purchases_are_summed_with_their_payment_method(spark):
+    day = dt.datetime(2000, 1, 1)
+    lines = [(1, day, "card", "x", 1.0), (1, day, "card", "y", 2.0), (1, day, "cash", "x", 4.0), (1, day + dt.timedelta(days=3), None, None, 8.0), (None, day, "cash", "x", 16.0)]
+    tx = spark.createDataFrame(lines, "customer_id long, transaction_date timestamp_ntz, payment_method string, category string, revenue double")
+    tx = tx.withColumns({"discount_pct": F.lit(0.5), "return_flag": F.lit(1)})
+    got = FT.transaction_summary(tx, "revenue").collect()
+    by = lambda of, *names: sorted(((*(str(r[c]) for c in names), r["_n"], r["_rev"]) for r in got if r["_of"] == of))
+    assert {r["_of"] for r in got} == {"_t", "category"}
+    assert by("_t", "customer_id", "payment_method") == [("1", "None", 1, 8.0), ("1", "card", 2, 3.0), ("1", "cash", 1, 4.0), ("None", "cash", 1, 16.0)]
+    assert by("category", "customer_id", "category") == [("1", "None", 1, 8.0), ("1", "x", 2, 5.0), ("1", "y", 1, 2.0), ("None", "x", 1, 16.0)]
+    row = {r["customer_id"]: r for r in FT.transaction_features(tx, "2000-01-05", "revenue").collect()}[1]
+    assert (row["preferred_payment"], row["category_diversity"], row["purchase_gap_mean"], row["revenue_last_30d"]) == ("card", 2, 1.0, 15.0)
