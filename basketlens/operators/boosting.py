@@ -73,6 +73,16 @@ class Tree:
     def margin(self, x: np.ndarray, binned: bool) -> np.ndarray:
         return np.array(self.value)[self.leaf_of(x, binned)]
 
+    def margin_of_bins(self, columns: np.ndarray) -> np.ndarray:
+        """Margins of rows whose bins come feature by feature: one comparison of a whole
+        feature per split, and the leaves' numbers put together from below."""
+        def leaf(node: int):
+            if self.feature[node] < 0:
+                return np.int32(node)
+            left, right = leaf(self.left[node]), leaf(self.right[node])
+            return right + (columns[self.feature[node]] <= self.bin[node]) * (left - right)
+        return np.array(self.value)[np.broadcast_to(leaf(0), columns.shape[1])]
+
 
 @dataclass
 class Node:
@@ -115,42 +125,51 @@ def best_first(root: Node, leaves: int, depth: int) -> list[Node]:
     return chosen
 
 
-def _in_node(bins: np.ndarray, path: list[tuple[int, int, bool]]) -> np.ndarray:
-    out = np.ones(len(bins), bool)
+def _in_node(columns: np.ndarray, path: list[tuple[int, int, bool]]) -> np.ndarray:
+    out = np.ones(columns.shape[1], bool)
     for feature, cut, left in path:
-        out &= (bins[:, feature] <= cut) == left
+        out &= (columns[feature] <= cut) == left
     return out
 
 
-def _rows(batch: pa.RecordBatch, size: int) -> np.ndarray:
+def _columns(batch: pa.RecordBatch, size: int) -> np.ndarray:
+    """The bins of a batch, one contiguous array per feature."""
     column = batch.column(batch.schema.get_field_index("bins"))
-    return column.flatten().to_numpy().reshape(-1, size)
+    _, offsets, data = column.buffers()
+    start = int(np.frombuffer(offsets, np.int32)[column.offset])
+    return np.ascontiguousarray(np.frombuffer(data, np.int8, len(column) * size, start).reshape(-1, size).T)
 
 
 def histograms(rows: DataFrame, trees: list[Tree], paths: list, size: int, bins: int, share: float, salt: int) -> np.ndarray:
-    """Sums of (gradient, hessian, rows) for each path's node, feature and bin, in one job.
-    With ``share`` below 1 a tree sees the rows that a hash of (row, salt) picks."""
+    """Sums of (gradient, hessian, rows) for each path's node, feature and bin, in one job. No
+    row may be in two of the nodes: a row's node is found once, and each feature counted once
+    for all nodes. With ``share`` below 1 a tree sees the rows that a hash of (row, salt) picks."""
     shared = rows.sparkSession.sparkContext.broadcast((trees, paths))
     cells = size * bins
 
     def count(batches):
         trees, paths = shared.value
-        out = np.zeros((3, len(paths) * cells))
+        out = np.zeros((3, len(paths), size, bins))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _rows(batch, size)
+            x = _columns(batch, size)
             y, w, margin = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("y", "w", "margin"))
             for tree in trees:
-                margin = margin + tree.margin(x, True)
-            p = 1 / (1 + np.exp(-margin))
-            sums = np.stack([w * (p - y), w * p * (1 - p), np.ones(len(y))])
+                margin = margin + tree.margin_of_bins(x)
             seen = batch.column(batch.schema.get_field_index("pick")).to_numpy() < share
+            node = np.full(len(y), -1)
             for k, path in enumerate(paths):
-                use = np.flatnonzero(_in_node(x, path) & seen)
-                at = (k * cells + np.arange(size) * bins + x[use]).reshape(-1)
-                for s in range(3):
-                    out[s] += np.bincount(at, weights=np.repeat(sums[s][use], size), minlength=out.shape[1])
+                node[_in_node(x, path) & seen] = k
+            use = np.flatnonzero(node >= 0)
+            y, w, margin, first = y[use], w[use], margin[use], node[use] * bins
+            p = 1 / (1 + np.exp(-margin))
+            g, h = w * (p - y), w * p * (1 - p)
+            for f in range(size):
+                at = first + x[f][use]
+                for s, weights in enumerate((g, h, None)):
+                    out[s, :, f] += np.bincount(at, weights=weights, minlength=len(paths) * bins).reshape(-1, bins)
+        out = out.reshape(3, -1)
         used = np.flatnonzero(out[2])
         yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(out[s][used]) for s in range(3))], ["cell", "g", "h", "n"])
     picked = rows.withColumn("pick", F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(1 << 20)) / F.lit(float(1 << 20)))
@@ -237,9 +256,10 @@ class LeafwiseBoostedClassifier(Estimator, _Boosting, DefaultParamsReadable, Def
         cut = data.agg(*[F.percentile_approx(F.col("x")[i], probs, 10_000).alias(f"e{i}") for i in range(size)],
                        *[F.max(F.col("x")[i]).alias(f"m{i}") for i in range(size)]).first()
         edges = [np.unique([e for e in cut[f"e{i}"] if e < cut[f"m{i}"]]) for i in range(size)]
-        rows = self._binned(data.withColumn("row", F.monotonically_increasing_id()).withColumn("margin", F.lit(base)), edges, size)
         tasks = -(-first["n"] * size // TASK_CELLS)  # from the data, not from how it was laid out
-        rows = rows.coalesce(tasks)
+        numbered = data.withColumn("row", F.monotonically_increasing_id()).withColumn("margin", F.lit(base))
+        # few files would leave every pass to as few tasks, however many rows they hold
+        rows = self._binned(numbered.repartition(tasks, "row") if tasks > 1 else numbered, edges, size).coalesce(tasks)
         trees: list[Tree] = []
         fresh: list[Tree] = []
         for k in range(get("maxIter")):
@@ -261,11 +281,11 @@ class LeafwiseBoostedClassifier(Estimator, _Boosting, DefaultParamsReadable, Def
             for batch in batches:
                 x = batch.column(batch.schema.get_field_index("x")).flatten().to_numpy().reshape(-1, size)
                 out = np.stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(edges)], 1).astype(np.int8)
-                at = pa.array((np.arange(len(x) + 1) * size).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(at, pa.array(out.reshape(-1))),
+                at = (np.arange(len(x) + 1) * size).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(at), pa.py_buffer(out)]),
                                                   *(batch.column(batch.schema.get_field_index(c)) for c in ("y", "w", "row", "margin"))],
                                                  ["bins", "y", "w", "row", "margin"])
-        return materialize(data.mapInArrow(cut, "bins array<byte>, y double, w double, row long, margin double"), "boost-rows")
+        return materialize(data.mapInArrow(cut, "bins binary, y double, w double, row long, margin double"), "boost-rows")
 
 
 def apply_trees(rows: DataFrame, trees: list[Tree], size: int) -> DataFrame:
@@ -276,8 +296,9 @@ def apply_trees(rows: DataFrame, trees: list[Tree], size: int) -> DataFrame:
         for batch in batches:
             at = batch.schema.get_field_index("margin")
             margin = batch.column(at).to_numpy()
+            columns = _columns(batch, size) if batch.num_rows else None
             for tree in shared.value if batch.num_rows else ():
-                margin = margin + tree.margin(_rows(batch, size), True)
+                margin = margin + tree.margin_of_bins(columns)
             yield batch.set_column(at, "margin", pa.array(margin))
     return rows.mapInArrow(add, rows.schema)
 

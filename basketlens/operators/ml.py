@@ -39,6 +39,8 @@ from .selection import exact_quantiles_of
 CID = "customer_id"
 LABEL = "churn_label"
 
+TASK_ROWS = 50_000  # rows that one task of a fit's pass reads, about
+
 MODEL_TYPES = ("xgboost", "lightgbm", "random_forest", "logistic_regression")
 
 
@@ -68,6 +70,16 @@ def stratified_folds(df: DataFrame, k: int = 5, label: str = LABEL, seed: int =
     return r.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_rank", "_n")
 
 
+def written_split(df: DataFrame, label: str = LABEL, test_size: float = 0.2, seed: int = 42, id_col: str = CID,
+                  tag: str = "split") -> DataFrame:
+    """The stratified split, written once for fits that read it many times. A table of more
+    than TASK_ROWS rows is dealt by id over tasks of about that size: the few files that a
+    coalesced shuffle leaves would give every pass as few tasks."""
+    tasks = -(-df.count() // TASK_ROWS)
+    split = stratified_split(df, label, test_size, seed, id_col)
+    return materialize(split.repartition(tasks, id_col) if tasks > 1 else split, tag)
+
+
 # ---------------------------------------------------------------------------------------
 # op 36: population standard scaling
 
@@ -302,7 +314,7 @@ def train_churn_model(df: DataFrame, numeric: Sequence[str], categorical: Sequen
     Returns (PipelineModel fitted on all rows, one-row validation metrics DataFrame).
     """
     _check_family(model_type)
-    split = materialize(stratified_split(df, label, 0.2, seed, id_col), "split")
+    split = written_split(df, label, 0.2, seed, id_col)
     fit = dict(model_type=model_type, label=label, seed=seed, weighting=weighting, **overrides)
     val_model = fit_churn_model(split.where(F.col("split") == "train"), numeric, categorical, **fit)
     scored = churn_probability(val_model.transform(split.where(F.col("split") == "test"))).select(
@@ -313,12 +325,13 @@ def train_churn_model(df: DataFrame, numeric: Sequence[str], categorical: Sequen
 
 def fit_churn_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                     model_type: str = "xgboost", label: str = LABEL, seed: int = 42,
-                    weighting: str | None = BY_FAMILY, **overrides):
+                    weighting: str | None = BY_FAMILY, prep: PipelineModel | None = None, **overrides):
     """One fit of preprocessing + classifier on ``df`` (no inner validation);
-    ``weighting=None`` is the plain unweighted fit."""
+    ``weighting=None`` is the plain unweighted fit. ``prep`` is a preparation already fitted
+    on ``df`` (weights do not enter it), so that fits of several families share one."""
     _check_family(model_type)
     data, w = _weighted(df, _weighting(weighting, model_type), label)
-    return Pipeline(stages=preprocessing_stages(numeric, categorical)
+    return Pipeline(stages=([prep] if prep else preprocessing_stages(numeric, categorical))
                     + [classifier(model_type, label, seed, w, **dict(overrides))]).fit(data)
 
 

@@ -78,9 +78,10 @@ def q_model_lr(spark, sf):
 
 @register("churn_model_comparison", note="four Spark ML fits scored on a held-out split; rows-only")
 def q_model_comparison(spark, sf):
-    split = materialize(ML.stratified_split(model_frame(spark, sf)), "model-split")
+    split = ML.written_split(model_frame(spark, sf), tag="model-split")
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
-    models = parallel_map(lambda mt: ML.fit_churn_model(train, NUMERIC, CATEGORICAL, mt),
+    prep = ML.preprocessing_pipeline(NUMERIC, CATEGORICAL).fit(train)  # the same for all families
+    models = parallel_map(lambda mt: ML.fit_churn_model(train, NUMERIC, CATEGORICAL, mt, prep=prep),
                           ML.MODEL_TYPES, len(ML.MODEL_TYPES))
     scored = None
     for mt, model in zip(ML.MODEL_TYPES, models):

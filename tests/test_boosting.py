@@ -92,3 +92,62 @@ def test_one_label_and_no_rows(spark):
     assert max(r["probability"][1] for r in model.transform(frame(spark, x, y, w)).collect()) < 1e-3
     with pytest.raises(ValueError, match="no rows"):
         B.LeafwiseBoostedClassifier().fit(frame(spark, x, y, w).where("a > 1000"))
+
+
+def test_columns_of_bins_give_the_margins_of_rows():
+    tree = B.Tree()
+    left, right = tree.split(0, 1, 3, 0.0, 1.0)
+    tree.split(right, 0, 5, 0.0, 1.0)
+    tree.value = [0.0, -1.5, 0.0, 2.25, 0.1]
+    x = np.random.default_rng(1).integers(0, 9, (500, 3)).astype(np.int8)
+    columns = np.ascontiguousarray(x.T)
+    assert (tree.margin_of_bins(columns) == tree.margin(x, True)).all()
+    assert (B.Tree(value=[0.5]).margin_of_bins(columns) == 0.5).all() and left == 1
+
+
+def test_a_pass_counts_all_nodes_of_a_feature_at_once(spark, monkeypatch):
+    """Sums by node, feature and bin are those of a plain loop, and no pass counts per node."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 4, (300, 2)).astype(np.int8)
+    y, w, margin = rng.integers(0, 2, 300).astype(float), rng.integers(1, 3, 300).astype(float), rng.normal(size=300)
+    rows = spark.createDataFrame([(bytearray(r.tobytes()), a, b, i, c) for i, (r, a, b, c) in enumerate(zip(x, y.tolist(), w.tolist(), margin.tolist()))],
+                                 "bins binary, y double, w double, row long, margin double").repartition(3)
+    paths = [[(0, 1, True)], [(0, 1, False), (1, 2, True)]]
+    got = B.histograms(rows, [], paths, 2, 4, 1.0, 7)
+    p = 1 / (1 + np.exp(-margin))
+    inside = [x[:, 0] <= 1, (x[:, 0] > 1) & (x[:, 1] <= 2)]
+    for k, here in enumerate(inside):
+        for f in range(2):
+            for b in range(4):
+                use = here & (x[:, f] == b)
+                assert np.allclose(got[k, f, b], [(w * (p - y))[use].sum(), (w * p * (1 - p))[use].sum(), use.sum()])
+
+
+def test_families_share_one_preparation(spark, monkeypatch):
+    from basketlens.operators import ml as ML
+    rows = [(i, float(i % 7), "ab"[i % 2], i % 3 % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "customer_id long, a double, c string, churn_label int")
+    prep = ML.preprocessing_pipeline(["a"], ["c"]).fit(df)
+    alone = ML.fit_churn_model(df, ["a"], ["c"], "logistic_regression")
+    monkeypatch.setattr(ML, "preprocessing_stages", lambda *a: pytest.fail("prepared again"))
+    shared = ML.fit_churn_model(df, ["a"], ["c"], "logistic_regression", prep=prep)
+    score = lambda m: sorted(map(tuple, ML.score(m, df).collect()))
+    assert score(shared) == score(alone)
+
+
+def test_large_input_in_one_file_is_dealt_over_tasks(spark, monkeypatch):
+    """Passes get tasks by the number of rows, not by the files that a shuffle left."""
+    from basketlens.operators import ml as ML
+    monkeypatch.setattr(B, "TASK_CELLS", 300)
+    seen, histograms = [], B.histograms
+    monkeypatch.setattr(B, "histograms", lambda rows, *a: seen.append(rows.inputFiles()) or histograms(rows, *a))
+    x, y, w = table()
+    df = frame(spark, x, y, w).coalesce(1)
+    B.LeafwiseBoostedClassifier(weightCol="weight", maxIter=1, maxBins=16).fit(df)
+    assert len(seen[0]) == 4
+    monkeypatch.setattr(ML, "TASK_ROWS", 100)
+    rows = spark.range(400).selectExpr("id as customer_id", "cast(id % 3 = 0 as int) as churn_label").coalesce(1)
+    split = ML.written_split(rows)
+    assert len(split.inputFiles()) == 4
+    order = ["customer_id"]
+    assert split.orderBy(order).collect() == ML.stratified_split(rows).orderBy(order).collect()
