@@ -357,6 +357,8 @@ def partial_unions(batches):
         at = np.flatnonzero(first)
         yield pa.RecordBatch.from_arrays(
             [pa.array(family[at]), pa.array(flat[at]), pa.array(np.diff(np.append(at, len(flat))))], ["family", "token", "times"])
+        del batch, tokens, offsets, flat, family, order, first, at
+        tb.release_memory()
 
 
 def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int, label: str) -> DataFrame:

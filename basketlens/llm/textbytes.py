@@ -170,7 +170,8 @@ def list_array(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def groups(batches, keys: list[str]) -> Iterator[pa.Table]:
     """Tables of consecutive rows with equal ``keys`` from a stream of batches that is
-    sorted by them (groups may span batches)."""
+    sorted by them (groups may span batches). Memory of groups that are done goes back to the
+    system after each batch."""
     held: list[pa.RecordBatch] = []
     held_key = None
     for batch in batches:
@@ -190,5 +191,11 @@ def groups(batches, keys: list[str]) -> Iterator[pa.Table]:
                 held = []
             held.append(batch.slice(a, b - a))
             held_key = key
+        del batch
+        release_memory()
     if held:
-        yield pa.Table.from_batches(held)
+        table = pa.Table.from_batches(held)
+        held = []
+        yield table
+        del table
+        release_memory()

@@ -282,3 +282,18 @@ def test_copies_among_rows_without_ids_go(make_docs):
     got = [r.text for r in o10.dedup(make_docs(rows)).collect()]
     assert sum(passage in t for t in got) == 1 and sum("Buy now here." in t for t in got) == 1
     assert sorted(map(str, got)) == sorted(str(w[1]) for w in brute_whole_lines(rows, 8))
+
+
+def test_group_tasks_give_memory_back(monkeypatch):
+    """Workers live on after tasks on groups; what the groups took goes back, batch by batch."""
+    import pyarrow as pa
+    from basketlens.llm import textbytes
+    calls = []
+    monkeypatch.setattr(textbytes, "release_memory", lambda: calls.append(1))
+    batches = [pa.RecordBatch.from_arrays([pa.array(k), pa.array(v)], ["k", "v"]) for k, v in (([1, 1, 2], [0, 1, 2]), ([2, 3], [3, 4]), ([3], [5]))]
+    assert [(t["k"][0].as_py(), t["v"].to_pylist()) for t in textbytes.groups(iter(batches), ["k"])] == [(1, [0, 1]), (2, [2, 3]), (3, [4, 5])]
+    assert len(calls) == 4
+    from basketlens.llm.op03_jaccard import partial_unions
+    sets = pa.RecordBatch.from_arrays([pa.array([7, 7]), pa.array([[1, 2], [2, 3]], pa.list_(pa.int64()))], ["family", "tokens"])
+    assert [b.to_pydict() for b in partial_unions(iter([sets]))] == [{"family": [7, 7, 7], "token": [1, 2, 3], "times": [1, 2, 1]}]
+    assert len(calls) == 5
