@@ -131,18 +131,19 @@ def copied_runs(units: Units, copied: np.ndarray, min_words: int) -> np.ndarray:
 
 def cut_texts(column: pa.Array, copies: pa.Array, min_words: int, whole_lines: bool = False):
     """New texts and, per row, flat code-point offsets of the removed spans and the counts
-    of units, removed units and removed words."""
-    raw = []
-    copied_by_row = copies.to_pylist()
+    of units, removed units and removed words, block by block. Only one row's copies are
+    Python objects at a time: a whole batch of them would stay with the worker."""
     for i, j, data, bounds in tb.text_blocks(column):
         n = j - i
         units = Units(data, bounds, min_words if whole_lines else 0)
         copied, lines = units.again_in_row(), again(units.line_rows, units.line_digests)
         both = [(copied, tb.row_starts(units.rows, n), units.digests), (lines, tb.row_starts(units.line_rows, n), units.line_digests)]
+        ours = copies.slice(i, n)
+        listed = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ours), 0).to_numpy(zero_copy_only=False))])
+        copy_digests = [pc.struct_field(ours.flatten(), d).to_numpy(zero_copy_only=False) for d in ("d1", "d2")]
         for r in range(n):
-            listed = copied_by_row[i + r]
-            if listed:
-                pairs = {(x["d1"], x["d2"]) for x in listed}
+            if listed[r] < listed[r + 1]:
+                pairs = set(zip(*(d[listed[r]:listed[r + 1]].tolist() for d in copy_digests)))
                 for found, at, digests in both:
                     ours = slice(at[r], at[r + 1])
                     found[ours] |= np.array([p in pairs for p in zip(*(d[ours].tolist() for d in digests))], bool)
@@ -163,8 +164,7 @@ def cut_texts(column: pa.Array, copies: pa.Array, min_words: int, whole_lines: b
         solid = units.words > 0
         counts = [np.bincount(units.rows[m], weights=w, minlength=n).astype(np.int64) for m, w in (
             (solid, None), (gone, None), (gone, units.words[gone]))]
-        raw.append((text, pa.array(spans, pa.list_(pa.int64())), counts))
-    return raw
+        yield text, pa.array(spans, pa.list_(pa.int64())), counts
 
 
 def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text",

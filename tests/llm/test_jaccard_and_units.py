@@ -297,3 +297,20 @@ def test_group_tasks_give_memory_back(monkeypatch):
     sets = pa.RecordBatch.from_arrays([pa.array([7, 7]), pa.array([[1, 2], [2, 3]], pa.list_(pa.int64()))], ["family", "tokens"])
     assert [b.to_pydict() for b in partial_unions(iter([sets]))] == [{"family": [7, 7, 7], "token": [1, 2, 3], "times": [1, 2, 1]}]
     assert len(calls) == 5
+
+
+def test_cut_texts_holds_one_block(monkeypatch):
+    """Blocks come one by one, and no batch of copies becomes Python objects at once."""
+    import pyarrow as pa
+    from basketlens.llm import textbytes
+    texts = ["one two three. one two three. end here", None, "", "one two three. end here", "four five"]
+    units = o10.Units(*[(np.frombuffer(b"end here", np.uint8), np.array([0, 8]))][0])
+    pair = {"d1": int(units.digests[0][0]), "d2": int(units.digests[1][0])}
+    kind = pa.list_(pa.struct([("d1", pa.int64()), ("d2", pa.int64())]))
+    copies = pa.array([None, [pair], [], [pair], None], kind)
+    monkeypatch.setattr(textbytes, "row_blocks", lambda bounds, limit=0: iter([(0, 3), (3, 5)]))
+    blocks = o10.cut_texts(pa.array(["x", *texts])[1:], pa.concat_arrays([pa.array([[pair]], kind), copies])[1:], 1)
+    assert not isinstance(blocks, list)
+    first, second = blocks
+    assert first[0].to_pylist() == ["one two three. end here", "", ""] and second[0].to_pylist() == ["one two three. ", "four five"]
+    assert first[1].to_pylist() == [[15, 30], [], []] and second[1].to_pylist() == [[15, 23], []]
