@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import bound_batches, materialize
 from . import skew
 from . import textbytes as tb
 from .graph import components
@@ -49,6 +49,7 @@ FREQUENT = 1 << 18     # most buckets that count as frequent (bounds the broadca
 CHUNK = 64             # members of a group that one task opens
 BLOCK = 512            # queries that one task asks of a chunk
 UNION = 1 << 15        # tokens of a large group's union in one bucket, about
+UNITED = 1 << 20       # tokens of families' unions that a task holds, about
 BITS = 1 << 26         # of a bitmap of ids (8 MB)
 SMALL_ROWS = 1_000_000  # narrow rows that may be broadcast to the sets (some 40 MB)
 CANDIDATE = np.uint64((1 << 48) - 1)  # prefixes carry 48 bits of a token; sets carry all
@@ -84,10 +85,10 @@ ROW, COUNT = 0, 1  # kinds of rows of the first pass
 
 def first_pass(docs: DataFrame, k: int) -> DataFrame:
     """Rows of kind ROW: doc_id, n (set size), digest d1, d2, min-hash. Rows of kind COUNT:
-    a hash bucket in doc_id that at least 4 sets of a batch use, and their number in n."""
+    a hash bucket in doc_id that at least 4 sets of a task use, and their number in n."""
     def sign(batches):
+        used = np.zeros(BUCKETS, np.int32)
         for batch in batches:
-            used = np.zeros(BUCKETS, np.int32)
             for i, j, data, bounds in tb.text_blocks(batch.column(1), tb.BLOCK_BYTES // 2):
                 tokens, at = row_sets(data, bounds, k)
                 n = np.diff(at)
@@ -97,9 +98,9 @@ def first_pass(docs: DataFrame, k: int) -> DataFrame:
                 if len(tokens):
                     least[n > 0] = np.minimum.reduceat(tb.mix(tokens ^ np.uint64(13)), at[:-1][n > 0])
                 yield _pass_batch(ROW, batch.column(0).slice(i, j - i), n, *digests(tokens, at), least)
-            most = np.flatnonzero(used >= max(4, 4 * used.mean()))
-            none = np.zeros(len(most), np.uint64)
-            yield _pass_batch(COUNT, pa.array(most), used[most].astype(np.int64), none, none, none)
+        most = np.flatnonzero(used >= max(4, 4 * used.mean()))
+        none = np.zeros(len(most), np.uint64)
+        yield _pass_batch(COUNT, pa.array(most), used[most].astype(np.int64), none, none, none)
     return docs.mapInArrow(sign, "kind int, doc_id long, n long, d1 long, d2 long, least long")
 
 
@@ -343,22 +344,33 @@ def reach_of_union(pct: int):
 
 
 def partial_unions(batches):
-    """(family, token, times) of rows (family, tokens): each token of a family once a batch,
-    so that the many equal tokens of near copies never become rows."""
+    """(family, token, times) of rows (family, tokens): each token of a family once a task, or
+    once per UNITED of them, so that the many equal tokens of near copies never become rows."""
+    names = ["family", "token", "times"]
+    held = [np.zeros(0, np.int64)] * 3
     for batch in batches:
         tokens = batch.column(1)
         offsets = tokens.offsets.to_numpy()
         flat = tokens.values.to_numpy()[offsets[0]:offsets[-1]]
         family = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
-        order = np.lexsort((flat, family))
-        flat, family = flat[order], family[order]
-        first = np.ones(len(flat), bool)
-        first[1:] = (flat[1:] != flat[:-1]) | (family[1:] != family[:-1])
-        at = np.flatnonzero(first)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(family[at]), pa.array(flat[at]), pa.array(np.diff(np.append(at, len(flat))))], ["family", "token", "times"])
-        del batch, tokens, offsets, flat, family, order, first, at
+        held = united(*(np.concatenate(x) for x in zip(held, (family, flat, np.ones(len(flat), np.int64)))))
+        del batch, tokens, offsets, flat, family
+        if len(held[0]) > UNITED:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names)
+            held = [np.zeros(0, np.int64)] * 3
         tb.release_memory()
+    if len(held[0]):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names)
+
+
+def united(family: np.ndarray, token: np.ndarray, times: np.ndarray) -> list[np.ndarray]:
+    """Each (family, token) once, in order, with the sum of its times."""
+    order = np.lexsort((token, family))
+    family, token = family[order], token[order]
+    first = np.ones(len(token), bool)
+    first[1:] = (token[1:] != token[:-1]) | (family[1:] != family[:-1])
+    at = np.flatnonzero(first)
+    return [family[at], token[at], np.add.reduceat(times[order], at) if len(at) else times]
 
 
 def within_reach(asked: DataFrame, members: DataFrame, sets: DataFrame, pct: int, label: str) -> DataFrame:
@@ -421,6 +433,7 @@ def similar_components(docs: DataFrame, k: int = 5, threshold_pct: int = 80, id_
     chance; it never changes results. Short shingles meet by chance more often, so they show
     more by default.
     """
+    bound_batches(docs.sparkSession)
     pct = threshold_pct
     share = share or (20 if k >= 5 else 10)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

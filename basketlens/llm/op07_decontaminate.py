@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import bound_batches, materialize
 from . import suffixes as sx
 from . import textbytes as tb
 
@@ -151,6 +151,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_words
     zero = {"array<long>": F.array(), "long": F.lit(None)}
     state = docs.select(rest.alias("rest"), F.col(f"`{text_col}`").alias("text"),
                         *[zero[kind].cast(kind).alias(name) for name, kind in FOUND])
+    bound_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     blocks = test_blocks(benchmark, window, block_words, item_col, item_text_col)
     tests = next(blocks)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from .encoding import encoded_blocks
 
 END_ID = 1
@@ -78,6 +79,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, id_col
                     [doc_ids.slice(i, j - i).take(pa.array(rows)), pa.array(starts), pa.array(lengths), out, pa.array(counts[rows])],
                     ["doc_id", "start", "length", "ids_crc32" if digest else "ids", "doc_tokens"])
 
+    bound_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # the scan's splits are fixed, so a lost task makes the same ids again
     return (narrow.mapInArrow(cut, DIGEST_SCHEMA if digest else SCHEMA)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import bound_batches, materialize
 from . import textbytes as tb
 
 STEP = 4              # bytes between windows; a window is two steps
@@ -225,6 +225,7 @@ def score(docs: DataFrame, net: Network, threshold: float = 0.3, text_col: str =
     """``docs`` (with ``keep_text``, its text too) with ``score`` (probability of label 1) and ``predicted`` (1 from the
     threshold on) appended; only the text enters the score. Null texts score as empty ones;
     equal texts score alike; every other column passes unread, whatever its name."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     others = [c for c in docs.columns if c != text_col]
     rest = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)] or [F.lit(0).alias("c0")])

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from . import textbytes as tb
 
 _END = np.zeros(256, bool)
@@ -180,6 +181,7 @@ def dedup(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col:
     of sentences inside lines that are not copies themselves. Null texts stay null, empty
     ones empty; a document may become empty but no row is lost. Other columns pass unread, whatever their names. An empty table gives none.
     """
+    bound_batches(docs.sparkSession)
     said = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 2)
     rank = F.coalesce(F.col(f"`{rank_col or id_col}`").cast("long"), F.lit(NO_RANK) + said)
     line_words = min_words if whole_lines else 0

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10  # arrays with eight bytes for each byte of text are some ten at a time
 
 try:  # only where the C library has it
     _LIBC = ctypes.CDLL(None)

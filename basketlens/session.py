@@ -74,6 +74,19 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED[sc.applicationId] = path
 
 
+#: most bytes of a batch that goes to a Python worker
+BATCH_BYTES = "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of rows go to Python workers in at most BATCH_BYTES, where the session does not
+    say otherwise. By Spark's own bounds (10,000 rows, 64 MB) a batch of texts takes tens of
+    MB, several times in the worker and once more beside the executor's heap."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -314,3 +314,68 @@ def test_cut_texts_holds_one_block(monkeypatch):
     first, second = blocks
     assert first[0].to_pylist() == ["one two three. end here", "", ""] and second[0].to_pylist() == ["one two three. ", "four five"]
     assert first[1].to_pylist() == [[15, 30], [], []] and second[1].to_pylist() == [[15, 23], []]
+
+
+def test_texts_go_to_workers_in_bounded_batches(shipped):
+    """Operators on texts bound the bytes of a batch, and leave a bound that the session has."""
+    import pyarrow as pa
+    from basketlens.llm import op08_packing, op09_classifier
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = shipped.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 1000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+    operators = [lambda: o10.dedup(docs), lambda: op08_packing.pieces(docs, ""), lambda: o3.keep_one(docs.limit(5)),
+                 lambda: op09_classifier.score(docs, op09_classifier.Network.fresh(0))]
+    try:
+        for operator in operators:
+            shipped.conf.unset(name)
+            operator()
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 6 << 20
+        shipped.conf.set(name, "1m")
+        o10.dedup(docs)
+        assert shipped.conf.get(name) == "1m"
+    finally:
+        shipped.conf.unset(name)
+
+
+def test_counts_and_unions_hang_on_tasks_not_on_batches():
+    """Batches of one row give the same counts of buckets and the same unions as one batch."""
+    import pyarrow as pa
+    from basketlens.llm.op03_jaccard import partial_unions
+
+    class Docs:  # a task's function, as mapInArrow gets it
+        def mapInArrow(self, f, schema):
+            return f
+    sign = o3.first_pass(Docs(), 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["same words", "same", "other", "same", "same", "same"])], ["doc_id", "text"])
+    counted = [[r for b in sign(iter(x)) for r in b.to_pylist() if r["kind"] == o3.COUNT] for x in ([batch], [batch.slice(k, 1) for k in range(6)])]
+    assert counted[0] == counted[1] and [r["n"] for r in counted[1]] == [5]
+    sets = pa.RecordBatch.from_arrays([pa.array([7, 8, 7]), pa.array([[1, 2], [2], [2, 3]], pa.list_(pa.int64()))], ["family", "tokens"])
+    whole = [{"family": [7, 7, 7, 8], "token": [1, 2, 3, 2], "times": [1, 2, 1, 1]}]
+    assert [b.to_pydict() for b in partial_unions(iter([sets.slice(k, 1) for k in range(3)]))] == whole
+    assert not list(partial_unions(iter([sets.slice(0, 0)])))
+
+
+def test_full_unions_leave_the_task(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(o3, "UNITED", 2)
+    sets = [pa.RecordBatch.from_arrays([pa.array([7]), pa.array([t], pa.list_(pa.int64()))], ["family", "tokens"]) for t in ([1, 2, 3], [3], [3, 4])]
+    got = [b.to_pydict() for b in o3.partial_unions(iter(sets))]
+    assert [g["token"] for g in got] == [[1, 2, 3], [3, 4]] and [g["times"] for g in got] == [[1, 1, 1], [2, 1]]
+
+
+def test_a_block_takes_little_memory():
+    """What a worker needs for the units of a few MB of texts stays near what it needs for one block."""
+    import tracemalloc
+    import pyarrow as pa
+    texts = pa.array([" ".join(f"w{k}x{i}" for i in range(300)) + ".\n" for k in range(1500)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), texts], ["_rank", "text"])
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in o10.unit_digests(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 1500 and peak < 64 << 20, peak
